@@ -1,73 +1,62 @@
-"""Exact medians without gathering a column's distinct values in one task.
+"""Exact medians that never gather a large column's distinct values in one task.
 
-Pass one brackets the median of every column with the mergeable percentile sketch. Pass two counts what lies below the
-bracket and the distinct values inside it (pre-aggregated on the map side), so the final ranking sees a sliver of the rows.
+Small inputs use the built-in median. Large ones take two passes: the first brackets the median of every column with the
+mergeable percentile sketch, the second counts what lies below the bracket and the distinct values inside it
+(pre-aggregated on the map side), so that the final ranking sees a sliver of the rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cohortspark.functions.ordered import HOT_ROWS
+
 ACCURACY = 100_000  # the sketch's rank error is at most 1 / ACCURACY of the rows
 MARGIN = 4 / ACCURACY
 
 
-def median_table(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per column: (column, n, median). NULL and NaN are left out; an empty column has a NULL median."""
-    values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
-    bracket = df.agg(
+def _number(c: str) -> Column:
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
+def fit_medians(df: DataFrame, cols: list[str], rows: int | None = None) -> dict[str, float | None]:
+    """Median of each column as a plain number; NULL and NaN are left out, an empty column gives None.
+
+    `rows` is a known upper bound of the number of rows, such as the count of the table the frame comes from. Without
+    one the frame is taken to be large and is read twice; materialise it first if it is costly to compute.
+    """
+    if not cols:
+        return {}
+    if rows is not None and rows <= HOT_ROWS:
+        found = df.agg(*[F.median(_number(c)).alias(c) for c in cols]).first()
+        return {c: found[c] for c in cols}
+    sketches = [
         F.struct(
-            *[
-                F.struct(
-                    F.percentile_approx(v, [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY).alias("b"), F.count(v).alias("n")
-                ).alias(f"c{i}")
-                for i, v in enumerate(values.values())
-            ]
-        ).alias("s")
-    ).scalar()
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                v.alias("v"),
-                bracket[f"c{i}"]["b"][0].alias("lo"),
-                bracket[f"c{i}"]["b"][1].alias("hi"),
-                bracket[f"c{i}"]["n"].alias("n"),
-            )
-            for i, (c, v) in enumerate(values.items())
-        ]
-    )
-    long = df.select(F.explode(cells).alias("x")).select("x.*")
-    below = F.col("v") < F.col("lo")
+            F.percentile_approx(_number(c), [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY).alias("ends"),
+            F.count(_number(c)).alias("n"),
+        ).alias(c)
+        for c in cols
+    ]
+    brackets = {c: b for c, b in df.agg(*sketches).first().asDict().items() if b["n"]}
+    if not brackets:
+        return dict.fromkeys(cols)
+    cells = []
+    for c, b in brackets.items():
+        low, high = b["ends"]
+        value = F.when(_number(c) >= F.lit(low), _number(c))  # NULL stands for everything below the bracket
+        cell = F.struct(F.lit(c).alias("column"), F.lit(b["n"]).alias("n"), value.alias("v"))
+        cells.append(F.when(_number(c) <= F.lit(high), cell))
     counts = (
-        long.filter(F.col("v") <= F.col("hi"))
-        .groupBy("column", "n", below.alias("below"), F.when(~below, F.col("v")).alias("v"))
+        df.select(F.explode(F.array_compact(F.array(*cells))).alias("x"))
+        .groupBy("x.column", "x.n", "x.v")
         .agg(F.count(F.lit(1)).alias("k"))
     )
-    w = Window.partitionBy("column", "n").orderBy(F.desc("below"), "v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("upto", F.sum("k").over(w)).filter(~F.col("below"))
-    low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    found = (
-        ranked.groupBy("column", "n")
-        .agg(
-            F.min(F.when(F.col("upto") >= low, F.col("v"))).alias("a"),
-            F.min(F.when(F.col("upto") >= high, F.col("v"))).alias("b"),
-        )
-        .select("column", "n", ((F.col("a") + F.col("b")) / 2).alias("median"))
+    upto = Window.partitionBy("column").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("upto", F.sum("k").over(upto)).filter(F.col("v").isNotNull())
+    low_rank, high_rank = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    middle = ranked.groupBy("column").agg(
+        F.min(F.when(F.col("upto") >= low_rank, F.col("v"))).alias("a"),
+        F.min(F.when(F.col("upto") >= high_rank, F.col("v"))).alias("b"),
     )
-    return found
-
-
-def fit_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """Medians as plain numbers, one per column."""
-    found = {r["column"]: r["median"] for r in median_table(df, cols).collect()}
+    found = {r["column"]: (r["a"] + r["b"]) / 2 for r in middle.collect()}
     return {c: found.get(c) for c in cols}
-
-
-def median_columns(df: DataFrame, cols: list[str]) -> dict[str, Column]:
-    """Medians as scalar-subquery columns, so a plan can use them without running a job first."""
-    table = median_table(df, cols)
-    row = table.agg(
-        F.struct(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in cols]).alias("s")
-    ).scalar()
-    return {c: row[c] for c in cols}

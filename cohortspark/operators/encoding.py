@@ -4,25 +4,28 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cohortspark.functions.columns import columns_of_type
 from cohortspark.functions.ordered import Slices, running_sum
-from cohortspark.functions.quantiles import fit_medians, median_columns
+from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.scalars import label_text
 from cohortspark.operators.cohort import MAX_COLUMNS
 from cohortspark.operators.relational import append, first_per
 
 
 def median_impute(
-    df: DataFrame, cols: list[str] | None = None, stats: dict[str, float | None] | None = None
+    df: DataFrame,
+    cols: list[str] | None = None,
+    stats: dict[str, float | None] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Fill NULLs with exact medians: those given (fit them on the training side), or the frame's own."""
     cols = cols or columns_of_type(df, "numeric")
-    values: dict[str, Column] = (
-        median_columns(df, cols) if stats is None else {c: F.lit(stats.get(c)).cast("double") for c in cols}
-    )
-    return df.select(*[F.coalesce(F.col(c), values[c]).alias(c) if c in values else F.col(c) for c in df.columns])
+    if stats is None:
+        stats = fit_medians(df, cols, rows)
+    filled = {c: F.coalesce(F.col(c), F.lit(stats.get(c)).cast("double")) for c in cols}
+    return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
 @dataclass(frozen=True)

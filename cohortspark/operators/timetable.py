@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cohortspark.functions.ordered import Slices, carry_forward, with_next
-from cohortspark.functions.quantiles import median_columns
+from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.time import bucket_index, bucket_start, elapsed_hours, elapsed_seconds
 from cohortspark.operators.relational import delete_where, enrich, first_per
 
@@ -100,24 +100,23 @@ def impute_sequence(
     key: list[str],
     order: list[str],
     cols: list[str],
-    medians: dict[str, Column | float] | None = None,
+    medians: dict[str, float | None] | None = None,
     slices: Slices | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Fill gaps of each key with the last known value, what remains with the column's global median.
 
-    `<col>_imputed` marks cells that were missing, `<col>_imputed_global` those that took the median.
+    `<col>_imputed` marks cells that were missing, `<col>_imputed_global` those that took the median. `rows` is a known
+    upper bound of the row count, see `fit_medians`.
     """
     if medians is None:
-        medians = median_columns(df, cols)
+        medians = fit_medians(df, cols, rows)
     flagged = df.select("*", *[F.col(c).isNull().cast("double").alias(f"{c}_imputed") for c in cols])
     carried = carry_forward(flagged, key, order, cols, slices)
 
-    def filled(c: str) -> Column:
-        m = medians[c]
-        return F.coalesce(F.col(c), m if isinstance(m, Column) else F.lit(m))
-
+    filled = {c: F.coalesce(F.col(c), F.lit(medians[c]).cast("double")) for c in cols}
     return carried.select(
-        *[filled(c).alias(c) if c in cols else F.col(c) for c in carried.columns],
+        *[filled[c].alias(c) if c in filled else F.col(c) for c in carried.columns],
         *[F.col(c).isNull().cast("double").alias(f"{c}_imputed_global") for c in cols],
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortspark.functions import columns as names
 from cohortspark.functions.ordered import dense_rank_by, plan_slices
-from cohortspark.functions.quantiles import median_table
+from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.scalars import item_class, log10_between, parse_ids, rate
 from cohortspark.functions.time import bucket_index, bucket_start, elapsed_hours
 from cohortspark.operators import cohort, comparison, encoding, measurements, modelling, relational, summaries, timetable
@@ -500,8 +500,8 @@ CASE WHEN l_{t} IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {t}_imputed_glo
 @query(LOCF_SQL)
 def locf_impute(spark, folder):
     ev = load(spark, folder, "events")
-    table = wide_events(ev).select("user_id", "ts", *TYPES)
-    return rounded(timetable.impute_sequence(table, ["user_id"], ["ts"], TYPES, slices=plan_slices(ev, ["user_id"], "ts")))
+    table, slices = wide_events(ev).select("user_id", "ts", *TYPES), plan_slices(ev, ["user_id"], "ts")
+    return rounded(timetable.impute_sequence(table, ["user_id"], ["ts"], TYPES, slices=slices, rows=ev.count()))
 
 
 @query(
@@ -691,8 +691,8 @@ FROM lineitem"""
 def composite_ids(spark, folder):
     li = load(spark, folder, "lineitem", ["l_suppkey", "l_linenumber", "l_returnflag"])
     text = F.concat(F.lit("("), F.concat_ws(",", *li.columns), F.lit(")"))
-    spec, org, ab = parse_ids("t", 3)
-    return li.select(text.alias("t")).select(spec.alias("spec"), org.alias("org"), ab.alias("ab")).distinct()
+    ids = li.select(parse_ids(text).alias("ids"))
+    return ids.select(*[F.get("ids", F.lit(i)).alias(n) for i, n in enumerate(("spec", "org", "ab"))]).distinct()
 
 
 @query(
@@ -749,15 +749,18 @@ def with_gaps(spark: SparkSession, folder: str) -> DataFrame:
 SELECT l_orderkey, l_linenumber, l_suppkey, round(coalesce(price, mp), 6) AS price, round(coalesce(discount, md), 6) AS discount FROM g, m"""
 )
 def median_impute(spark, folder):
-    return rounded(encoding.median_impute(with_gaps(spark, folder), ["price", "discount"]))
+    gaps = with_gaps(spark, folder)
+    return rounded(encoding.median_impute(gaps, ["price", "discount"], rows=gaps.count()))
 
 
 @query(
-    f"""WITH g AS ({GAPS_SQL}) SELECT 'price' AS "column", count(price) AS n, round(median(price), 6) AS median FROM g
-UNION ALL SELECT 'discount', count(discount), round(median(discount), 6) FROM g"""
+    f"""WITH g AS ({GAPS_SQL}) SELECT 'price' AS name, round(median(price), 6) AS median FROM g
+UNION ALL SELECT 'discount', round(median(discount), 6) FROM g"""
 )
 def column_medians(spark, folder):
-    return rounded(median_table(with_gaps(spark, folder), ["price", "discount"]))
+    """The two-pass form for large frames."""
+    medians = fit_medians(with_gaps(spark, folder), ["price", "discount"])
+    return rounded(inline(spark, list(medians.items()), "name string, median double"))
 
 
 def unit_sql(key: str, seed: int | str) -> str:
