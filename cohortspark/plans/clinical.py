@@ -190,5 +190,7 @@ def model_inputs(parts: dict[str, tuple[DataFrame, DataFrame]], categories: list
     train, test = (
         assembled(parts["context"][i], parts["timebucket"][i], parts["daybucket"][i]) for i in (0, 1)
     )
-    train, test = (df.drop("gender") if "gender" not in (categories or []) else df for df in (train, test))
-    return prepare_inputs(train, test, categories or rules.CATEGORIES)
+    categories = categories or rules.CATEGORIES
+    if "gender" not in categories:  # remapped to "0" / "1" by then
+        train, test = (df.withColumn("gender", F.col("gender").try_cast("double")) for df in (train, test))
+    return prepare_inputs(train, test, categories)
