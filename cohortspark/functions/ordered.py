@@ -19,6 +19,7 @@ from cohortspark.session import inline
 
 HOT_ROWS = 1_000_000  # a group up to this size stays in one task
 HOT_SHARE = 1 / 256  # and so does one below this share of all rows, hence at most 256 hot keys
+AUTO = "auto"  # measure the frame itself; None states that no group is too big for a task
 SLICE, HOT = "_slice", "_hot"
 
 
@@ -76,6 +77,10 @@ def plan_slices(
     return Slices(tuple(keys), order, hot, tuple(sorted(set(borders))))
 
 
+def _resolve(slices: Slices | str | None, df: DataFrame, keys: list[str], order: str) -> Slices | None:
+    return plan_slices(df, keys, order) if slices == AUTO else slices
+
+
 def _same(left: DataFrame, right: DataFrame, keys) -> Column:
     condition = F.lit(True)
     for k in keys:
@@ -126,9 +131,10 @@ def _attach(rows: DataFrame, summary: DataFrame, keys, names: list[str]) -> Data
 
 
 def carry_forward(
-    df: DataFrame, keys: list[str], order: list[str], cols: list[str], slices: Slices | None = None
+    df: DataFrame, keys: list[str], order: list[str], cols: list[str], slices: Slices | str | None = AUTO
 ) -> DataFrame:
     """Replace each NULL in `cols` by the last known value of its key in the given order."""
+    slices = _resolve(slices, df, keys, order[0])
     keep = [c for c in df.columns if c not in cols]
     if slices is None:
         w = Window.partitionBy(*_per_key(keys)).orderBy(*nulls_last(order)).rowsBetween(Window.unboundedPreceding, 0)
@@ -153,9 +159,10 @@ def carry_forward(
 
 
 def with_next(
-    df: DataFrame, keys: list[str], order: list[str], cols: list[str], slices: Slices | None = None, prefix: str = "next_"
+    df: DataFrame, keys: list[str], order: list[str], cols: list[str], slices: Slices | str | None = AUTO, prefix: str = "next_"
 ) -> DataFrame:
     """Add for each of `cols` its value in the following row of the key."""
+    slices = _resolve(slices, df, keys, order[0])
     following = F.struct(*[F.col(c).alias(c) for c in cols])
     if slices is None:
         w = Window.partitionBy(*_per_key(keys)).orderBy(*nulls_last(order))
@@ -173,9 +180,10 @@ def with_next(
 
 
 def running_sum(
-    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], slices: Slices | None = None
+    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], slices: Slices | str | None = AUTO
 ) -> DataFrame:
     """Add running totals (name -> summed expression) along the order of each key, the current row included."""
+    slices = _resolve(slices, df, keys, order[0])
     if slices is None:
         w = Window.partitionBy(*_per_key(keys)).orderBy(*nulls_last(order)).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(e).over(w).alias(n) for n, e in sums.items()])
@@ -192,9 +200,10 @@ def running_sum(
 
 
 def dense_rank_by(
-    df: DataFrame, keys: list[str], order: str, name: str, slices: Slices | None = None
+    df: DataFrame, keys: list[str], order: str, name: str, slices: Slices | str | None = AUTO
 ) -> DataFrame:
     """Add the dense rank of `order` inside its key, NULL ranked last."""
+    slices = _resolve(slices, df, keys, order)
     if slices is None:
         w = Window.partitionBy(*keys).orderBy(*nulls_last([order]))
         return df.select("*", F.dense_rank().over(w).alias(name))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortspark.functions.ordered import Slices, dense_rank_by
+from cohortspark.functions.ordered import AUTO, Slices, dense_rank_by
 from cohortspark.functions.predicates import any_of, code_prefix_match, holds
 from cohortspark.functions.time import elapsed_days, elapsed_hours, elapsed_years, within_days
 from cohortspark.operators.relational import first_per, intersect_ids, remap, restrict_to
@@ -67,8 +67,8 @@ def add_ranks(
     df: DataFrame,
     stay: tuple[str, str] = ("hadm_id", "intime"),
     admission: tuple[str, str] = ("subject_id", "admittime"),
-    stay_slices: Slices | None = None,
-    admission_slices: Slices | None = None,
+    stay_slices: Slices | str | None = AUTO,
+    admission_slices: Slices | str | None = AUTO,
 ) -> DataFrame:
     """icu_rank of a stay in its admission and adm_rank of an admission of its patient; NULL times rank last."""
     df = dense_rank_by(df, [stay[0]], stay[1], "icu_rank", stay_slices)
@@ -83,8 +83,8 @@ def build_context(
     cohort: DataFrame | None = None,
     service_weights: dict[str, int] | None = None,
     keep_no_stay: bool = False,
-    stay_slices: Slices | None = None,
-    admission_slices: Slices | None = None,
+    stay_slices: Slices | str | None = AUTO,
+    admission_slices: Slices | str | None = AUTO,
 ) -> DataFrame:
     """One row per stay with its admission, patient, ages, length of stay, outcomes, service indicator and ranks.
 

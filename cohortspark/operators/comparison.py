@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cohortspark.functions.ordered import HOT_ROWS, Slices, plan_slices, running_sum
+from cohortspark.functions.ordered import AUTO, HOT_ROWS, Slices, plan_slices, running_sum
 from cohortspark.functions.pvalues import chi2_p_value, ks_p_value, t_p_value
 from cohortspark.functions.scalars import unit_hash
 

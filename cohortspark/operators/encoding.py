@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from cohortspark.functions.columns import columns_of_type
-from cohortspark.functions.ordered import Slices, running_sum
+from cohortspark.functions.ordered import AUTO, Slices, running_sum
 from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.scalars import label_text
 from cohortspark.operators.cohort import MAX_COLUMNS
 from cohortspark.operators.relational import append, first_per
+from cohortspark.session import pin_small
 
 
 def median_impute(
@@ -86,16 +87,16 @@ def prepare_inputs(
     )
 
 
-def ordinal_codes(df: DataFrame, col: str, order: str, slices: Slices | None = None) -> DataFrame:
+def ordinal_codes(df: DataFrame, col: str, order: str, slices: Slices | str | None = AUTO) -> DataFrame:
     """(value, code): codes 0, 1, 2 … by first appearance in the order; NULL is a value too."""
     first = df.groupBy(col).agg(F.min(order).alias("_first"))
     ranked = running_sum(first, [], ["_first", col], {"_n": F.lit(1)}, slices)
     return ranked.select(col, (F.col("_n") - 1).cast("int").alias(f"{col}_code"))
 
 
-def ordinal_encode(df: DataFrame, col: str, order: str, slices: Slices | None = None) -> DataFrame:
+def ordinal_encode(df: DataFrame, col: str, order: str, slices: Slices | str | None = AUTO) -> DataFrame:
     """Add the ordinal code of a category."""
-    codes = ordinal_codes(df, col, order, slices).withColumnRenamed(col, "_value")
+    codes = pin_small(ordinal_codes(df, col, order, slices).withColumnRenamed(col, "_value"))
     return df.join(codes, df[col].eqNullSafe(codes["_value"]), "left").drop("_value")
 
 

@@ -10,6 +10,7 @@ from cohortspark.functions.predicates import any_of
 from cohortspark.functions.scalars import is_missing
 from cohortspark.functions.time import elapsed_hours
 from cohortspark.operators.relational import append, delete_where, enrich, first_per, flag_where, restrict_to
+from cohortspark.session import pin_small
 
 
 # --- inventory ------------------------------------------------------------------------------------------------------
@@ -52,7 +53,7 @@ def flag_unit_mismatch(
     df: DataFrame, units: DataFrame, item: str = "itemid", unit: str = "amountuom", name: str = "todelete"
 ) -> DataFrame:
     """Set the flag to 1 on rows whose unit differs from the item's dominant one; a NULL unit is never flagged."""
-    dim = units.select(F.col(item), F.col(unit).alias("_unit"))
+    dim = pin_small(units.select(F.col(item), F.col(unit).alias("_unit")))
     joined = df.join(dim, item, "left")
     return flag_where(joined, F.col(unit) != F.col("_unit"), name).drop("_unit")
 
@@ -141,15 +142,18 @@ def align_events(
     end: str = "dischtime",
     feature: str = "feature",
     unique: bool = False,
+    keep_bounds: bool = False,
 ) -> DataFrame:
     """Add the feature name, t_since (hours since start) and t_til (hours until end).
 
-    Rows without a match keep NULLs. `unique` says the context already has one row per key.
+    Rows without a match keep NULLs. `unique` says the context already has one row per key; `keep_bounds` keeps the two
+    times, which saves later steps the join.
     """
     if features is not None:
         df = enrich(df, features, [item], [feature])
     joined = enrich(df, ctx, [key], [start, end], unique=unique)
-    return joined.select(*df.columns, elapsed_hours(start, time).alias("t_since"), elapsed_hours(time, end).alias("t_til"))
+    bounds = [start, end] if keep_bounds else []
+    return joined.select(*df.columns, *bounds, elapsed_hours(start, time).alias("t_since"), elapsed_hours(time, end).alias("t_til"))
 
 
 # --- range report ---------------------------------------------------------------------------------------------------

@@ -6,11 +6,12 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortspark.functions.ordered import Slices, running_sum
+from cohortspark.functions.ordered import AUTO, Slices, running_sum
 from cohortspark.functions.scalars import unit_hash
 from cohortspark.operators.relational import fill_constant, merge_nullsafe, restrict_to
 from cohortspark.operators.scoring import gcs_total
 from cohortspark.operators.summaries import mean_by
+from cohortspark.session import pin_small
 
 SIDE = "side"
 
@@ -21,18 +22,18 @@ def split_side(key: str, frac: float, seed: int | str) -> Column:
 
 
 def stratified_split(
-    ctx: DataFrame, key: str, label: str, frac: float = 0.1, seed: int | str = 0, exact: bool = False, slices: Slices | None = None
+    ctx: DataFrame, key: str, label: str, frac: float = 0.1, seed: int | str = 0, exact: bool = False, slices: Slices | str | None = AUTO
 ) -> DataFrame:
     """(key, label, side) per entity.
 
     By default a hash threshold: each stratum is near the fraction and no rows meet. `exact` ranks the hashes inside
-    each stratum, so every stratum has round(frac · size) test entities; pass `slices` cut along `_hash` for large strata.
+    each stratum, so every stratum has round(frac · size) test entities.
     """
     ids = ctx.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias(label))
     if not exact:
         return ids.withColumn(SIDE, split_side(key, frac, seed))
     ids = ids.withColumn("_hash", unit_hash(key, seed))
-    sizes = ids.groupBy(label).agg(F.count(F.lit(1)).alias("_size")).withColumnRenamed(label, "_label")
+    sizes = pin_small(ids.groupBy(label).agg(F.count(F.lit(1)).alias("_size")).withColumnRenamed(label, "_label"))
     ranked = running_sum(ids, [label], ["_hash", key], {"_rank": F.lit(1)}, slices)
     joined = ranked.join(sizes, ranked[label].eqNullSafe(sizes["_label"]))
     side = F.when(F.col("_rank") <= F.rint(F.col("_size") * F.lit(float(frac))), F.lit("test")).otherwise(F.lit("train"))

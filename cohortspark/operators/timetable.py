@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortspark.functions.ordered import Slices, carry_forward, with_next
+from cohortspark.functions.ordered import AUTO, Slices, carry_forward, order_key, with_next
 from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.time import bucket_index, bucket_start, elapsed_hours, elapsed_seconds
-from cohortspark.operators.relational import delete_where, enrich, first_per
+from cohortspark.operators.relational import delete_where, enrich
 
 WIDE_LIMIT = 256  # up to here conditional aggregates (one shuffle); beyond it the built-in pivot
 
@@ -36,34 +36,63 @@ def spread(
 def pivot_features(
     events: DataFrame,
     features: list[str],
-    keys: list[str] | None = None,
     entity: str = "hadm_id",
+    time: str = "charttime",
+    stay: str | None = "icustay_id",
+    carried: tuple[str, ...] = ("t_since", "t_til"),
     feature: str = "feature",
     value: str = "valuenum",
     tie: list[str] | None = None,
+    within: tuple[str, list[str]] | None = None,
     drop_negative: bool = True,
-    together: list[str] | None = None,
-    within: list[str] | None = None,
 ) -> DataFrame:
-    """Time table: one row per key, one nullable column per feature.
+    """Time table: one row per entity, time and stay, one nullable column per feature.
 
-    Of several values of a feature at one time of an entity the first by `tie` counts (`within` adds columns, such as the
-    source, inside which that is decided); what is left is summed per key. `together` names columns that
-    follow from the keys (such as a bucket number): the table comes out hash-partitioned by (entity, *together), so a
-    later grouping that includes them needs no further shuffle while a long entity still spreads over its buckets.
+    Of several values of a feature at one time of an entity only the first by `tie` counts (by default the lowest stay,
+    then the lowest value), whatever its stay. `within` = (column, values) decides that inside each source and adds the
+    sources up. `carried` columns follow from entity and time.
+
+    De-duplication and pivot are one aggregation keyed by entity and time: a single shuffle, combined on the map side, so
+    neither copies of a row nor a long entity gather in a task.
     """
-    keys = keys or [entity, "icustay_id", "charttime", "t_since", "t_til"]
-    together = together or []
+    order = tie or [*([stay] if stay else []), value]
+    parts = [(None, F.lit(True))] if within is None else [(w, F.col(within[0]) == w) for w in within[1]]
     wanted = events.filter(F.col(feature).isin(*features))
-    one = first_per(wanted, [entity, "t_since", feature, *(within or [])], tie or [k for k in [*keys, value] if k not in (entity, "t_since")])
-    if together:
-        one = one.repartition(entity, *together)
-    table = one.groupBy(*keys, *together).agg(
-        *[F.sum(F.when(F.col(feature) == f, F.col(value))).alias(f) for f in features]
-    )
+    simple = stay is None and len(order) == 1 and order[0] != value
+    picks, cells = [], {}
+    for i, f in enumerate(features):
+        cells[f] = []
+        for j, (_, part) in enumerate(parts):
+            here = (F.col(feature) == f) & part
+            name = f"_p{i}_{j}"
+            if simple:
+                pick = F.min_by(F.when(here, F.col(value)), F.when(here, F.col(order[0])))
+            else:
+                held = [F.col(stay).alias("s")] if stay else []
+                pick = F.min(F.when(here, F.struct(order_key(order).alias("o"), *held, F.col(value).alias("v"))))
+            picks.append(pick.alias(name))
+            cells[f].append(F.col(name))
+    table = wanted.groupBy(entity, time).agg(*[F.min(c).alias(c) for c in carried], *picks)
     if drop_negative:
         table = delete_where(table, (F.col("t_til") < 0) | (F.col("t_since") < 0))
-    return table
+    if stay is None:
+        found = {f: [c if simple else c["v"] for c in cs] for f, cs in cells.items()}
+        return table.select(entity, time, *carried, *[_total(vs).alias(f) for f, vs in found.items()])
+    # The picked values of one time may belong to several stays: one row for each of those, without a shuffle.
+    stays = F.array_distinct(
+        F.array_compact(F.array(*[F.when(c.isNotNull(), F.struct(c["s"].alias("s"))) for cs in cells.values() for c in cs]))
+    )
+    table = table.withColumn("_stay", F.explode(stays))
+    own = {f: [F.when(c["s"].eqNullSafe(F.col("_stay.s")), c["v"]) for c in cs] for f, cs in cells.items()}
+    return table.select(entity, F.col("_stay.s").alias(stay), time, *carried, *[_total(vs).alias(f) for f, vs in own.items()])
+
+
+def _total(values: list[Column]) -> Column:
+    """Sum that leaves out unknown parts and is unknown when all are."""
+    if len(values) == 1:
+        return values[0]
+    known = sum((F.coalesce(v, F.lit(0.0)) for v in values), F.lit(0.0))
+    return F.when(F.coalesce(*values).isNotNull(), known)
 
 
 def bucketize(
@@ -76,23 +105,27 @@ def bucketize(
     ctx_key: str = "hadm_id",
     start: str = "admittime",
     end: str = "dischtime",
-    bucket: str | None = None,
     unique: bool = False,
 ) -> DataFrame:
     """Average (or sum) every column inside the nearest bucket of `width_s` seconds.
 
-    aggs: column -> "avg" or "sum". With a context, hours since start and until end are those of the bucket time; a bucket
-    may lie before the start. `bucket` names a column that already holds the bucket number.
+    aggs: column -> "avg" or "sum". Hours since start and until end are those of the bucket time (a bucket may lie before
+    the start); the two times come with the table if it has the columns, else from the context if one is given.
     """
-    number = bucket or "_bucket"
-    rows = table if bucket else table.withColumn(number, bucket_index(time, width_s))
     functions = {"avg": F.avg, "sum": F.sum}
-    out = rows.groupBy(number, *keys).agg(*[functions[how](c).alias(c) for c, how in aggs.items()])
-    out = out.select(bucket_start(number, width_s).alias(time), *keys, *aggs)
-    if ctx is None:
-        return out
-    joined = enrich(out, ctx, [ctx_key], [start, end], unique=unique)
-    return joined.select(*out.columns, elapsed_hours(start, time).alias("t_since"), elapsed_hours(time, end).alias("t_til"))
+    carried = [c for c in (start, end) if c in table.columns]
+    out = (
+        table.groupBy(bucket_index(time, width_s).alias("_bucket"), *keys)
+        .agg(*[functions[how](c).alias(c) for c, how in aggs.items()], *[F.min(c).alias(c) for c in carried])
+        .withColumn(time, bucket_start("_bucket", width_s))
+    )
+    if len(carried) < 2:
+        if ctx is None:
+            return out.select(time, *keys, *aggs)
+        out = enrich(out.drop(*carried), ctx, [ctx_key], [start, end], unique=unique)
+    return out.select(
+        time, *keys, *aggs, elapsed_hours(start, time).alias("t_since"), elapsed_hours(time, end).alias("t_til")
+    )
 
 
 def impute_sequence(
@@ -101,7 +134,7 @@ def impute_sequence(
     order: list[str],
     cols: list[str],
     medians: dict[str, float | None] | None = None,
-    slices: Slices | None = None,
+    slices: Slices | str | None = AUTO,
     rows: int | None = None,
 ) -> DataFrame:
     """Fill gaps of each key with the last known value, what remains with the column's global median.
@@ -130,7 +163,7 @@ def pair_intervals(
     stop: object = 1,
     value: str | None = None,
     tie: list[str] | None = None,
-    slices: Slices | None = None,
+    slices: Slices | str | None = AUTO,
 ) -> DataFrame:
     """Each start directly followed by a stop of the same key: start, stop, elapsed hours and the stop's value."""
     carried = [ts, flag, *([value] if value else [])]

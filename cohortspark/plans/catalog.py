@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cohortspark.functions import columns as names
 from cohortspark.functions.ordered import dense_rank_by, plan_slices
 from cohortspark.functions.quantiles import fit_medians
-from cohortspark.functions.scalars import item_class, log10_between, parse_ids, rate
-from cohortspark.functions.time import bucket_index, bucket_start, elapsed_hours
+from cohortspark.functions.scalars import item_class, log10_between, parse_ids
+from cohortspark.functions.time import elapsed_hours
 from cohortspark.operators import cohort, comparison, encoding, measurements, modelling, relational, summaries, timetable
 from cohortspark.plans import clinical, rules
 from cohortspark.session import configure, inline
@@ -69,29 +69,21 @@ def spans(ev: DataFrame) -> DataFrame:
     return ev.groupBy("user_id").agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"))
 
 
-def aligned_events(ev: DataFrame) -> DataFrame:
+def aligned_events(ev: DataFrame, keep_bounds: bool = False) -> DataFrame:
     return measurements.align_events(
-        ev, spans(ev), None, key="user_id", time="ts", start="start_ts", end="end_ts", unique=True
+        ev, spans(ev), None, key="user_id", time="ts", start="start_ts", end="end_ts", unique=True, keep_bounds=keep_bounds
     )
 
 
-def wide_events(ev: DataFrame, width_s: int | None = None) -> DataFrame:
-    rows = aligned_events(ev.select("event_id", "ts", "user_id", "event_type", "value"))
-    together = []
-    if width_s:
-        rows, together = rows.withColumn("bucket", bucket_index("ts", width_s)), ["bucket"]
-    return timetable.pivot_features(
-        rows, TYPES, ["user_id", "ts", "t_since", "t_til"], "user_id", "event_type", "value", ["event_id"], together=together
-    )
+def wide_events(ev: DataFrame, keep_bounds: bool = False) -> DataFrame:
+    rows = aligned_events(ev.select("event_id", "ts", "user_id", "event_type", "value"), keep_bounds)
+    carried = ("t_since", "t_til", *(("start_ts", "end_ts") if keep_bounds else ()))
+    return timetable.pivot_features(rows, TYPES, "user_id", "ts", None, carried, "event_type", "value", ["event_id"])
 
 
 def bucketed(spark: SparkSession, folder: str, width_s: int) -> DataFrame:
-    ev = load(spark, folder, "events")
-    out = timetable.bucketize(
-        wide_events(ev, width_s), width_s, AGGS, ["user_id"], "ts", spans(ev), "user_id", "start_ts", "end_ts",
-        bucket="bucket", unique=True,
-    )
-    return rounded(out)
+    wide = wide_events(load(spark, folder, "events"), keep_bounds=True)
+    return rounded(timetable.bucketize(wide, width_s, AGGS, ["user_id"], "ts", start="start_ts", end="end_ts"))
 
 
 def bucket_sql(width_s: int) -> str:

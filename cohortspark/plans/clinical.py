@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortspark.functions.ordered import plan_slices
-from cohortspark.functions.time import bucket_index
 from cohortspark.operators.cohort import build_context, code_flags, one_hot_membership, remap_categories, select_cohort
 from cohortspark.operators.encoding import prepare_inputs
 from cohortspark.operators.measurements import (
@@ -102,11 +101,13 @@ def _long(events: DataFrame, has_stay: bool) -> DataFrame:
     )
 
 
-def time_table(events: DataFrame, features: list[str], width_s: int) -> DataFrame:
-    """Wide table of one or more cleaned sources, laid out by (admission, bucket) for the bucketing that follows."""
-    numbered = events.withColumn("bucket", bucket_index("time", width_s))
-    keys = ["hadm_id", "icustay_id", "time", "t_since", "t_til"]
-    return pivot_features(numbered, features, keys, tie=["icustay_id", "time", "valuenum"], together=["bucket"])
+ORIGIN = "origin"
+
+
+def time_table(sources: dict[str, DataFrame], features: list[str]) -> DataFrame:
+    """Wide table over cleaned sources; duplicates of a feature at one time count once within each source."""
+    tagged = append(*[df.withColumn(ORIGIN, F.lit(name)) for name, df in sources.items()])
+    return pivot_features(tagged, features, time="time", within=(ORIGIN, list(sources)))
 
 
 @dataclass(frozen=True)
@@ -134,30 +135,14 @@ def build_stages(
     ctx = stage(context(tables, maps), "context")
     cleaned_lab = stage(_long(clean_lab(tables, ctx, lab), False), "lab")
     icu = append(_long(clean_output(tables, ctx, output), True), _long(clean_chart(tables, ctx, chart), True))
-    tt = stage(time_table_of_sources(icu, cleaned_lab, names), "timetable")
-    daily = stage(time_table(cleaned_lab, names, rules.DAY_S), "daily")
-    half_hours = bucketize(
-        tt, rules.HALF_HOUR_S, rules.HALF_HOUR_AGGS, ["hadm_id", "icustay_id"], ctx=ctx, bucket="bucket"
-    )
-    days = bucketize(daily, rules.DAY_S, rules.DAY_AGGS, ["hadm_id", "icustay_id"], ctx=ctx, bucket="bucket")
+    tt = stage(time_table({"icu": icu, "adm": cleaned_lab}, names), "timetable")
+    daily = stage(time_table({"adm": cleaned_lab}, names), "daily")
+    keys = ["hadm_id", "icustay_id"]
+    half_hours = bucketize(tt, rules.HALF_HOUR_S, rules.HALF_HOUR_AGGS, keys, ctx=ctx)
+    days = bucketize(daily, rules.DAY_S, rules.DAY_AGGS, keys, ctx=ctx)
     return Stages(ctx, tt, daily, stage(half_hours, "timebucket"), stage(days, "daybucket"))
 
 
-def time_table_of_sources(icu: DataFrame, lab: DataFrame, names: list[str]) -> DataFrame:
-    """Time table over stay-level and admission-level sources; a source tag keeps their duplicates apart."""
-    tagged = append(icu.withColumn("origin", F.lit("icu")), lab.withColumn("origin", F.lit("adm")))
-    numbered = tagged.withColumn("bucket", bucket_index("time", rules.HALF_HOUR_S))
-    # A lab row has no stay, so its rows stay apart from the stay-level ones in the grouping as well.
-    return pivot_features(
-        numbered,
-        names,
-        ["hadm_id", "icustay_id", "time", "t_since", "t_til"],
-        tie=["icustay_id", "time", "valuenum"],
-        together=["bucket"],
-        within=["origin"],
-    )
-
-
 def split(stages: Stages, frac: float = 0.1, seed: int | str = 0, exact: bool = False) -> dict[str, tuple[DataFrame, DataFrame]]:
     """(train, test) of the context and the time tables; every admission is on one side only."""
     sides = stratified_split(stages.context, "hadm_id", "died", frac, seed, exact)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -40,12 +37,13 @@ def inline(spark: SparkSession, rows: list[tuple], schema: StructType | str) ->
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the cluster's shared folder; a private folder is used only where the session names none."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix=f"checkpoint-{os.getpid()}-"))
-    return df.checkpoint(eager=True)
+SMALL_ROWS = 100_000
+
+
+def pin_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A frame of at most `rows` rows as a literal table, which the planner broadcasts; a larger one is returned as it is.
+
+    For derived lookup sides (counts per item, codes per category) whose size no statistic tells before they are computed.
+    """
+    found = df.limit(rows + 1).collect()
+    return df if len(found) > rows else inline(df.sparkSession, [tuple(r) for r in found], df.schema)
