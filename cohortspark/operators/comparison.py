@@ -6,11 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortspark.functions.ordered import AUTO, HOT_ROWS, Slices, plan_slices, running_sum
+from cohortspark.functions.ordered import HOT_ROWS, plan_slices, running_sum
 from cohortspark.functions.pvalues import chi2_p_value, ks_p_value, t_p_value
-from cohortspark.functions.scalars import unit_hash
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -27,20 +26,19 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
     """
     values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     ends = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("s")).scalar()
-    flat = ends["lo"] == ends["hi"]
-    low = F.when(flat, ends["lo"] - 0.5).otherwise(ends["lo"])
-    high = F.when(flat, ends["hi"] + 0.5).otherwise(ends["hi"])
-    number = F.least(F.floor((F.col("v") - low) * bins / (high - low)), F.lit(bins - 1)).cast("int")
-    counts = values.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    axis = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    flat = F.col("s.lo") == F.col("s.hi")
+    low = F.when(flat, F.col("s.lo") - 0.5).otherwise(F.col("s.lo"))
+    width = F.when(flat, F.lit(1.0)).otherwise(F.col("s.hi") - F.col("s.lo"))
+    number = F.least(F.floor((F.col("v") - low) * bins / width), F.lit(bins - 1)).cast("int")
+    counts = values.select("v", ends.alias("s")).groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    axis = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), ends.alias("s"))
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    step = (high - low) / bins
     full = axis.join(counts, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return full.select(
         "bin",
-        (low + F.col("bin") * step).alias("lower"),
-        (low + (F.col("bin") + 1) * step).alias("upper"),
+        (low + F.col("bin") * width / bins).alias("lower"),
+        (low + (F.col("bin") + 1) * width / bins).alias("upper"),
         "n",
         F.sum("n").over(upto).alias("cumulative"),
         (F.sum("n").over(whole) - F.sum("n").over(upto)).alias("remaining"),
@@ -64,8 +62,8 @@ def ks_2samp(a: DataFrame, b: DataFrame, col: str, hot_rows: int = HOT_ROWS) ->
     counts = both.groupBy("v").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     totals = counts.agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b")).alias("s")).scalar()
     shares = running_sum(counts, [], ["v"], {"ca": F.col("a"), "cb": F.col("b")}, slices)
-    gap = F.abs(F.col("ca") / totals["a"] - F.col("cb") / totals["b"])
-    found = shares.agg(F.max(gap).alias("statistic"), F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
+    gap = F.abs(F.col("ca") / F.col("s.a") - F.col("cb") / F.col("s.b"))
+    found = shares.select("*", totals.alias("s")).agg(F.max(gap).alias("statistic"), F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
     return found.select(
         "n_a", "n_b", "statistic", ks_p_value(F.col("statistic"), F.col("n_a"), F.col("n_b")).alias("p_value")
     )
@@ -75,15 +73,16 @@ def chi_square_stat(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     """Homogeneity of two frequency tables: categories, dof, statistic."""
     counts = _two_sides(a, b, col, "string").groupBy("v").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     totals = counts.agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b")).alias("s")).scalar()
-    everything = (totals["a"] + totals["b"]).cast("double")
-    row = F.col("a") + F.col("b")
-    terms = [
-        (F.col(side) - row * totals[side] / everything) ** 2 / (row * totals[side] / everything) for side in ("a", "b")
-    ]
-    return counts.agg(
+    row, everything = F.col("a") + F.col("b"), (F.col("s.a") + F.col("s.b")).cast("double")
+
+    def term(side: str) -> Column:
+        expected = row * F.col(f"s.{side}") / everything
+        return (F.col(side) - expected) ** 2 / expected
+
+    return counts.select("*", totals.alias("s")).agg(
         F.count(F.lit(1)).alias("categories"),
         (F.count(F.lit(1)) - 1).alias("dof"),
-        F.sum(terms[0] + terms[1]).alias("statistic"),
+        F.sum(term("a") + term("b")).alias("statistic"),
     )
 
 

@@ -11,7 +11,7 @@ from cohortspark.functions.ordered import AUTO, Slices, running_sum
 from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.scalars import label_text
 from cohortspark.operators.cohort import MAX_COLUMNS
-from cohortspark.operators.relational import append, first_per
+from cohortspark.operators.relational import first_per
 from cohortspark.session import pin_small
 
 
@@ -136,14 +136,10 @@ def item_labels(item_map: DataFrame) -> DataFrame:
 
     A class name that repeats keeps its first entry.
     """
-    order = ["nid_table", "nid_class1", "nid_class2"]
-    unique = first_per(item_map, ["class2"], order)
-    parts = []
-    for digit, (prefix, suffix, text) in LABEL_KINDS.items():
-        name = label_text(F.lit(prefix), "nid_class1", "nid_class2")
-        parts.append(
-            unique.filter(F.col("nid_table") == digit).select(
-                F.concat(name, F.lit(suffix)).alias("old"), F.concat(F.lit(text), F.col("class2")).alias("label")
-            )
-        )
-    return append(*parts)
+    unique = first_per(item_map, ["class2"], ["nid_table", "nid_class1", "nid_class2"])
+    old = text = F.lit(None).cast("string")
+    for digit, (prefix, suffix, words) in LABEL_KINDS.items():
+        here = F.col("nid_table") == digit
+        old = F.when(here, F.concat(label_text(F.lit(prefix), "nid_class1", "nid_class2"), F.lit(suffix))).otherwise(old)
+        text = F.when(here, F.concat(F.lit(words), F.col("class2"))).otherwise(text)
+    return unique.filter(F.col("nid_table").isin(*LABEL_KINDS)).select(old.alias("old"), text.alias("label"))
