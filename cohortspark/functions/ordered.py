@@ -14,12 +14,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType, TimestampNTZType, TimestampType
 
+from cohortspark.functions.skew import AUTO, HOT_ROWS, HOT_SHARE, hot_keys, mark_hot, matching, spread_join
 from cohortspark.functions.time import micros
-from cohortspark.session import inline
 
-HOT_ROWS = 1_000_000  # a group up to this size stays in one task
-HOT_SHARE = 1 / 256  # and so does one below this share of all rows, hence at most 256 hot keys
-AUTO = "auto"  # measure the frame itself; None states that no group is too big for a task
 SLICE, HOT = "_slice", "_hot"
 
 
@@ -50,28 +47,26 @@ def plan_slices(
     order: str,
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
+    hot: DataFrame | str | None = AUTO,
 ) -> Slices | None:
-    """Count the rows per key and return the cuts its hot keys need; None when every group fits into one task.
+    """The cuts the hot keys of a frame need; None when every group fits into one task.
 
-    Runs one counting job on `keys` alone (and a quantile job only if there are hot keys), so pass the frame the rows come
-    from rather than an expensive derivation of it.
+    Runs one counting job on `keys` (none if the `hot` keys are given) and a quantile job if there are hot keys, so pass
+    the frame the rows come from rather than an expensive derivation of it.
     """
-    spark = df.sparkSession
     if keys:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        most = counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(int(1 / hot_share) + 1).collect()
-        total = df.count() if most else 0
-        rows = [r for r in most if r["n"] > total * hot_share]  # fewer than 1 / hot_share keys can pass
-        if not rows:
+        hot = hot_keys(df, keys, hot_rows, hot_share) if isinstance(hot, str) else hot
+        if hot is None:
             return None
-        hot = inline(spark, [tuple(r)[:-1] for r in rows], df.select(*keys).schema)
-        body = df.join(F.broadcast(hot), _same(df, hot, keys), "left_semi")
+        body = df.join(F.broadcast(hot), matching(df, hot, [(k, k) for k in keys]), "left_semi")
+        pieces = int(1 / hot_share)
     else:
         total = df.count()
         if total <= hot_rows:
             return None
         hot, body = None, df
-    pieces = int(min(max(1 / hot_share, 2), max(2, -(-total // max(hot_rows, 1)))))
+        pieces = int(min(1 / hot_share, -(-total // max(hot_rows, 1))))
+    pieces = max(2, pieces)
     numbers = body.select(order_number(df, order).alias("v"))
     borders = numbers.approxQuantile("v", [i / pieces for i in range(1, pieces)], 1 / (4 * pieces))
     return Slices(tuple(keys), order, hot, tuple(sorted(set(borders))))
@@ -93,12 +88,7 @@ def add_slice(df: DataFrame, slices: Slices) -> DataFrame:
     if slices.hot is None:
         marked = df.withColumn(HOT, F.lit(True))
     else:
-        hot = slices.hot.select(*[F.col(k).alias(f"_h_{k}") for k in slices.keys], F.lit(True).alias(HOT))
-        match = F.lit(True)
-        for k in slices.keys:
-            match = match & df[k].eqNullSafe(hot[f"_h_{k}"])
-        marked = df.join(F.broadcast(hot), match, "left").drop(*[f"_h_{k}" for k in slices.keys])
-        marked = marked.withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
+        marked = mark_hot(df, list(slices.keys), slices.hot, HOT)
     splits = [float("-inf"), *slices.borders, float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_order", outputCol="_cut", handleInvalid="keep")
     cut = cut.transform(marked.withColumn("_order", order_number(df, slices.order)))
@@ -124,9 +114,7 @@ def _attach(rows: DataFrame, summary: DataFrame, keys, names: list[str]) -> Data
     right = summary.select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.col(SLICE).alias("_s_slice"), *[F.col(n) for n in names]
     )
-    match = rows[HOT] & (rows[SLICE] == right["_s_slice"])
-    for k in keys:
-        match = match & rows[k].eqNullSafe(right[f"_s_{k}"])
+    match = rows[HOT] & matching(rows, right, [(k, f"_s_{k}") for k in keys]) & (rows[SLICE] == right["_s_slice"])
     return rows.join(F.broadcast(right), match, "left").drop("_s_slice", *[f"_s_{k}" for k in keys])
 
 
@@ -209,9 +197,6 @@ def dense_rank_by(
         return df.select("*", F.dense_rank().over(w).alias(name))
     values = df.select(*keys, order).distinct()  # map-side combined: a repeated value reaches the window once
     ranks = running_sum(values, keys, [order], {name: F.lit(1)}, slices)
-    right = ranks.select(*[F.col(c).alias(f"_r_{c}") for c in [*keys, order]], name)
-    match = F.lit(True)
-    for c in [*keys, order]:
-        match = match & df[c].eqNullSafe(right[f"_r_{c}"])
-    joined = df.join(right, match, "left").select(*df.columns, F.col(name).cast("int").alias(name))
-    return joined
+    ranks = ranks.withColumn(name, F.col(name).cast("int"))
+    # Joined on (key, value): only copies of one value share a task, and those are spread as well.
+    return spread_join(df, ranks, [*keys, order], "left", hot_keys(df, [*keys, order]), nullsafe=True)

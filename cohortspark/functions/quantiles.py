@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortspark.functions.ordered import HOT_ROWS
+from cohortspark.functions.skew import HOT_ROWS
 
 ACCURACY = 100_000  # the sketch's rank error is at most 1 / ACCURACY of the rows
 MARGIN = 4 / ACCURACY

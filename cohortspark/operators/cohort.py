@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortspark.functions.ordered import AUTO, Slices, dense_rank_by
+from cohortspark.functions.ordered import Slices, dense_rank_by, plan_slices
 from cohortspark.functions.predicates import any_of, code_prefix_match, holds
+from cohortspark.functions.skew import AUTO, resolve_hot, spread_join
 from cohortspark.functions.time import elapsed_days, elapsed_hours, elapsed_years, within_days
-from cohortspark.operators.relational import first_per, intersect_ids, remap, restrict_to
+from cohortspark.operators.relational import append, enrich, first_per, intersect_ids, remap, restrict_to
 
 # Columns of the three entity tables that make up a context row.
 STAY_COLUMNS = [
@@ -83,22 +84,35 @@ def build_context(
     cohort: DataFrame | None = None,
     service_weights: dict[str, int] | None = None,
     keep_no_stay: bool = False,
+    hot: DataFrame | str | None = AUTO,
     stay_slices: Slices | str | None = AUTO,
     admission_slices: Slices | str | None = AUTO,
 ) -> DataFrame:
     """One row per stay with its admission, patient, ages, length of stay, outcomes, service indicator and ranks.
 
     Admissions without a stay share the unknown stay id and therefore collapse to one row (the lowest hadm_id);
-    `keep_no_stay` keeps each of them.
+    `keep_no_stay` keeps each of them. `hot` are admissions with too many stays for one task (measured unless given).
     """
+    hot = resolve_hot(hot, icustays, ["hadm_id"])
     base = admissions.select(*ADMISSION_COLUMNS)
     if cohort is not None:
         base = restrict_to(base, cohort, "hadm_id")
-    rows = base.join(patients.select("subject_id", *PATIENT_COLUMNS), "subject_id", "left").join(
-        icustays.select("hadm_id", *STAY_COLUMNS), "hadm_id", "left"
-    )
+    people = base.join(patients.select("subject_id", *PATIENT_COLUMNS), "subject_id", "left")
+    stays = icustays.select("hadm_id", *STAY_COLUMNS)
+    if isinstance(stay_slices, str):
+        stay_slices = plan_slices(icustays, ["hadm_id"], "intime", hot=hot)
+    if isinstance(admission_slices, str):  # measured without the columns and joins the ranking does not need
+        narrow = base.select("hadm_id", "subject_id", "admittime").join(icustays.select("hadm_id"), "hadm_id", "left")
+        admission_slices = plan_slices(narrow, ["subject_id"], "admittime")
+    if hot is None:
+        rows = people.join(stays, "hadm_id", "left")
+    else:  # stays lead the join, so that those of a hot admission can be spread
+        with_stay = spread_join(stays, people, ["hadm_id"], "inner", hot)
+        without = people.join(stays.select("hadm_id").distinct(), "hadm_id", "left_anti")
+        rows = append(with_stay, without)
     if services is not None:
-        rows = rows.join(weighted_indicator(services, "hadm_id", "curr_service", service_weights or {}), "hadm_id", "left")
+        indicator = weighted_indicator(services, "hadm_id", "curr_service", service_weights or {})
+        rows = enrich(rows, indicator, ["hadm_id"], ["ser_ind"], unique=True, hot=hot)
     else:
         rows = rows.withColumn("ser_ind", F.lit(None).cast("bigint"))
     rows = rows.select(
@@ -127,22 +141,22 @@ def flag_per_key(df: DataFrame, key: str, flags: dict[str, Column]) -> DataFrame
     return df.groupBy(key).agg(*[F.max(F.when(holds(c), F.lit(1)).otherwise(F.lit(0))).alias(n) for n, c in flags.items()])
 
 
-def attach_flags(ctx: DataFrame, flags: DataFrame, key: str) -> DataFrame:
+def attach_flags(ctx: DataFrame, flags: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
     """Left-join a flag table and read an absent key as 0."""
     names = [c for c in flags.columns if c != key]
-    joined = ctx.drop(*names).join(flags, key, "left")
+    joined = enrich(ctx.drop(*names), flags, [key], names, unique=True, hot=hot)
     return joined.fillna(0, subset=names)
 
 
 def one_hot_membership(
-    ctx: DataFrame, members: DataFrame, key: str, col: str, values: list[str] | None = None
+    ctx: DataFrame, members: DataFrame, key: str, col: str, values: list[str] | None = None, hot: DataFrame | None = None
 ) -> DataFrame:
     """A 0/1 column per distinct value of `col` (lower-cased name) telling whether the key has such a row."""
     name = F.lower(F.col(col))
     if values is None:
         values = distinct_values(members, name)
     flags = flag_per_key(members.filter(F.col(col).isNotNull()), key, {v: name == v for v in sorted({v.lower() for v in values})})
-    return attach_flags(ctx, flags, key)
+    return attach_flags(ctx, flags, key, hot)
 
 
 def code_flags(
@@ -152,6 +166,7 @@ def code_flags(
     key: str = "hadm_id",
     code: str = "icd9_code",
     codes_dim: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Flags by rule: name -> (code prefixes, exact codes). With `codes_dim` only codes listed there count."""
     match = {
@@ -161,7 +176,7 @@ def code_flags(
     hits = diagnoses.select(key, code).filter(any_of(match.values()))
     if codes_dim is not None:
         hits = restrict_to(hits, codes_dim.select(code), code)
-    return attach_flags(ctx, flag_per_key(hits, key, match), key)
+    return attach_flags(ctx, flag_per_key(hits, key, match), key, hot)
 
 
 def remap_categories(ctx: DataFrame, maps: dict[str, DataFrame], default: str | None = None) -> DataFrame:

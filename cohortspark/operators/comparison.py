@@ -8,8 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortspark.functions.ordered import HOT_ROWS, plan_slices, running_sum
+from cohortspark.functions.ordered import plan_slices, running_sum
 from cohortspark.functions.pvalues import chi2_p_value, ks_p_value, t_p_value
+from cohortspark.functions.skew import HOT_ROWS
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:

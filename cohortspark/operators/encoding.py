@@ -7,12 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from cohortspark.functions.columns import columns_of_type
-from cohortspark.functions.ordered import AUTO, Slices, running_sum
+from cohortspark.functions.ordered import Slices, running_sum
 from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.scalars import label_text
+from cohortspark.functions.skew import AUTO, lookup_join
 from cohortspark.operators.cohort import MAX_COLUMNS
 from cohortspark.operators.relational import first_per
-from cohortspark.session import pin_small
 
 
 def median_impute(
@@ -96,8 +96,7 @@ def ordinal_codes(df: DataFrame, col: str, order: str, slices: Slices | str | No
 
 def ordinal_encode(df: DataFrame, col: str, order: str, slices: Slices | str | None = AUTO) -> DataFrame:
     """Add the ordinal code of a category."""
-    codes = pin_small(ordinal_codes(df, col, order, slices).withColumnRenamed(col, "_value"))
-    return df.join(codes, df[col].eqNullSafe(codes["_value"]), "left").drop("_value")
+    return lookup_join(df, ordinal_codes(df, col, order, slices), [col], nullsafe=True)
 
 
 def l2_normalize(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortspark.functions.predicates import any_of
 from cohortspark.functions.scalars import is_missing
+from cohortspark.functions.skew import AUTO, lookup_join, resolve_hot
 from cohortspark.functions.time import elapsed_hours
 from cohortspark.operators.relational import append, delete_where, enrich, first_per, flag_where, restrict_to
-from cohortspark.session import pin_small
 
 
 # --- inventory ------------------------------------------------------------------------------------------------------
@@ -53,8 +53,7 @@ def flag_unit_mismatch(
     df: DataFrame, units: DataFrame, item: str = "itemid", unit: str = "amountuom", name: str = "todelete"
 ) -> DataFrame:
     """Set the flag to 1 on rows whose unit differs from the item's dominant one; a NULL unit is never flagged."""
-    dim = pin_small(units.select(F.col(item), F.col(unit).alias("_unit")))
-    joined = df.join(dim, item, "left")
+    joined = lookup_join(df, units.select(F.col(item), F.col(unit).alias("_unit")), [item])
     return flag_where(joined, F.col(unit) != F.col("_unit"), name).drop("_unit")
 
 
@@ -67,9 +66,14 @@ def filter_events(
     item: str = "itemid",
     value: str | None = None,
     distinct: bool = True,
+    hot: DataFrame | str | None = AUTO,
 ) -> DataFrame:
-    """Distinct event rows of the cohort's admissions and the wanted items, with `valuenum` copied from `value` if named."""
-    kept = restrict_to(restrict_to(events, items.select(item), item), ctx.select(key), key)
+    """Distinct event rows of the cohort's admissions and the wanted items, with `valuenum` copied from `value` if named.
+
+    `hot` admissions are measured on the events unless given.
+    """
+    wanted = restrict_to(events, items, item)
+    kept = restrict_to(wanted, ctx, key, resolve_hot(hot, events, [key]))
     if distinct:
         kept = kept.dropDuplicates()
     return kept if value is None else kept.withColumn("valuenum", F.col(value).cast("double"))
@@ -143,15 +147,17 @@ def align_events(
     feature: str = "feature",
     unique: bool = False,
     keep_bounds: bool = False,
+    hot: DataFrame | str | None = AUTO,
 ) -> DataFrame:
     """Add the feature name, t_since (hours since start) and t_til (hours until end).
 
     Rows without a match keep NULLs. `unique` says the context already has one row per key; `keep_bounds` keeps the two
-    times, which saves later steps the join.
+    times, which saves later steps the join. `hot` keys are measured on `df` unless given.
     """
+    hot = resolve_hot(hot, df, [key])
     if features is not None:
         df = enrich(df, features, [item], [feature])
-    joined = enrich(df, ctx, [key], [start, end], unique=unique)
+    joined = enrich(df, ctx, [key], [start, end], unique, hot)
     bounds = [start, end] if keep_bounds else []
     return joined.select(*df.columns, *bounds, elapsed_hours(start, time).alias("t_since"), elapsed_hours(time, end).alias("t_til"))
 

@@ -6,12 +6,12 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortspark.functions.ordered import AUTO, Slices, running_sum
+from cohortspark.functions.ordered import Slices, running_sum
 from cohortspark.functions.scalars import unit_hash
+from cohortspark.functions.skew import AUTO, lookup_join
 from cohortspark.operators.relational import fill_constant, merge_nullsafe, restrict_to
 from cohortspark.operators.scoring import gcs_total
 from cohortspark.operators.summaries import mean_by
-from cohortspark.session import pin_small
 
 SIDE = "side"
 
@@ -33,17 +33,17 @@ def stratified_split(
     if not exact:
         return ids.withColumn(SIDE, split_side(key, frac, seed))
     ids = ids.withColumn("_hash", unit_hash(key, seed))
-    sizes = pin_small(ids.groupBy(label).agg(F.count(F.lit(1)).alias("_size")).withColumnRenamed(label, "_label"))
     ranked = running_sum(ids, [label], ["_hash", key], {"_rank": F.lit(1)}, slices)
-    joined = ranked.join(sizes, ranked[label].eqNullSafe(sizes["_label"]))
+    sizes = ids.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
+    joined = lookup_join(ranked, sizes, [label], nullsafe=True)
     side = F.when(F.col("_rank") <= F.rint(F.col("_size") * F.lit(float(frac))), F.lit("test")).otherwise(F.lit("train"))
     return joined.select(key, label, side.alias(SIDE))
 
 
-def apply_split(df: DataFrame, sides: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(train, test) rows of any table that carries the key."""
+def apply_split(df: DataFrame, sides: DataFrame, key: str, hot: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(train, test) rows of any table that carries the key. `hot` are keys of the table to spread, see `hot_keys`."""
     train, test = (sides.filter(F.col(SIDE) == s).select(key) for s in ("train", "test"))
-    return restrict_to(df, train, key), restrict_to(df, test, key)
+    return restrict_to(df, train, key, hot), restrict_to(df, test, key, hot)
 
 
 def assemble_features(

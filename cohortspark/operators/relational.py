@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cohortspark.functions.columns import columns_of_type, common_columns
 from cohortspark.functions.predicates import holds
 from cohortspark.functions.scalars import null_if_nan
+from cohortspark.functions.skew import spread_join
 
 
 # --- rows -----------------------------------------------------------------------------------------------------------
@@ -60,17 +61,27 @@ def first_per(df: DataFrame, keys: list[str], order: list[Column | str]) -> Data
 
 
 # --- joins ----------------------------------------------------------------------------------------------------------
-def restrict_to(df: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
-    """Keep the rows whose key appears among the ids."""
-    return df.join(ids, key, "left_semi")
-
+def restrict_to(df: DataFrame, ids: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
+    """Keep the rows whose key appears among the ids. `hot` are keys of `df` to spread, see `hot_keys`."""
+    return spread_join(df, ids.select(key), [key], "left_semi", hot)
+
+
+def enrich(
+    df: DataFrame,
+    dim: DataFrame,
+    key: list[str],
+    cols: list[str],
+    unique: bool = False,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Left-join columns of a dimension; a key that repeats there contributes one row (`unique`: it is known not to).
 
-def enrich(df: DataFrame, dim: DataFrame, key: list[str], cols: list[str], unique: bool = False) -> DataFrame:
-    """Left-join columns of a dimension; a key that repeats there contributes one row (`unique`: it is known not to)."""
+    `hot` are keys of `df` that own too many rows for one task, see `hot_keys`.
+    """
     dim = dim.select(*key, *cols)
     if not unique:
         dim = first_per(dim, key, list(cols))
-    return df.join(dim, key, "left")
+    return spread_join(df, dim, key, "left", hot)
 
 
 def remap(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortspark.functions.ordered import AUTO, Slices, carry_forward, order_key, with_next
+from cohortspark.functions.ordered import Slices, carry_forward, order_key, with_next
 from cohortspark.functions.quantiles import fit_medians
+from cohortspark.functions.skew import AUTO
 from cohortspark.functions.time import bucket_index, bucket_start, elapsed_hours, elapsed_seconds
 from cohortspark.operators.relational import delete_where, enrich
 

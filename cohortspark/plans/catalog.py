@@ -215,12 +215,9 @@ SELECT icustay_id, hadm_id, subject_id, ser_ind,
 
 def _context(spark, folder, keep):
     t = hospital(spark, folder)
-    li, o = load(spark, folder, "lineitem"), load(spark, folder, "orders")
     return cohort.build_context(
         t["patients"], t["admissions"], t["icustays"], t["services"],
         cohort.select_cohort(t["patients"], t["admissions"], 8), {"AF": 1, "RO": 2}, keep_no_stay=keep,
-        stay_slices=plan_slices(li.select(F.col("l_orderkey").alias("hadm_id"), F.col("l_shipdate").alias("intime")), ["hadm_id"], "intime"),
-        admission_slices=plan_slices(o.select(F.col("o_custkey").alias("subject_id"), F.col("o_orderdate").alias("admittime")), ["subject_id"], "admittime"),
     )
 
 

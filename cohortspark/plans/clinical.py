@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.functions.ordered import plan_slices
+from cohortspark.functions.skew import hot_keys
 from cohortspark.operators.cohort import build_context, code_flags, one_hot_membership, remap_categories, select_cohort
 from cohortspark.operators.encoding import prepare_inputs
 from cohortspark.operators.measurements import (
@@ -54,6 +54,7 @@ def inventory(tables: dict[str, DataFrame], cohort: DataFrame | None) -> DataFra
 def context(tables: dict[str, DataFrame], maps: dict[str, DataFrame] | None = None, keep_no_stay: bool = False) -> DataFrame:
     """Cohort -> context row -> service flags -> diagnosis flags -> category remap."""
     cohort = select_cohort(tables["patients"], tables["admissions"], rules.MAX_AGE)
+    hot = hot_keys(tables["icustays"], ["hadm_id"])
     rows = build_context(
         tables["patients"],
         tables["admissions"],
@@ -62,30 +63,32 @@ def context(tables: dict[str, DataFrame], maps: dict[str, DataFrame] | None = No
         cohort,
         rules.SERVICE_WEIGHTS,
         keep_no_stay,
-        stay_slices=plan_slices(tables["icustays"], ["hadm_id"], "intime"),
-        admission_slices=plan_slices(tables["admissions"], ["subject_id"], "admittime"),
+        hot,
     )
-    rows = one_hot_membership(rows, tables["services"], "hadm_id", "curr_service")
-    rows = code_flags(rows, tables["diagnoses_icd"], rules.DIAGNOSIS_RULES, codes_dim=tables["d_icd_diagnoses"])
+    rows = one_hot_membership(rows, tables["services"], "hadm_id", "curr_service", hot=hot)
+    rows = code_flags(rows, tables["diagnoses_icd"], rules.DIAGNOSIS_RULES, codes_dim=tables["d_icd_diagnoses"], hot=hot)
     return remap_categories(rows, maps or {})
 
 
 def clean_chart(tables: dict[str, DataFrame], ctx: DataFrame, features: DataFrame) -> DataFrame:
-    events = filter_events(tables["chartevents"], ctx, features)
+    hot = hot_keys(tables["chartevents"], ["hadm_id"])
+    events = filter_events(tables["chartevents"], ctx, features, hot=hot)
     events = apply_unit_fixes(events, rules.CHART_FIXES)
     events = drop_sigma_outliers(events, list(rules.TEMPERATURE_ITEMS), rules.SIGMA)
-    return align_events(apply_rules(events, rules.CHART_RULES), ctx, features)
+    return align_events(apply_rules(events, rules.CHART_RULES), ctx, features, hot=hot)
 
 
 def clean_output(tables: dict[str, DataFrame], ctx: DataFrame, features: DataFrame) -> DataFrame:
-    events = filter_events(tables["outputevents"], ctx, features, value="value")
-    return align_events(apply_rules(events, rules.OUTPUT_RULES), ctx, features)
+    hot = hot_keys(tables["outputevents"], ["hadm_id"])
+    events = filter_events(tables["outputevents"], ctx, features, value="value", hot=hot)
+    return align_events(apply_rules(events, rules.OUTPUT_RULES), ctx, features, hot=hot)
 
 
 def clean_lab(tables: dict[str, DataFrame], ctx: DataFrame, features: DataFrame) -> DataFrame:
-    events = filter_events(tables["labevents"], ctx, features)
+    hot = hot_keys(tables["labevents"], ["hadm_id"])
+    events = filter_events(tables["labevents"], ctx, features, hot=hot)
     events = apply_unit_fixes(apply_rules(events, rules.LAB_RULES), rules.LAB_FIXES)
-    return align_events(events, ctx, features)
+    return align_events(events, ctx, features, hot=hot)
 
 
 def _long(events: DataFrame, has_stay: bool) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortspark.functions.ordered import plan_slices
+from cohortspark.functions.skew import hot_keys
 from cohortspark.operators import cohort, modelling
 from cohortspark.plans import clinical, rules
 from cohortspark.session import configure, inline
@@ -72,7 +73,8 @@ def test_context_with_hot_patients(hosp):
     assert cut is not None and stay is not None
     args = (hosp["patients"], hosp["admissions"], hosp["icustays"])
     plain = cohort.build_context(*args, keep_no_stay=True)
-    sliced = cohort.build_context(*args, keep_no_stay=True, stay_slices=stay, admission_slices=cut)
+    hot = hot_keys(hosp["icustays"], ["hadm_id"], 1, 0.1)
+    sliced = cohort.build_context(*args, keep_no_stay=True, hot=hot, stay_slices=stay, admission_slices=cut)
     assert rows(plain, *plain.columns) == rows(sliced, *plain.columns)
 
 

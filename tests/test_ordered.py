@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortspark.functions.ordered import carry_forward, dense_rank_by, plan_slices, running_sum, with_next
-from cohortspark.session import inline
+from cohortspark.functions.skew import hot_keys, lookup_join, spread_join
+from cohortspark.session import inline, pin_small
 
 
 @pytest.fixture(scope="module")
@@ -67,6 +68,27 @@ def test_carrying_twice_changes_nothing(rows):
     same(once, carry_forward(once, ["k"], ["t", "id"], ["v"]))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+@pytest.mark.parametrize("nullsafe", [False, True])
+def test_spread_join_equals_plain(spark, rows, how, nullsafe):
+    dim = inline(spark, [(1, "x"), (None, "n"), (7, "y"), (999, "z")], "k bigint, name string")
+    hot = hot_keys(rows, ["k"], 100, 1 / 20)
+    plain = spread_join(rows, dim, ["k"], how, None, nullsafe)
+    spread = spread_join(rows, dim, ["k"], how, hot, nullsafe, salts=8)
+    same(plain, spread)
+    want = {"inner": "k in (1, 7)", "left": "true", "left_semi": "k in (1, 7)"}[how] + (" or k is null" if nullsafe else "")
+    assert spread.count() == rows.filter(want).count()
+
+
+def test_lookup_of_any_size(spark, rows, monkeypatch):
+    dim = rows.groupBy("k").agg(F.count("v").alias("seen"))
+    small = lookup_join(rows, dim, ["k"], nullsafe=True)
+    monkeypatch.setattr("cohortspark.functions.skew.pin_small", lambda df: df)
+    monkeypatch.setattr("cohortspark.functions.skew.resolve_hot", lambda hot, df, keys: hot_keys(df, keys, 100, 1 / 20))
+    same(small, lookup_join(rows, dim, ["k"], nullsafe=True))
+    assert pin_small(dim, 3) is dim and pin_small(dim, 1000) is not dim
+
+
 def test_text_order_cannot_be_sliced(rows):
     with pytest.raises(TypeError):
         plan_slices(rows, ["k"], "s", hot_rows=100, hot_share=1 / 20)
