@@ -48,20 +48,21 @@ def plan_slices(
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
     hot: DataFrame | str | None = AUTO,
+    rows: int | None = None,
 ) -> Slices | None:
     """The cuts the hot keys of a frame need; None when every group fits into one task.
 
     Runs one counting job on `keys` (none if the `hot` keys are given) and a quantile job if there are hot keys, so pass
-    the frame the rows come from rather than an expensive derivation of it.
+    the frame the rows come from rather than an expensive derivation of it. `rows` is a known upper bound of its size.
     """
     if keys:
-        hot = hot_keys(df, keys, hot_rows, hot_share) if isinstance(hot, str) else hot
+        hot = hot_keys(df, keys, hot_rows, hot_share, rows) if isinstance(hot, str) else hot
         if hot is None:
             return None
         body = df.join(F.broadcast(hot), matching(df, hot, [(k, k) for k in keys]), "left_semi")
         pieces = int(1 / hot_share)
     else:
-        total = df.count()
+        total = df.count() if rows is None or rows > hot_rows else rows
         if total <= hot_rows:
             return None
         hot, body = None, df

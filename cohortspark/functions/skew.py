@@ -17,16 +17,22 @@ SALTS = 64
 _SALT = "_salt"
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> DataFrame | None:
+def hot_keys(
+    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE, rows: int | None = None
+) -> DataFrame | None:
     """The hot keys (NULL may be one) as a literal table, None if there are none.
 
     Runs one counting job on `keys` alone: pass the table the rows come from rather than an expensive derivation of it.
+    `rows` is a known upper bound of the row count (a source table's count comes from its file footers); when that already
+    fits into one task nothing is counted.
     """
+    if rows is not None and rows <= hot_rows:
+        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     most = counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(int(1 / hot_share) + 1).collect()
     total = df.count() if most else 0
-    rows = [tuple(r)[:-1] for r in most if r["n"] > total * hot_share]  # fewer than 1 / hot_share keys can pass
-    return inline(df.sparkSession, rows, df.select(*keys).schema) if rows else None
+    hot = [tuple(r)[:-1] for r in most if r["n"] > total * hot_share]  # fewer than 1 / hot_share keys can pass
+    return inline(df.sparkSession, hot, df.select(*keys).schema) if hot else None
 
 
 def resolve_hot(hot: DataFrame | str | None, df: DataFrame, keys: list[str]) -> DataFrame | None:

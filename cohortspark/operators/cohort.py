@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortspark.functions.ordered import Slices, dense_rank_by, plan_slices
 from cohortspark.functions.predicates import any_of, code_prefix_match, holds
-from cohortspark.functions.skew import AUTO, resolve_hot, spread_join
+from cohortspark.functions.skew import AUTO, hot_keys, spread_join
 from cohortspark.functions.time import elapsed_days, elapsed_hours, elapsed_years, within_days
 from cohortspark.operators.relational import append, enrich, first_per, intersect_ids, remap, restrict_to
 
@@ -93,7 +93,9 @@ def build_context(
     Admissions without a stay share the unknown stay id and therefore collapse to one row (the lowest hadm_id);
     `keep_no_stay` keeps each of them. `hot` are admissions with too many stays for one task (measured unless given).
     """
-    hot = resolve_hot(hot, icustays, ["hadm_id"])
+    bound = admissions.count() + icustays.count()  # of the joined rows
+    if isinstance(hot, str):
+        hot = hot_keys(icustays, ["hadm_id"], rows=bound)
     base = admissions.select(*ADMISSION_COLUMNS)
     if cohort is not None:
         base = restrict_to(base, cohort, "hadm_id")
@@ -103,7 +105,7 @@ def build_context(
         stay_slices = plan_slices(icustays, ["hadm_id"], "intime", hot=hot)
     if isinstance(admission_slices, str):  # measured without the columns and joins the ranking does not need
         narrow = base.select("hadm_id", "subject_id", "admittime").join(icustays.select("hadm_id"), "hadm_id", "left")
-        admission_slices = plan_slices(narrow, ["subject_id"], "admittime")
+        admission_slices = plan_slices(narrow, ["subject_id"], "admittime", rows=bound)
     if hot is None:
         rows = people.join(stays, "hadm_id", "left")
     else:  # stays lead the join, so that those of a hot admission can be spread

@@ -71,16 +71,16 @@ def apply_dummies(df: DataFrame, spec: DummySpec) -> DataFrame:
 
 
 def prepare_inputs(
-    train: DataFrame, test: DataFrame, categories: list[str], own_medians: bool = False
+    train: DataFrame, test: DataFrame, categories: list[str], own_medians: bool = False, rows: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Median imputation and dummies for both sides with statistics of the training side.
 
-    `own_medians` fills the test side with its own medians instead.
+    `own_medians` fills the test side with its own medians instead. `rows` is a known upper bound of either side's size.
     """
     numbers = columns_of_type(train, "numeric")
-    stats = fit_medians(train, numbers)
+    stats = fit_medians(train, numbers, rows)
     spec = fit_dummies(train, categories)
-    test_stats = fit_medians(test, numbers) if own_medians else stats
+    test_stats = fit_medians(test, numbers, rows) if own_medians else stats
     return (
         apply_dummies(median_impute(train, numbers, stats), spec),
         apply_dummies(median_impute(test, numbers, test_stats), spec),

@@ -42,27 +42,34 @@ class WideSpec:
     items: tuple | None = None
 
 
+LEVELS = {"avrg": "avg", "mini": "min", "maxi": "max", "cnt": "count"}
+TOTALS = {"tot": "sum"}
+
+
 def wide_summary(ctx: DataFrame, specs: list[WideSpec], key: str = "icustay_id", span: str | None = "los_total") -> DataFrame:
-    """Context plus one column per item and statistic: a single pivot and a single join for each event table.
+    """Context plus one column per item and statistic: specs of one event table share a single pivot and join.
 
     Counts and totals are divided by the span of the stay (NULL for a zero or unknown span); without a span they stay plain.
     """
-    out, rates = ctx, []
+    found: dict[tuple, list] = {}
+    grouped: dict[tuple, tuple[WideSpec, dict]] = {}
+    rates = set()
     for s in specs:
-        items = list(s.items) if s.items is not None else distinct_values(s.df, s.item)
+        source = (id(s.df), s.item)
+        if s.items is None and source not in found:
+            found[source] = distinct_values(s.df, s.item)
+        items = tuple(found[source] if s.items is None else s.items)
         tail = f"_{s.suffix}" if s.suffix else ""
-        if s.kind == "levels":
-            stats = {"avrg": ("avg", s.value), "mini": ("min", s.value), "maxi": ("max", s.value), "cnt": ("count", s.value)}
-            rates += [f"cnt_{i}{tail}" for i in items]
-        else:
-            stats = {"tot": ("sum", s.value)}
-            rates += [f"tot_{i}{tail}" for i in items]
-        wide = spread(s.df, [key], s.item, items, stats, name="{spec}_{value}" + tail)
-        out = out.join(wide, key, "left")
+        stats = LEVELS if s.kind == "levels" else TOTALS
+        _, cells = grouped.setdefault((*source, items), (s, {}))
+        cells.update({f"{label}_{{value}}{tail}": (how, s.value) for label, how in stats.items()})
+        rates |= {f"{label}_{i}{tail}" for label in stats if label in ("cnt", "tot") for i in items}
+    out = ctx
+    for (_, _, items), (s, cells) in grouped.items():
+        out = out.join(spread(s.df, [key], s.item, list(items), cells), key, "left")
     if span is None:
         return out
-    scaled = set(rates)
-    return out.select(*[rate(c, span).alias(c) if c in scaled else F.col(c) for c in out.columns])
+    return out.select(*[rate(c, span).alias(c) if c in rates else F.col(c) for c in out.columns])
 
 
 def code_counts(
@@ -72,7 +79,7 @@ def code_counts(
     rows = df.select(key, code).filter(F.col(code).isNotNull())
     codes = codes if codes is not None else distinct_values(rows, code)
     one = rows.withColumn("_one", F.lit(1).cast("bigint"))
-    wide = spread(one, [key], code, codes, {prefix: ("sum", "_one")})
+    wide = spread(one, [key], code, codes, {prefix + "_{value}": ("sum", "_one")})
     names = [c for c in wide.columns if c != key]
     wide = wide.fillna(0, subset=names)
     if ctx is None:

@@ -13,25 +13,20 @@ from cohortspark.operators.relational import delete_where, enrich
 WIDE_LIMIT = 256  # up to here conditional aggregates (one shuffle); beyond it the built-in pivot
 
 
-def spread(
-    df: DataFrame, keys: list[str], on: str, values: list, specs: dict[str, tuple[str, str]], name: str = "{spec}_{value}"
-) -> DataFrame:
-    """Pivot with explicit values. specs: label -> (aggregate name, value column); columns are named by the template."""
-
-    def title(label: str, v) -> str:
-        return name.format(spec=label, value=v)
-
-    functions = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count, "first": F.first}
-    if len(values) * len(specs) <= WIDE_LIMIT:
-        cells = [
-            functions[how](F.when(F.col(on) == v, F.col(c))).alias(title(label, v))
-            for v in values
-            for label, (how, c) in specs.items()
-        ]
+AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}
+
+
+def spread(df: DataFrame, keys: list[str], on: str, values: list, specs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Pivot with explicit values. specs: column name containing "{value}" -> (aggregate, value column)."""
+    titles = [t.format(value=v) for v in values for t in specs]
+    if len(titles) <= WIDE_LIMIT:
+        cells = [AGGREGATES[how](F.when(F.col(on) == v, F.col(c))) for v in values for how, c in specs.values()]
+        cells = [cell.alias(t) for cell, t in zip(cells, titles)]
         return df.filter(F.col(on).isin(*values)).groupBy(*keys).agg(*cells) if values else df.select(*keys).distinct()
-    wide = df.groupBy(*keys).pivot(on, values).agg(*[functions[how](c).alias(label) for label, (how, c) in specs.items()])
-    made = [c for c in wide.columns if c not in keys]
-    return wide.toDF(*keys, *[title(label, v) for v in values for label in specs][: len(made)])
+    wide = df.groupBy(*keys).pivot(on, values).agg(
+        *[AGGREGATES[how](c).alias(f"_a{i}") for i, (how, c) in enumerate(specs.values())]
+    )
+    return wide.toDF(*keys, *titles)
 
 
 def pivot_features(
@@ -113,11 +108,10 @@ def bucketize(
     aggs: column -> "avg" or "sum". Hours since start and until end are those of the bucket time (a bucket may lie before
     the start); the two times come with the table if it has the columns, else from the context if one is given.
     """
-    functions = {"avg": F.avg, "sum": F.sum}
     carried = [c for c in (start, end) if c in table.columns]
     out = (
         table.groupBy(bucket_index(time, width_s).alias("_bucket"), *keys)
-        .agg(*[functions[how](c).alias(c) for c, how in aggs.items()], *[F.min(c).alias(c) for c in carried])
+        .agg(*[AGGREGATES[how](c).alias(c) for c, how in aggs.items()], *[F.min(c).alias(c) for c in carried])
         .withColumn(time, bucket_start("_bucket", width_s))
     )
     if len(carried) < 2:

@@ -13,6 +13,7 @@ from cohortspark.functions import columns as names
 from cohortspark.functions.ordered import dense_rank_by, plan_slices
 from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.scalars import item_class, log10_between, parse_ids
+from cohortspark.functions.skew import hot_keys
 from cohortspark.functions.time import elapsed_hours
 from cohortspark.operators import cohort, comparison, encoding, measurements, modelling, relational, summaries, timetable
 from cohortspark.plans import clinical, rules
@@ -71,7 +72,8 @@ def spans(ev: DataFrame) -> DataFrame:
 
 def aligned_events(ev: DataFrame, keep_bounds: bool = False) -> DataFrame:
     return measurements.align_events(
-        ev, spans(ev), None, key="user_id", time="ts", start="start_ts", end="end_ts", unique=True, keep_bounds=keep_bounds
+        ev, spans(ev), None, key="user_id", time="ts", start="start_ts", end="end_ts", unique=True, keep_bounds=keep_bounds,
+        hot=hot_keys(ev, ["user_id"], rows=ev.count()),
     )
 
 
@@ -237,7 +239,7 @@ AS adm_rank FROM orders"""
 )
 def admission_rank(spark, folder):
     o = load(spark, folder, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    ranked = dense_rank_by(o, ["o_custkey"], "o_orderdate", "adm_rank", plan_slices(o, ["o_custkey"], "o_orderdate"))
+    ranked = dense_rank_by(o, ["o_custkey"], "o_orderdate", "adm_rank", plan_slices(o, ["o_custkey"], "o_orderdate", rows=o.count()))
     return ranked.select("o_orderkey", "o_custkey", "adm_rank")
 
 
@@ -323,7 +325,8 @@ def event_filter(spark, folder):
     ev = load(spark, folder, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     members = ev.filter((F.col("event_type") == "signup") & (F.col("value") > 50)).select("user_id")
     items = inline(spark, [("click",), ("purchase",)], "event_type string")
-    return measurements.filter_events(ev, members, items, "user_id", "event_type", "value")
+    hot = hot_keys(ev, ["user_id"], rows=ev.count())
+    return measurements.filter_events(ev, members, items, "user_id", "event_type", "value", hot=hot)
 
 
 @query(
@@ -489,7 +492,7 @@ CASE WHEN l_{t} IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {t}_imputed_glo
 @query(LOCF_SQL)
 def locf_impute(spark, folder):
     ev = load(spark, folder, "events")
-    table, slices = wide_events(ev).select("user_id", "ts", *TYPES), plan_slices(ev, ["user_id"], "ts")
+    table, slices = wide_events(ev).select("user_id", "ts", *TYPES), plan_slices(ev, ["user_id"], "ts", rows=ev.count())
     return rounded(timetable.impute_sequence(table, ["user_id"], ["ts"], TYPES, slices=slices, rows=ev.count()))
 
 
@@ -501,7 +504,7 @@ WHERE event_type = 'click' AND nt = 'purchase'"""
 )
 def pair_intervals(spark, folder):
     ev = load(spark, folder, "events")
-    slices = plan_slices(ev, ["user_id"], "ts")
+    slices = plan_slices(ev, ["user_id"], "ts", rows=ev.count())
     return rounded(timetable.pair_intervals(ev, ["user_id"], "ts", "event_type", "click", "purchase", "value", ["event_id"], slices))
 
 
@@ -543,6 +546,20 @@ def wide_summary(spark, folder):
     return rounded(summaries.wide_summary(ctx, specs, "user_id", "span_h"))
 
 
+@query(
+    f"""SELECT user_id, {', '.join(f"""round(avg(value) FILTER (event_type = '{t}'), 6) AS "Average Value: {t}",
+count(value) FILTER (event_type = '{t}') AS cnt_{t}""" for t in TYPES)} FROM events GROUP BY user_id"""
+)
+def labelled_summary(spark, folder):
+    """Summary columns renamed by a label table that is itself read off the data."""
+    ev = load(spark, folder, "events", ["user_id", "event_type", "value"])
+    wide = timetable.spread(ev, ["user_id"], "event_type", TYPES, {"avrg_{value}": ("avg", "value"), "cnt_{value}": ("count", "value")})
+    labels = ev.select("event_type").distinct().select(
+        F.concat(F.lit("avrg_"), "event_type").alias("old"), F.concat(F.lit("Average Value: "), "event_type").alias("label")
+    )
+    return rounded(names.rename_from_map(wide, labels))
+
+
 @query(
     f"""SELECT user_id, count(*) AS n, round({h('min(ts)', 'max(ts)')}, 6) AS span_h,
 round(count(*) / nullif({h('min(ts)', 'max(ts)')}, 0), 6) AS per_hour FROM events GROUP BY user_id"""
@@ -835,7 +852,7 @@ count(*) OVER (PARTITION BY c_mktsegment) AS n FROM customer)"""
 def split_exact(spark, folder):
     c = load(spark, folder, "customer")
     hashed = c.select("c_mktsegment", modelling.unit_hash("c_custkey", 42).alias("_hash"))
-    slices = plan_slices(hashed, ["c_mktsegment"], "_hash")
+    slices = plan_slices(hashed, ["c_mktsegment"], "_hash", rows=c.count())
     return modelling.stratified_split(c, "c_custkey", "c_mktsegment", 0.1, 42, exact=True, slices=slices)
 
 
@@ -918,10 +935,11 @@ def assemble(spark, folder):
 def logistic_fit(spark, folder):
     """Text length and language against the quality label: coefficients of the fit and the hold-out accuracy."""
     docs = load(spark, folder, "documents", ["doc_id", "lang", "n_chars"])
-    rows = docs.join(load(spark, folder, "labels", ["doc_id", "quality"]), "doc_id")
+    labels = load(spark, folder, "labels", ["doc_id", "quality"])
+    rows = docs.join(labels, "doc_id")
     rows = rows.withColumn("n_chars", F.ln(F.col("n_chars") + 1.0))
     parts = modelling.apply_split(rows, modelling.stratified_split(rows, "doc_id", "quality", 0.2, 1), "doc_id")
-    train, test = encoding.prepare_inputs(*[p.drop("doc_id") for p in parts], ["lang"])
+    train, test = encoding.prepare_inputs(*[p.drop("doc_id") for p in parts], ["lang"], rows=labels.count())
     model = modelling.fit_logistic(train, "quality")
     inputs = [c for c in train.columns if c != "quality"]
     fitted = [(c, float(v)) for c, v in zip(inputs, model.coefficients)] + [("intercept", float(model.intercept))]
