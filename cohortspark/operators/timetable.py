@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortspark.functions.ordered import Slices, carry_forward, order_key, with_next
 from cohortspark.functions.quantiles import fit_medians
-from cohortspark.functions.skew import AUTO
+from cohortspark.functions.skew import AUTO, HOT_ROWS
 from cohortspark.functions.time import bucket_index, bucket_start, elapsed_hours, elapsed_seconds
 from cohortspark.operators.relational import delete_where, enrich
+from cohortspark.session import settle
 
 WIDE_LIMIT = 256  # up to here conditional aggregates (one shuffle); beyond it the built-in pivot
 
@@ -54,6 +55,8 @@ def pivot_features(
     order = tie or [*([stay] if stay else []), value]
     parts = [(None, F.lit(True))] if within is None else [(w, F.col(within[0]) == w) for w in within[1]]
     wanted = events.filter(F.col(feature).isin(*features))
+    if drop_negative:  # the two times follow from entity and time, so whole groups go
+        wanted = delete_where(wanted, (F.col("t_til") < 0) | (F.col("t_since") < 0))
     simple = stay is None and len(order) == 1 and order[0] != value
     picks, cells = [], {}
     for i, f in enumerate(features):
@@ -69,8 +72,6 @@ def pivot_features(
             picks.append(pick.alias(name))
             cells[f].append(F.col(name))
     table = wanted.groupBy(entity, time).agg(*[F.min(c).alias(c) for c in carried], *picks)
-    if drop_negative:
-        table = delete_where(table, (F.col("t_til") < 0) | (F.col("t_since") < 0))
     if stay is None:
         found = {f: [c if simple else c["v"] for c in cs] for f, cs in cells.items()}
         return table.select(entity, time, *carried, *[_total(vs).alias(f) for f, vs in found.items()])
@@ -135,8 +136,10 @@ def impute_sequence(
     """Fill gaps of each key with the last known value, what remains with the column's global median.
 
     `<col>_imputed` marks cells that were missing, `<col>_imputed_global` those that took the median. `rows` is a known
-    upper bound of the row count, see `fit_medians`.
+    upper bound of the row count, see `fit_medians`. The frame is read several times, so a large one is settled first.
     """
+    if rows is None or rows > HOT_ROWS:
+        df = settle(df)
     if medians is None:
         medians = fit_medians(df, cols, rows)
     flagged = df.select("*", *[F.col(c).isNull().cast("double").alias(f"{c}_imputed") for c in cols])

@@ -17,7 +17,7 @@ from cohortspark.functions.skew import hot_keys
 from cohortspark.functions.time import elapsed_hours
 from cohortspark.operators import cohort, comparison, encoding, measurements, modelling, relational, summaries, timetable
 from cohortspark.plans import clinical, rules
-from cohortspark.session import configure, inline
+from cohortspark.session import configure, inline, pin_small
 from cohortspark.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,9 +41,15 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded for comparison: float sums depend on the order of the rows."""
+    """Doubles rounded for comparison, since float sums depend on the order of the rows. Plain arithmetic: the built-in
+    rounding of doubles goes through decimal text and would cost more than many of the queries."""
     doubles = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
-    return df.select(*[F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns])
+    scale = float(10**digits)
+
+    def near(c: str) -> Column:
+        return F.signum(c) * F.floor(F.abs(F.col(c)) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+    return df.select(*[near(c).alias(c) if c in doubles else F.col(c) for c in df.columns])
 
 
 def h(start: str, end: str) -> str:
@@ -71,9 +77,11 @@ def spans(ev: DataFrame) -> DataFrame:
 
 
 def aligned_events(ev: DataFrame, keep_bounds: bool = False) -> DataFrame:
+    whole = spans(ev)
+    ctx = pin_small(whole)
+    hot = hot_keys(ev, ["user_id"], rows=ev.count()) if ctx is whole else None
     return measurements.align_events(
-        ev, spans(ev), None, key="user_id", time="ts", start="start_ts", end="end_ts", unique=True, keep_bounds=keep_bounds,
-        hot=hot_keys(ev, ["user_id"], rows=ev.count()),
+        ev, ctx, None, key="user_id", time="ts", start="start_ts", end="end_ts", unique=True, keep_bounds=keep_bounds, hot=hot
     )
 
 

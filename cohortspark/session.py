@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -41,9 +43,21 @@ SMALL_ROWS = 100_000
 
 
 def pin_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A frame of at most `rows` rows as a literal table, which the planner broadcasts; a larger one is returned as it is.
+    """A frame of at most `rows` rows as a literal table to broadcast; a larger one is returned as it is.
 
     For derived lookup sides (counts per item, codes per category) whose size no statistic tells before they are computed.
     """
     found = df.limit(rows + 1).collect()
-    return df if len(found) > rows else inline(df.sparkSession, [tuple(r) for r in found], df.schema)
+    return df if len(found) > rows else F.broadcast(inline(df.sparkSession, [tuple(r) for r in found], df.schema))
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a frame that several later steps read once and for all, into the session's checkpoint folder.
+
+    The folder is the one the session names in spark.checkpoint.dir; a temporary one is set only where none is named.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint()

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortspark import sources
-from cohortspark.session import inline
+from cohortspark.session import inline, settle
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -53,6 +53,13 @@ def test_save_partitioned_keeps_entities_in_order(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1000
 
 
+def test_settle_uses_the_session_folder(spark):
+    df = settle(spark.range(10).withColumn("b", F.col("id") * 2))
+    folder = spark.sparkContext.getCheckpointDir()
+    assert folder and df.count() == 10
+    assert spark.sparkContext.getCheckpointDir() == (settle(df) and folder)
+
+
 def test_inline_is_a_local_relation(spark):
     df = inline(spark, [(1, None)], "a bigint, b string")
     assert "LocalTableScan" in df._jdf.queryExecution().toString()
