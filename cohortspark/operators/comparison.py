@@ -129,14 +129,6 @@ def pair_points(df: DataFrame, x: str, y: str, n: int, key: str, seed: int | str
 
 
 # --- embedding trust ------------------------------------------------------------------------------------------------
-def _squared(points: np.ndarray, anchors: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Squared distances (anchors in blocks × points), a few million numbers at a time."""
-    step = max(1, 4_000_000 // max(points.size, 1))
-    for i in range(0, len(anchors), step):
-        gaps = anchors[i : i + step, None, :] - points[None, :, :]
-        yield i, np.einsum("apd,apd->ap", gaps, gaps)
-
-
 def trustworthiness(
     df: DataFrame, high: str, low: str, key: str, k: int = 5, anchors: int = 1000, seed: int | str = 0
 ) -> DataFrame:
@@ -156,6 +148,13 @@ def trustworthiness(
     high_space = np.array([r["x"] for r in picked], dtype=np.float64)
     low_space = np.array([r["e"] for r in picked], dtype=np.float64)
 
+    def squared(points: np.ndarray, anchors: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Squared distances (anchors in blocks × points), a few million numbers at a time."""
+        step = max(1, 4_000_000 // max(points.size, 1))
+        for i in range(0, len(anchors), step):
+            gaps = anchors[i : i + step, None, :] - points[None, :, :]
+            yield i, np.einsum("apd,apd->ap", gaps, gaps)
+
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = pd.DataFrame({"anchor": [], "id": [], "de": [], "dx": []})
         for pdf in batches:
@@ -164,11 +163,12 @@ def trustworthiness(
             points, own = np.stack(pdf["e"].to_numpy()), pdf["id"].to_numpy()
             inputs = np.stack(pdf["x"].to_numpy())
             found = [best]
-            for at, distance in _squared(points, low_space):
+            for at, distance in squared(points, low_space):
                 distance[own[None, :] == ids[at : at + len(distance), None]] = np.inf
                 for row, d in enumerate(distance):
-                    take = np.lexsort((own, d))[:k]
-                    take = take[np.isfinite(d[take])]
+                    limit = np.partition(d, k - 1)[k - 1] if len(d) > k else np.inf
+                    take = np.flatnonzero((d <= limit) & np.isfinite(d))
+                    take = take[np.lexsort((own[take], d[take]))[:k]]
                     gap = inputs[take] - high_space[at + row]
                     found.append(
                         pd.DataFrame(
@@ -192,7 +192,7 @@ def trustworthiness(
             if not len(pdf):
                 continue
             points, own = np.stack(pdf["x"].to_numpy()), pdf["id"].to_numpy()
-            for at, distance in _squared(points, high_space):
+            for at, distance in squared(points, high_space):
                 for row, d in enumerate(distance):
                     me = at + row
                     other = own != ids[me]
