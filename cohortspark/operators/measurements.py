@@ -29,10 +29,12 @@ def item_inventory(sources: list[Source], cohort: DataFrame | None = None, key:
     parts = []
     for s in sources:
         df = s.df if s.where is None else s.df.filter(s.where)
-        if cohort is not None:
-            df = restrict_to(df, cohort, key)
-        item = F.col(s.item) if isinstance(s.item, str) else s.item
-        parts.append(df.select(F.lit(s.name).alias("source"), item.cast("string").alias("itemid")))
+        item = (F.col(s.item) if isinstance(s.item, str) else s.item).cast("string").alias("itemid")
+        if cohort is None:
+            items = df.select(item)
+        else:  # each pair once before the join, so repeated measurements of a long admission are gone by then
+            items = restrict_to(df.select(key, item).distinct(), cohort, key)
+        parts.append(items.select(F.lit(s.name).alias("source"), "itemid"))
     return append(*parts).distinct()
 
 

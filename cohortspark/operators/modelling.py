@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortspark.functions.ordered import Slices, running_sum
 from cohortspark.functions.scalars import unit_hash
-from cohortspark.functions.skew import AUTO, lookup_join
+from cohortspark.functions.skew import AUTO, hot_keys, lookup_join, resolve_hot
 from cohortspark.operators.relational import fill_constant, merge_nullsafe, restrict_to
 from cohortspark.operators.scoring import gcs_total
 from cohortspark.operators.summaries import mean_by
@@ -40,8 +40,9 @@ def stratified_split(
     return joined.select(key, label, side.alias(SIDE))
 
 
-def apply_split(df: DataFrame, sides: DataFrame, key: str, hot: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(train, test) rows of any table that carries the key. `hot` are keys of the table to spread, see `hot_keys`."""
+def apply_split(df: DataFrame, sides: DataFrame, key: str, hot: DataFrame | str | None = AUTO) -> tuple[DataFrame, DataFrame]:
+    """(train, test) rows of any table that carries the key. `hot` keys of the table are measured unless given."""
+    hot = resolve_hot(hot, df, [key])
     train, test = (sides.filter(F.col(SIDE) == s).select(key) for s in ("train", "test"))
     return restrict_to(df, train, key, hot), restrict_to(df, test, key, hot)
 
@@ -57,11 +58,18 @@ def assemble_features(
     fills: dict[str, float] | None = None,
     total: Column | None = None,
     drop: list[str] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Context ⋈ stay averages ⋈ admission averages (unknown keys match each other), constant fills, coma total, drops."""
+    """Context ⋈ stay averages ⋈ admission averages (unknown keys match each other), constant fills, coma total, drops.
+
+    The hot keys of the context, such as an unknown stay shared by many rows, are measured unless the bound `rows` on its
+    size rules them out.
+    """
     by_stay = mean_by(stay_buckets, stay_key, stay_features)
     by_admission = mean_by(admission_buckets, admission_key, admission_features)
-    merged = merge_nullsafe(merge_nullsafe(ctx, by_stay, stay_key), by_admission, admission_key)
+    hot = [hot_keys(ctx, [k], rows=rows) for k in (stay_key, admission_key)]
+    merged = merge_nullsafe(ctx, by_stay, stay_key, hot=hot[0])
+    merged = merge_nullsafe(merged, by_admission, admission_key, hot=hot[1])
     if fills:
         merged = fill_constant(merged, fills)
     merged = merged.withColumn("gcs_total", gcs_total() if total is None else total)

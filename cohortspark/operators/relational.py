@@ -95,10 +95,11 @@ def remap(
     return joined.select(*[value.alias(c) if c == col else F.col(c) for c in df.columns])
 
 
-def merge_nullsafe(a: DataFrame, b: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join in which an unknown key equals an unknown key."""
-    right = b.withColumnRenamed(key, "_key")
-    return a.join(right, a[key].eqNullSafe(right["_key"]), how).drop("_key")
+def merge_nullsafe(
+    a: DataFrame, b: DataFrame, key: str, how: str = "inner", hot: DataFrame | None = None
+) -> DataFrame:
+    """Join in which an unknown key equals an unknown key. `hot` are keys of `a` to spread, the unknown one included."""
+    return spread_join(a, b, [key], how, hot, nullsafe=True)
 
 
 def merge_common(a: DataFrame, b: DataFrame, how: str = "left") -> DataFrame:

@@ -934,7 +934,7 @@ def assemble(spark, folder):
     adm_buckets = o.select(F.col("o_custkey").alias("adm"), F.floor("o_totalprice").alias("sodium"))
     out = modelling.assemble_features(
         ctx, stay_buckets, adm_buckets, ["heart_rate", "gcs_e", "gcs_m", "gcs_v"], ["sodium"], "stay", "adm",
-        rules.COMA_FILLS, drop=["stay", "adm", "o_totalprice"],
+        rules.COMA_FILLS, drop=["stay", "adm", "o_totalprice"], rows=o.count(),
     )
     return rounded(out)
 
