@@ -3,14 +3,16 @@
 Written with DataFrame functions only. Lines are counted by (host, 64-bit hash) with map-side combining, so a host with a
 third of all pages is spread like any other; the second pass looks a line up in its host's set of boilerplate hashes. That
 set is bounded: if a host's pages have L different lines each on average, at most L / ratio lines can be on more than the
-share `ratio` of them. The join on the host is left to adaptive execution, which broadcasts the sets by their measured size
-or splits a hot host.
+share `ratio` of them. The sets are written to the shared folder first, so the planner knows their size before it joins:
+small ones are broadcast and the texts are not shuffled at all; beyond its limit it joins by host and splits a hot one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from cohortspark.llm.common import settle
+
 RATIO = 0.1
 MIN_PAGES = 3
 
@@ -46,7 +48,8 @@ def drop_boilerplate(
     text is one blank line and stays. Repeated rows count as pages of their own. Other columns, n_lines or n_dropped of the
     input included, are passed on under their names except that the two new columns replace columns of the same name.
     """
-    sets = boilerplate(docs, text, host, ratio, min_pages).select(F.col("host").alias("_host"), F.col("lines").alias("_lines"))
+    found = settle(boilerplate(docs, text, host, ratio, min_pages), "boilerplate")
+    sets = found.select(F.col("host").alias("_host"), F.col("lines").alias("_lines"))
     joined = docs.join(sets, docs[host].eqNullSafe(sets["_host"]), "left")
     every = F.split(docs[text], "\n")
     kept = F.filter(every, lambda x: ~F.array_contains(F.col("_lines"), F.xxhash64(x)) | (F.trim(x) == ""))

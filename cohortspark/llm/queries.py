@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import line_dedup
+from cohortspark.llm import decontaminate, line_dedup
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
@@ -45,3 +45,12 @@ def op10_site_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines cut out of each document: doc_id, n_lines, n_dropped, kept_sha256 (of the remaining text)."""
     out = line_dedup.drop_boilerplate(load(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query()
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark phrases in each document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans."""
+    docs, items = load(spark, folder, "documents", ["doc_id", "text"]), load(spark, folder, "benchmark")
+    out = decontaminate.find_contamination(docs, items)
+    digest = F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "spans")
