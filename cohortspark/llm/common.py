@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -44,3 +46,13 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def texts_of(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.binary()).to_pylist()
+
+
+def worker_cache(key: str, build: Callable):
+    """An object that a Python worker keeps between tasks (vocabularies, compiled tables). It must not change results."""
+    home = sys.modules.setdefault("_cohortspark_worker", types.ModuleType("_cohortspark_worker"))
+    kept = home.__dict__.setdefault("kept", {})
+    if key not in kept:
+        kept.clear()  # a worker serves one operator at a time: at most one object
+        kept[key] = build()
+    return kept[key]

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import decontaminate, line_dedup
+from cohortspark.llm import bpe, decontaminate, line_dedup
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +56,17 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     out = decontaminate.find_contamination(docs, items)
     digest = F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256")
     return out.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "spans")
+
+
+def ranks_path() -> str:
+    """The public rank file's place on the driver; its content is broadcast."""
+    import public_tokenizers
+
+    return public_tokenizers.path(RANKS)
+
+
+@query()
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text encoded and decoded again: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    docs = load(spark, folder, "documents", ["doc_id", "text"])
+    return bpe.encode_texts(docs, bpe.load_ranks(ranks_path()), keep_ids=False)
