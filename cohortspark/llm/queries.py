@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import bpe, decontaminate, line_dedup
+from cohortspark.llm import bpe, decontaminate, jaccard, line_dedup
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
@@ -70,3 +70,9 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every text encoded and decoded again: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     docs = load(spark, folder, "documents", ["doc_id", "text"])
     return bpe.encode_texts(docs, bpe.load_ranks(ranks_path()), keep_ids=False)
+
+
+@query()
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate components of all documents: doc_id, n_shingles, component_id."""
+    return jaccard.near_duplicates(load(spark, folder, "documents", ["doc_id", "text"]))
