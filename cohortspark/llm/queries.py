@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import bpe, decontaminate, jaccard, line_dedup
+from cohortspark.llm import bpe, decontaminate, jaccard, line_dedup, toxicity
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
@@ -76,3 +76,12 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents: doc_id, n_shingles, component_id."""
     return jaccard.near_duplicates(load(spark, folder, "documents", ["doc_id", "text"]))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents: doc_id, held_out, score, predicted, n_restored."""
+    docs = load(spark, folder, "documents", ["doc_id", "text"])
+    model = toxicity.train(docs, load(spark, folder, "labels"))
+    fold = F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", fold, "score", "predicted", "n_restored")
