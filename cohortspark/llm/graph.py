@@ -7,20 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from cohortspark.llm.common import settle
 
 
-def jump(parents: DataFrame) -> DataFrame:
-    """(node, root) of a forest given as (node, parent), parent = node at a root: halve all paths until nothing moves."""
-    now = settle(parents.select("node", "parent"), "forest")
-    while True:
-        up = now.select(F.col("node").alias("parent"), F.col("parent").alias("next"))
-        stepped = now.join(up, "parent", "left").select(
-            "node", F.coalesce("next", "parent").alias("parent"), (F.col("next") != F.col("parent")).alias("moved")
-        )
-        now = settle(stepped, "forest")
-        if not now.filter("moved").take(1):
-            return now.select("node", F.col("parent").alias("root"))
-        now = now.drop("moved")
-
-
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of all nodes of the undirected links (u, v); root is the smallest node of the component.
 

@@ -3,11 +3,13 @@
 1. Texts with equal shingle sets form a class; from here on only classes are compared.
 2. Two sets that meet the threshold share one of the first few shingles of each, in any order common to all sets. The order
    puts shingles first that are rare by a fixed-size count over the whole corpus, so shared passages come last.
-3. Each class is compared with one hub, the smallest class with which it shares most of those shingles. A group of copies
-   becomes a star around its hub instead of all its pairs; the links found this way join classes to trees.
-4. What remains are pairs of different trees. They meet in tiles of one shingle and one band of set sizes; the bits set in one
-   1024-bit signature and not in the other bound the overlap from above, and what the bound leaves goes to the intersection.
-5. Trees and the links between them give the components.
+   Of shingles that exactly the same classes share, one stands for all.
+3. Each class is compared with a few hubs, classes that share most of those shingles with it. A group of copies becomes a few
+   stars around its hubs instead of all its pairs.
+4. What remains are pairs of classes that the stars have not joined. They meet in tiles of one shingle and one band of set
+   sizes. In both steps the bits set in one 1024-bit signature and not in the other bound the overlap from above, and only
+   what the bound leaves goes to the exact intersection.
+5. The links of both steps give the components.
 
 Every step is a join or a map-side combined aggregate, none emits the pairs of a group, and the only things that reach the
 driver are counts of fixed size. Texts are moved for classes that have a partner to be compared with, and no others.
@@ -19,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortspark.llm.common import settle, texts_of
-from cohortspark.llm.graph import components, jump
+from cohortspark.llm.graph import components
 from cohortspark.llm.shingles import WordHasher, common, mix, shingle_sets
 from cohortspark.llm.sketch import slices, total
 
@@ -31,6 +33,8 @@ PERCENT = 80
 ORDER_BITS = 20  # slots of the corpus-wide count that orders shingles
 PICK_BITS = 23  # slots of the filter on documents whose text is needed
 SIGNATURE_WORDS = 16  # 64-bit words of a signature
+HUB_KEYS = (0, 0x2545F4914F6CDD1D, 0x1B03738712FAD5C9, 0x5851F42D4C957F2D)  # orders in which the first class is the hub
+HUBS = 3  # hubs each class is compared with
 PER_HUB = 256  # texts compared with one copy of a hub's text in one group
 
 
@@ -182,25 +186,52 @@ def bound(left: str, right: str) -> Column:
     return sum(terms[1:], terms[0])
 
 
-def crossing(shared: DataFrame, roots: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (hub, node) of different trees that share a token and that size and signature do not rule out."""
-    placed = shared.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
+def possible(percent: int) -> Column:
+    """Can sets `l` and `r` meet the threshold, by size and signature? An overlap o of sizes a and b meets it when
+    (100 + percent) * o >= percent * (a + b)."""
+    need = percent * (F.col("l.n") + F.col("r.n"))
+    sizes = (100 * F.col("l.n") >= percent * F.col("r.n")) & (100 * F.col("r.n") >= percent * F.col("l.n"))
+    left, right = F.col("l.n") - bound("l", "r"), F.col("r.n") - bound("r", "l")
+    return sizes & ((100 + percent) * left >= need) & ((100 + percent) * right >= need)
+
+
+def shared_tokens(reps: DataFrame) -> DataFrame:
+    """(token, node, weight): who shares prefix shingles; one token for all `weight` that the same nodes share."""
+    tokens = reps.select("node", F.explode("prefix").alias("token"))
+    owners = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"), "owners")
+    shared = settle(tokens.join(owners, "token"), "shared")
+    who = [F.count(F.lit(1)).alias("c"), F.min("node").alias("a"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y")]
+    sets = shared.groupBy("token").agg(*who).groupBy("c", "a", "x", "y")
+    kept = settle(sets.agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight")).select("token", "weight"), "tokens")
+    return settle(shared.join(kept, "token"), "shared")
+
+
+def star_pairs(shared: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Pairs (hub, node): for each node the hubs that share most with it, as far as size and signature allow a link."""
+    first = shared.groupBy("token").agg(*[F.min(F.col("node").bitwiseXOR(F.lit(k))).alias(f"h{i}") for i, k in enumerate(HUB_KEYS)])
+    hubs = F.array_distinct(F.array(*[F.col(f"h{i}").bitwiseXOR(F.lit(k)) for i, k in enumerate(HUB_KEYS)]))
+    seen = shared.join(settle(first.select("token", hubs.alias("hubs")), "hubs"), "token").select("node", "weight", F.explode("hubs").alias("hub"))
+    votes = seen.filter("node <> hub").groupBy("node", "hub").agg(F.sum("weight").alias("votes"))
+    turn = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("votes"), "hub"))
+    best = votes.withColumn("turn", turn).filter(F.col("turn") <= HUBS).select("node", "hub").alias("p")
+    with_hub = best.join(bits.alias("l"), F.col("p.hub") == F.col("l.node")).select("p.node", "l.*", F.col("p.hub").alias("hub")).toDF("to", *bits.columns, "hub")
+    both = with_hub.alias("l").join(bits.alias("r"), F.col("l.to") == F.col("r.node"))
+    return both.filter(possible(percent)).select("l.hub", F.col("l.to").alias("node"))
+
+
+def crossing(shared: DataFrame, roots: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Pairs (hub, node) of different components that share a token and that size and signature do not rule out."""
+    placed = shared.join(roots, "node", "left").select("token", "node", F.coalesce("root", "node").alias("root"))
     placed = settle(placed, "placed")
     mixed = placed.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
-    bits = reps.select("node", *[F.col("bits")[k].alias(f"s{k}") for k in range(SIGNATURE_WORDS)])
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
     rows = settle(placed.join(settle(mixed, "mixed"), "token").join(bits, "node").withColumn("band", band), "tiles")
     small = rows.alias("l")
     large = rows.drop("band").withColumn("band", F.explode(F.array(band, band - 1))).alias("r")
-    apart = (
-        (F.col("l.token") == F.col("r.token")) & (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root"))
-        & ((F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.node") < F.col("r.node"))))
-        & (100 * F.col("l.n") >= percent * F.col("r.n"))
-    )
-    # Overlap o of sizes a and b meets the threshold when (100 + percent) * o >= percent * (a + b).
-    need = percent * (F.col("l.n") + F.col("r.n"))
-    enough = ((100 + percent) * (F.col("l.n") - bound("l", "r")) >= need) & ((100 + percent) * (F.col("r.n") - bound("r", "l")) >= need)
-    return small.join(large, apart & enough).select(F.col("l.node").alias("hub"), F.col("r.node").alias("node")).distinct()
+    tile = (F.col("l.token") == F.col("r.token")) & (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root"))
+    order = (F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.node") < F.col("r.node")))
+    found = small.join(large, tile & order & possible(percent))
+    return found.select(F.col("l.node").alias("hub"), F.col("r.node").alias("node")).distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -221,24 +252,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     reps = settle(once.join(least, "fp").withColumn("node", F.monotonically_increasing_id()), "classes")
     nodes = reps.select("node", "id", "fp")
 
-    tokens = reps.select("node", "n", F.explode("prefix").alias("token"))
-    owners = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("hub")).filter("c > 1").drop("c"), "owners")
-    shared = settle(tokens.join(owners, "token"), "shared")
-    votes = shared.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c"))
-    best = votes.groupBy("node").agg(F.max(F.struct("c", (-F.col("hub")).alias("h"))).alias("m")).select("node", (-F.col("m.h")).alias("hub"))
-    stars = settle(verified(rows, best, nodes, words, percent), "stars")
-    ends = stars.select("node", F.col("hub").alias("parent"))
-    tops = stars.select(F.col("hub").alias("node")).distinct().join(ends.select("node"), "node", "left_anti")
-    trees = jump(ends.union(tops.select("node", F.col("node").alias("parent"))))
-
-    rest = settle(verified(rows, crossing(shared, trees, reps, percent), nodes, words, percent), "rest")
-    tree_of = trees.select("node", "root")
-
-    def root(side: str) -> Column:
-        return F.coalesce("root", side)
-
-    links = rest.join(tree_of.withColumnRenamed("node", "hub"), "hub", "left").select(root("hub").alias("u"), "node")
-    links = links.join(tree_of, "node", "left").select("u", root("node").alias("v"))
+    bits = reps.select("node", "n", *[F.col("bits")[k].alias(f"s{k}") for k in range(SIGNATURE_WORDS)])
+    shared = shared_tokens(reps)
+    stars = settle(verified(rows, star_pairs(shared, bits, percent), nodes, words, percent), "stars")
+    tree_of = components(stars.select(F.col("hub").alias("u"), F.col("node").alias("v")))
+    rest = settle(verified(rows, crossing(shared, tree_of, bits, percent), nodes, words, percent), "rest")
+    links = rest.join(tree_of.withColumnRenamed("node", "hub"), "hub", "left").select(F.coalesce("root", "hub").alias("u"), "node")
+    links = links.join(tree_of, "node", "left").select("u", F.coalesce("root", "node").alias("v"))
     above = components(links).select(F.col("node").alias("root"), F.col("root").alias("top"))
     placed = nodes.join(tree_of, "node", "left").select("fp", "id", F.coalesce("root", "node").alias("root"))
     placed = settle(placed.join(above, "root", "left").select("fp", "id", F.coalesce("top", "root").alias("top")), "tops")
