@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import bpe, decontaminate, jaccard, line_dedup, toxicity
+from cohortspark.llm import bpe, decontaminate, jaccard, line_dedup, pii, toxicity
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
@@ -85,3 +85,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.train(docs, load(spark, folder, "labels"))
     fold = F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
     return toxicity.score(docs, model).select("doc_id", fold, "score", "predicted", "n_restored")
+
+
+@query()
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added."""
+    docs = load(spark, folder, "documents", ["doc_id", "text"])
+    return pii.find_spans(docs, pii.fit(docs)).drop("text")
