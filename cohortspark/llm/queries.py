@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import bpe, decontaminate, jaccard, line_dedup, pii, toxicity
+from cohortspark.llm import bpe, decontaminate, jaccard, line_dedup, pii, toxicity, warc
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
+# Base 32 of a hexadecimal SHA-1: eight groups of five hexadecimal digits, four characters each.
+BASE32_SQL = """array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda b:
+substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha, (5 * i + 1)::INT, 5))::BIGINT >> b) & 31)::INT + 1, 1)), '')), '')"""
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +95,17 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in all documents: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added."""
     docs = load(spark, folder, "documents", ["doc_id", "text"])
     return pii.find_spans(docs, pii.fit(docs)).drop("text")
+
+
+@query(
+    f"""WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS sha, strlen(coalesce(html, ''))::BIGINT AS size FROM pages),
+f AS (SELECT sha, size, min(page_id) AS first FROM p GROUP BY ALL)
+SELECT page_id, size AS payload_bytes, {BASE32_SQL} AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p JOIN f USING (sha, size)"""
+)
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to WARC archives and read back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    out = warc.archive_and_read(load(spark, folder, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
