@@ -122,8 +122,9 @@ def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) ->
     return docs.select("text").mapInArrow(run, "n long, fp binary, prefix array<long>, bits array<long>")
 
 
-def picked_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, fp, text) of the nodes in `wanted` (node, id, fp). A filter of fixed size keeps other texts from being moved."""
+def with_texts(docs: DataFrame, routes: DataFrame) -> DataFrame:
+    """`routes` with column text of the document that their id names. A filter of fixed size on the ids keeps most texts of
+    other documents from being moved; the join is on the ids themselves."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << PICK_BITS, np.int64)
@@ -136,7 +137,7 @@ def picked_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         keys = ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
         return (mix(keys) >> np.uint64(64 - PICK_BITS)).astype(np.int64)
 
-    marks = np.packbits(total(wanted.select("id").mapInArrow(count, "slot int, counts binary"), PICK_BITS) > 0)
+    marks = np.packbits(total(routes.select("id").mapInArrow(count, "slot int, counts binary"), PICK_BITS) > 0)
     shared = docs.sparkSession.sparkContext.broadcast(marks)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,20 +146,18 @@ def picked_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield batch.filter(pa.array((shared.value[slot >> 3] >> (7 - (slot & 7))) & 1 == 1))
 
     few = docs.mapInArrow(keep, "id long, text string").alias("d")
-    return few.join(wanted.alias("w"), F.col("d.id").eqNullSafe(F.col("w.id"))).select("w.node", "w.fp", "d.text")
+    return few.join(routes.alias("r"), F.col("d.id").eqNullSafe(F.col("r.id"))).select("r.*", "d.text")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (hub, node) whose sets meet the threshold, by exact intersection. `nodes`: node, id, fp."""
     pairs = settle(pairs.select("hub", "node").distinct(), "pairs")
-    ends = pairs.select(F.col("hub").alias("node")).union(pairs.select("node")).distinct()
-    texts = settle(picked_texts(docs, nodes.join(ends, "node").select("node", "id", "fp")), "texts")
     groups = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PER_HUB).cast("int").alias("parts"))
-    hubs = groups.join(texts, groups["hub"] == texts["node"]).select(
-        "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("node"), "fp", "text"
-    )
-    sized = pairs.join(groups, "hub").select("hub", "node", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    others = sized.join(texts, "node").select("hub", "part", "node", "fp", "text")
+    copies = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    hubs = groups.join(nodes, groups["hub"] == nodes["node"]).select("hub", copies, F.lit(None).cast("long").alias("node"), "fp", "id")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
+    others = pairs.join(groups, "hub").select("hub", part, "node").join(nodes, "node").select("hub", "part", "node", "fp", "id")
+    routes = settle(hubs.union(others), "routes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, hub, against = WordHasher(), None, None
@@ -176,7 +175,7 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, words: int, pe
                     found[1].append(node)
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["hub", "node"])
 
-    tiles = hubs.union(others).repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("node").asc_nulls_first())
+    tiles = with_texts(docs, routes).repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("node").asc_nulls_first())
     return tiles.mapInArrow(run, "hub long, node long").distinct()
 
 
@@ -225,12 +224,16 @@ def crossing(shared: DataFrame, roots: DataFrame, bits: DataFrame, percent: int)
     placed = settle(placed, "placed")
     mixed = placed.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    rows = settle(placed.join(settle(mixed, "mixed"), "token").join(bits, "node").withColumn("band", band), "tiles")
+    rows = settle(placed.join(settle(mixed, "mixed"), "token"), "tiles")
+    own = rows.groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    rows = settle(rows.join(own.join(bits, "node"), "node").withColumn("band", band), "tiles")
     small = rows.alias("l")
     large = rows.drop("band").withColumn("band", F.explode(F.array(band, band - 1))).alias("r")
     tile = (F.col("l.token") == F.col("r.token")) & (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root"))
     order = (F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.node") < F.col("r.node")))
-    found = small.join(large, tile & order & possible(percent))
+    # A pair with several tokens in common meets in each of their tiles and is taken in the first.
+    once = F.array_min(F.array_intersect("l.tokens", "r.tokens")) == F.col("l.token")
+    found = small.join(large, tile & order & possible(percent) & once)
     return found.select(F.col("l.node").alias("hub"), F.col("r.node").alias("node")).distinct()
 
 
