@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import bpe, decontaminate, jaccard, line_dedup, pii, toxicity, warc
+from cohortspark.llm import bpe, decontaminate, jaccard, line_dedup, pii, toxicity, vptree, warc
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
@@ -109,3 +109,9 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written to WARC archives and read back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     out = warc.archive_and_read(load(spark, folder, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest other vectors of every vector whose id is divisible by 20: query_id, rank, vec_id, score."""
+    return vptree.nearest(load(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)

@@ -23,7 +23,7 @@ from cohortspark.llm.common import texts_of, worker_cache
 from cohortspark.llm.sketch import slices, total
 
 FOLDS = 5
-SAMPLE_PER_CLASS = 3000  # bound of the fitted sample: labelled rows taken of each class, those of the smallest hashes
+SAMPLE_PER_CLASS = 2000  # bound of the fitted sample: labelled rows taken of each class, those of the smallest hashes
 MAX_FEATURES = 10_000
 MIN_TEXTS = 4  # texts of the sample a feature must be in
 STEPS, RATE, DECAY = 300, 1.0, 1e-5

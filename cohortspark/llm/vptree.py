@@ -20,8 +20,8 @@ from cohortspark.llm.common import settle
 
 SHARD = 8192  # vectors a tree
 BLOCK = 512  # queries a block
-LEAF = 128
-FACTOR = 1.25
+LEAF = 512
+FACTOR = 2.0
 
 
 class Tree:
