@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import bpe, decontaminate, jaccard, line_dedup, pii, toxicity, vptree, warc
+from cohortspark.llm import bpe, decontaminate, jaccard, langid, line_dedup, pii, toxicity, vptree, warc
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
@@ -115,3 +115,12 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest other vectors of every vector whose id is divisible by 20: query_id, rank, vec_id, score."""
     return vptree.nearest(load(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents: doc_id, held_out, lang_pred, score."""
+    docs = load(spark, folder, "documents", ["doc_id", "text", "lang"])
+    net = langid.fit(docs)
+    fold = F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
+    return langid.predict(docs.select("doc_id", "text"), net).select("doc_id", fold, "lang_pred", "score")
