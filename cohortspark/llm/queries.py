@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import bpe, decontaminate, jaccard, langid, line_dedup, pii, toxicity, vptree, warc
+from cohortspark.llm import bpe, decontaminate, jaccard, langid, line_dedup, pii, suffix_dedup, toxicity, vptree, warc
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
@@ -124,3 +124,9 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     net = langid.fit(docs)
     fold = F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
     return langid.predict(docs.select("doc_id", "text"), net).select("doc_id", fold, "lang_pred", "score")
+
+
+@query()
+def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Strings of 400 bytes that occur more than once cut out: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    return suffix_dedup.remove_repeats(load(spark, folder, "documents", ["doc_id", "text"]), keep=False)
