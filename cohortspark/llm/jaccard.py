@@ -152,6 +152,14 @@ def with_texts(docs: DataFrame, routes: DataFrame) -> DataFrame:
 def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (hub, node) whose sets meet the threshold, by exact intersection. `nodes`: node, id, fp."""
     pairs = settle(pairs.select("hub", "node").distinct(), "pairs")
+    # The end that is in more pairs becomes the hub: its text is moved once for many others.
+    ends = pairs.select(F.col("hub").alias("end")).union(pairs.select("node")).groupBy("end").agg(F.count(F.lit(1)).alias("c"))
+    ends = settle(ends, "ends")
+    sized = pairs.join(ends.select(F.col("end").alias("hub"), F.col("c").alias("a")), "hub")
+    sized = sized.join(ends.select(F.col("end").alias("node"), F.col("c").alias("b")), "node")
+    turn = (F.col("b") > F.col("a")) | ((F.col("b") == F.col("a")) & (F.col("node") < F.col("hub")))
+    turned = sized.select(F.when(turn, F.col("node")).otherwise(F.col("hub")).alias("hub"), F.when(turn, F.col("hub")).otherwise(F.col("node")).alias("node"))
+    pairs = settle(turned.distinct(), "pairs")
     groups = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PER_HUB).cast("int").alias("parts"))
     copies = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     hubs = groups.join(nodes, groups["hub"] == nodes["node"]).select("hub", copies, F.lit(None).cast("long").alias("node"), "fp", "id")
