@@ -2,8 +2,8 @@
 
 A window partitioned by a key puts the whole key into one task. Keys that are too big for that are cut into slices along
 the order column: the window runs inside (key, slice) and what crosses a slice border travels in a summary of one row per
-(key, slice). Slice borders are quantiles of the order column, so a slice holds at most about 1/slices of all rows,
-whatever the distribution inside the key.
+(key, slice). Slice borders are quantiles of the order column over the rows of the hot keys, as many as those rows hold row
+targets (at most `MAX_SLICES`), so a slice holds about one target whatever the distribution inside a key.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-from cohortspark.functions.skew import AUTO, HOT_ROWS, HOT_SHARE, hot_keys, mark_hot, matching, spread_join
+from cohortspark.functions.skew import AUTO, HOT_ROWS, hot_keys, PARTS, mark_hot, matching, spread_join
 from cohortspark.functions.time import micros
 
 SLICE, HOT = "_slice", "_hot"
+MAX_SLICES = 10_000
 
 
 @dataclass(frozen=True)
@@ -38,7 +39,11 @@ def order_number(df: DataFrame, order: str) -> Column:
         return F.unix_micros(order).cast("double")
     if isinstance(kind, NumericType):
         return F.col(order).cast("double")
-    raise TypeError(f"cannot slice along {order}: {kind.simpleString()} is neither a number nor a time")
+    if isinstance(kind, DateType):
+        return F.unix_date(order).cast("double")
+    if isinstance(kind, StringType):  # the first six bytes: equal ones share a slice, others keep their order
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(order, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    raise TypeError(f"cannot slice along {order}: {kind.simpleString()} has no numeric order")
 
 
 def plan_slices(
@@ -46,7 +51,7 @@ def plan_slices(
     keys: list[str],
     order: str,
     hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    hot_share: float = 0.0,
     hot: DataFrame | str | None = AUTO,
     rows: int | None = None,
 ) -> Slices | None:
@@ -60,14 +65,14 @@ def plan_slices(
         if hot is None:
             return None
         body = df.join(F.broadcast(hot), matching(df, hot, [(k, k) for k in keys]), "left_semi")
-        pieces = int(1 / hot_share)
+        pieces = hot.agg(F.sum(PARTS)).first()[0] if PARTS in hot.columns else MAX_SLICES // 100
     else:
         total = df.count() if rows is None or rows > hot_rows else rows
         if total <= hot_rows:
             return None
         hot, body = None, df
-        pieces = int(min(1 / hot_share, -(-total // max(hot_rows, 1))))
-    pieces = max(2, pieces)
+        pieces = -(-total // max(hot_rows, 1))
+    pieces = max(2, min(int(pieces), MAX_SLICES))
     numbers = body.select(order_number(df, order).alias("v"))
     borders = numbers.approxQuantile("v", [i / pieces for i in range(1, pieces)], 1 / (4 * pieces))
     return Slices(tuple(keys), order, hot, tuple(sorted(set(borders))))
@@ -89,7 +94,9 @@ def add_slice(df: DataFrame, slices: Slices) -> DataFrame:
     if slices.hot is None:
         marked = df.withColumn(HOT, F.lit(True))
     else:
-        marked = mark_hot(df, list(slices.keys), slices.hot, HOT)
+        keys = list(slices.keys)
+        own = slices.hot.select(*keys, F.lit(2).alias(PARTS))
+        marked = mark_hot(df, keys, own, HOT).withColumn(HOT, F.col(HOT) > 1)
     splits = [float("-inf"), *slices.borders, float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_order", outputCol="_cut", handleInvalid="keep")
     cut = cut.transform(marked.withColumn("_order", order_number(df, slices.order)))
@@ -111,12 +118,12 @@ def _per_key(keys) -> list:
 
 
 def _attach(rows: DataFrame, summary: DataFrame, keys, names: list[str]) -> DataFrame:
-    """Bring summary columns to the rows of the hot slices. At most hot keys x slices rows: broadcast is bounded."""
+    """Bring summary columns to the rows of the hot slices. No hint: a slice of a key is one row target at most."""
     right = summary.select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.col(SLICE).alias("_s_slice"), *[F.col(n) for n in names]
     )
     match = rows[HOT] & matching(rows, right, [(k, f"_s_{k}") for k in keys]) & (rows[SLICE] == right["_s_slice"])
-    return rows.join(F.broadcast(right), match, "left").drop("_s_slice", *[f"_s_{k}" for k in keys])
+    return rows.join(right, match, "left").drop("_s_slice", *[f"_s_{k}" for k in keys])
 
 
 def carry_forward(

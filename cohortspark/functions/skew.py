@@ -7,32 +7,31 @@ mostly an aggregate or a first row per key, so hot keys are found by a counting
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import MapType
 
-from cohortspark.session import inline, pin_small
+from cohortspark.session import settle
 
-HOT_ROWS = 1_000_000  # a group up to this size stays in one task
-HOT_SHARE = 1 / 256  # and so does one below this share of all rows, hence at most 256 hot keys
+HOT_ROWS = 1_000_000  # row target of a task: a larger group is spread over as many tasks as it holds targets
 AUTO = "auto"  # measure the frame itself; None states that no group is too big for a task
-SALTS = 64
+PARTS = "_parts"
 _SALT = "_salt"
 
 
 def hot_keys(
-    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE, rows: int | None = None
+    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, hot_share: float = 0.0, rows: int | None = None
 ) -> DataFrame | None:
-    """The hot keys (NULL may be one) as a literal table, None if there are none.
+    """The hot keys (NULL may be one) with the number of parts each needs (`_parts`); None if there are none.
 
-    Runs one counting job on `keys` alone: pass the table the rows come from rather than an expensive derivation of it.
-    `rows` is a known upper bound of the row count (a source table's count comes from its file footers); when that already
-    fits into one task nothing is counted.
+    Hot is a key above `hot_rows` rows (and, where given, above a share of all rows): at most rows / hot_rows keys, so the
+    table can be broadcast. Runs one counting job on `keys` alone: pass the table the rows come from rather than an expensive
+    derivation of it. `rows` is a known upper bound of the row count (a source table's count comes from its file footers);
+    when that already fits into one task nothing is counted.
     """
     if rows is not None and rows <= hot_rows:
         return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    most = counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(int(1 / hot_share) + 1).collect()
-    total = df.count() if most else 0
-    hot = [tuple(r)[:-1] for r in most if r["n"] > total * hot_share]  # fewer than 1 / hot_share keys can pass
-    return inline(df.sparkSession, hot, df.select(*keys).schema) if hot else None
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max(hot_rows, df.count() * hot_share if hot_share else 0))
+    hot = settle(counts.select(*keys, F.ceil(F.col("_n") / max(hot_rows, 1)).cast("int").alias(PARTS)))
+    return hot if hot.take(1) else None
 
 
 def resolve_hot(hot: DataFrame | str | None, df: DataFrame, keys: list[str]) -> DataFrame | None:
@@ -48,25 +47,27 @@ def matching(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], nu
 
 
 def mark_hot(df: DataFrame, keys: list[str], hot: DataFrame, name: str) -> DataFrame:
-    """Add a boolean telling whether the row's key is hot. The table of hot keys is bounded, hence the broadcast."""
-    side = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias(name))
+    """Add the number of parts of the row's key, 1 where it is not hot. Hot keys are at most rows / hot_rows, hence the
+    broadcast."""
+    parts = F.col(PARTS) if PARTS in hot.columns else F.lit(2)
+    side = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], parts.alias(name))
     joined = df.join(F.broadcast(side), matching(df, side, [(k, f"_h_{k}") for k in keys]), "left")
-    return joined.select(*df.columns, F.coalesce(F.col(name), F.lit(False)).alias(name))
+    return joined.select(*df.columns, F.coalesce(F.col(name), F.lit(1)).alias(name))
+
+
+def row_hash(df: DataFrame, keys: list[str]) -> Column:
+    """A hash of the row's columns besides the keys: the same on a retry, whatever task holds the row."""
+    others = [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, MapType)]
+    return F.xxhash64(*others) if others else F.monotonically_increasing_id()
 
 
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str,
-    hot: DataFrame | None,
-    nullsafe: bool = False,
-    salts: int = SALTS,
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: DataFrame | None, nullsafe: bool = False
 ) -> DataFrame:
-    """Join (inner, left, left_semi) whose hot left keys spread over `salts` tasks; columns: left, then the right's others.
+    """Join (inner, left, left_semi) that spreads each hot left key over as many tasks as its rows need; columns: left, then
+    the right's others.
 
-    A hot row is salted with the number of the task that holds it, which a retried task repeats; the right rows of hot
-    keys are repeated once per salt.
+    A hot row is salted with a hash of its other columns; the right rows of hot keys are repeated once per salt.
     """
     others = [c for c in right.columns if c not in keys]
     kept = [] if how == "left_semi" else others
@@ -74,11 +75,12 @@ def spread_join(
     renamed = right.select(*[F.col(k).alias(r) for k, r in names], *kept)
     if hot is None:
         return left.join(renamed, matching(left, renamed, names, nullsafe), how).select(*left.columns, *kept)
-    salt = F.when(F.col("_hot_left"), F.spark_partition_id() % salts).otherwise(F.lit(0))
-    salted = mark_hot(left, keys, hot, "_hot_left").withColumn(_SALT, salt).drop("_hot_left")
-    copies = F.when(F.col("_hot_right"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    marked = mark_hot(renamed, [r for _, r in names], hot.toDF(*[r for _, r in names]), "_hot_right")
-    repeated = marked.withColumn("_r_salt", F.explode(copies)).drop("_hot_right")
+    salt = F.pmod(row_hash(left, keys), F.col("_parts_left")).cast("int")
+    salted = mark_hot(left, keys, hot, "_parts_left").withColumn(_SALT, salt).drop("_parts_left")
+    own = hot.select(*[F.col(k).alias(r) for k, r in names], *[c for c in hot.columns if c == PARTS])
+    marked = mark_hot(renamed, [r for _, r in names], own, "_parts_right")
+    copies = F.sequence(F.lit(0), F.col("_parts_right") - 1)
+    repeated = marked.withColumn("_r_salt", F.explode(copies)).drop("_parts_right")
     condition = matching(salted, repeated, names, nullsafe) & (salted[_SALT] == repeated["_r_salt"])
     return salted.join(repeated, condition, how).select(*left.columns, *kept)
 
@@ -86,6 +88,5 @@ def spread_join(
 def lookup_join(
     df: DataFrame, dim: DataFrame, keys: list[str], hot: DataFrame | str | None = AUTO, nullsafe: bool = False
 ) -> DataFrame:
-    """Left join with a derived lookup of unknown size: as a literal table when it is small, else spread over hot keys."""
-    small = pin_small(dim)
-    return spread_join(df, small, keys, "left", resolve_hot(hot, df, keys) if small is dim else None, nullsafe)
+    """Left join with a derived lookup: hot keys are spread, and adaptive execution broadcasts a side by its measured size."""
+    return spread_join(df, dim, keys, "left", resolve_hot(hot, df, keys), nullsafe)

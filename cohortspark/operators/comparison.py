@@ -130,20 +130,22 @@ def pair_points(df: DataFrame, x: str, y: str, n: int, key: str, seed: int | str
 
 # --- embedding trust ------------------------------------------------------------------------------------------------
 def trustworthiness(
-    df: DataFrame, high: str, low: str, key: str, k: int = 5, anchors: int = 1000, seed: int | str = 0
+    df: DataFrame, high: str, low: str, key: str, anchors: DataFrame, k: int = 5
 ) -> DataFrame:
     """How far the k neighbours in the small space (`low`) are neighbours in the input space (`high`): n, anchors, trust.
 
-    Every point is compared with a bounded set of anchors: all points while there are at most `anchors` of them (then
-    the value is exact), else the lowest key hashes (then it is the mean over that sample). Two passes over the data:
+    The value is the mean over `anchors`, a table of keys (column `key`) that the caller chooses and bounds; it fits into the
+    driver. Every point is ranked against every anchor, at every size in the same way. Two passes over the data:
     each task keeps the k best per anchor, then counts the points closer than each neighbour. No pair is ever emitted.
     """
     rows = df.select(
         F.col(key).cast("bigint").alias("id"), F.col(high).cast("array<double>").alias("x"), F.col(low).cast("array<double>").alias("e")
     )
     n = rows.count()
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
-    picked = rows.orderBy(order, "id").limit(anchors).collect()
+    chosen = anchors.select(F.col(key).cast("bigint").alias("id")).distinct()
+    picked = rows.join(chosen, "id", "left_semi").orderBy("id").collect()
+    if len({r["id"] for r in picked}) < len(picked):
+        raise ValueError(f"{key} is repeated among the anchors")
     ids = np.array([r["id"] for r in picked], dtype=np.int64)
     high_space = np.array([r["x"] for r in picked], dtype=np.float64)
     low_space = np.array([r["e"] for r in picked], dtype=np.float64)

@@ -18,16 +18,22 @@ AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F
 
 
 def spread(df: DataFrame, keys: list[str], on: str, values: list, specs: dict[str, tuple[str, str]]) -> DataFrame:
-    """Pivot with explicit values. specs: column name containing "{value}" -> (aggregate, value column)."""
+    """Pivot with explicit values. specs: column name containing "{value}" -> (aggregate, value column).
+
+    One row for each key that has a listed value, whatever the width; where a key lacks a value its count is 0 and its sum,
+    average, minimum and maximum are NULL.
+    """
     titles = [t.format(value=v) for v in values for t in specs]
+    listed = df.filter(F.col(on).isin(*values) if values else F.lit(False))
     if len(titles) <= WIDE_LIMIT:
         cells = [AGGREGATES[how](F.when(F.col(on) == v, F.col(c))) for v in values for how, c in specs.values()]
-        cells = [cell.alias(t) for cell, t in zip(cells, titles)]
-        return df.filter(F.col(on).isin(*values)).groupBy(*keys).agg(*cells) if values else df.select(*keys).distinct()
-    wide = df.groupBy(*keys).pivot(on, values).agg(
+        named = [cell.alias(t) for cell, t in zip(cells, titles)]
+        return listed.groupBy(*keys).agg(*named) if named else listed.select(*keys).distinct()
+    wide = listed.groupBy(*keys).pivot(on, values).agg(
         *[AGGREGATES[how](c).alias(f"_a{i}") for i, (how, c) in enumerate(specs.values())]
     )
-    return wide.toDF(*keys, *titles)
+    counts = [t.format(value=v) for v in values for t, (how, _) in specs.items() if how == "count"]
+    return wide.toDF(*keys, *titles).fillna(0, subset=counts)
 
 
 def pivot_features(

@@ -17,7 +17,7 @@ from cohortspark.functions.skew import hot_keys
 from cohortspark.functions.time import elapsed_hours
 from cohortspark.operators import cohort, comparison, encoding, measurements, modelling, relational, summaries, timetable
 from cohortspark.plans import clinical, rules
-from cohortspark.session import configure, inline, pin_small
+from cohortspark.session import configure, inline, settle
 from cohortspark.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,11 +77,9 @@ def spans(ev: DataFrame) -> DataFrame:
 
 
 def aligned_events(ev: DataFrame, keep_bounds: bool = False) -> DataFrame:
-    whole = spans(ev)
-    ctx = pin_small(whole)
-    hot = hot_keys(ev, ["user_id"], rows=ev.count()) if ctx is whole else None
+    hot = hot_keys(ev, ["user_id"], rows=ev.count())
     return measurements.align_events(
-        ev, ctx, None, key="user_id", time="ts", start="start_ts", end="end_ts", unique=True, keep_bounds=keep_bounds, hot=hot
+        ev, settle(spans(ev)), None, key="user_id", time="ts", start="start_ts", end="end_ts", unique=True, keep_bounds=keep_bounds, hot=hot
     )
 
 
@@ -568,6 +566,20 @@ def labelled_summary(spark, folder):
     return rounded(names.rename_from_map(wide, labels))
 
 
+SUPPLIERS = list(range(1, 101))  # the listed items of the feature
+
+
+@query(
+    f"""SELECT l_partkey, {', '.join(f"""round(avg(l_quantity) FILTER (l_suppkey = {s}), 6) AS avrg_{s}, min(l_quantity) FILTER (l_suppkey = {s}) AS mini_{s},
+count(l_quantity) FILTER (l_suppkey = {s}) AS cnt_{s}""" for s in SUPPLIERS)} FROM lineitem WHERE l_suppkey IN ({', '.join(map(str, SUPPLIERS))}) GROUP BY l_partkey"""
+)
+def wide_table(spark, folder):
+    """More columns than conditional aggregates are used for."""
+    li = load(spark, folder, "lineitem", ["l_partkey", "l_suppkey", "l_quantity"])
+    cells = {"avrg_{value}": ("avg", "l_quantity"), "mini_{value}": ("min", "l_quantity"), "cnt_{value}": ("count", "l_quantity")}
+    return rounded(timetable.spread(li, ["l_partkey"], "l_suppkey", SUPPLIERS, cells))
+
+
 @query(
     f"""SELECT user_id, count(*) AS n, round({h('min(ts)', 'max(ts)')}, 6) AS span_h,
 round(count(*) / nullif({h('min(ts)', 'max(ts)')}, 0), 6) AS per_hour FROM events GROUP BY user_id"""
@@ -680,13 +692,14 @@ def append_rows(spark, folder):
 
 
 @query(
-    """SELECT (p_partkey * 1000 + p_size) // 1000 // 10 AS class, min(p_size) AS low, count(*) AS n FROM part
-WHERE (p_partkey * 1000 + p_size) // 100000 < 10 GROUP BY 1"""
+    """SELECT code // 10 AS class, min(p_size) AS low, count(*) AS n FROM (SELECT p_size, p_partkey % 10 * 1000 + p_size AS code FROM part)
+WHERE code // 1000 <> 7 GROUP BY 1"""
 )
 def item_classes(spark, folder):
-    part = load(spark, folder, "part").select("p_size", (F.col("p_partkey") * 1000 + F.col("p_size")).alias("code"))
-    low = part.filter(item_class("code", 5) < 10)
-    return low.groupBy(item_class("code", 4).alias("class")).agg(F.min("p_size").alias("low"), F.count(F.lit(1)).alias("n"))
+    """The leading digit of a code names its table; it is spread over all parts."""
+    part = load(spark, folder, "part").select("p_size", (F.col("p_partkey") % 10 * 1000 + F.col("p_size")).alias("code"))
+    others = part.filter(item_class("code", 3) != 7)
+    return others.groupBy(item_class("code", 1).alias("class")).agg(F.min("p_size").alias("low"), F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -1029,7 +1042,7 @@ def pair_points(spark, folder):
 
 @query(
     """WITH p AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, CAST(embedding[1:8] AS DOUBLE[]) AS e FROM embeddings),
-k AS (SELECT * FROM p ORDER BY md5('0:' || vec_id), vec_id LIMIT 2000),
+k AS (SELECT * FROM p WHERE vec_id % 50 = 0),
 d AS (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.x, b.x) AS dx,
 list_distance(a.e, b.e) AS de FROM k a JOIN p b ON a.vec_id <> b.vec_id),
 r AS (SELECT i, row_number() OVER (PARTITION BY i ORDER BY dx, j) AS rx, row_number() OVER (PARTITION BY i ORDER BY de, j) AS re FROM d)
@@ -1039,4 +1052,4 @@ FROM r WHERE re <= 5"""
 )
 def trust(spark, folder):
     e = load(spark, folder, "embeddings").select("vec_id", "embedding", F.slice("embedding", 1, 8).alias("small"))
-    return rounded(comparison.trustworthiness(e, "embedding", "small", "vec_id", 5, 2000))
+    return rounded(comparison.trustworthiness(e, "embedding", "small", "vec_id", e.filter("vec_id % 50 = 0").select("vec_id"), 5))

@@ -1,11 +1,12 @@
-"""Session settings and small-table helpers."""
+"""Session settings, literal tables and intermediate results."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -39,25 +40,19 @@ def inline(spark: SparkSession, rows: list[tuple], schema: StructType | str) ->
     )
 
 
-SMALL_ROWS = 100_000
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the one the cluster names in spark.checkpoint.dir. Only a local session may do without it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="shared-")
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def pin_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A frame of at most `rows` rows as a literal table to broadcast; a larger one is returned as it is.
-
-    For derived lookup sides (counts per item, codes per category) whose size no statistic tells before they are computed.
-    """
-    found = df.limit(rows + 1).collect()
-    return df if len(found) > rows else F.broadcast(inline(df.sparkSession, [tuple(r) for r in found], df.schema))
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Compute a frame that several later steps read once and for all, into the session's checkpoint folder.
-
-    The folder is the one the session names in spark.checkpoint.dir; a temporary one is set only where none is named.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+def settle(df: DataFrame, purpose: str = "settled") -> DataFrame:
+    """Write an intermediate result that is read more than once to the shared folder; later reads restart from there, and the
+    planner knows its size."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -89,8 +89,12 @@ def test_trust(spark):
     e = x[:, :2]
     data = [(i, x[i].tolist(), e[i].tolist()) for i in range(60)]
     df = inline(spark, data, "id bigint, x array<double>, e array<double>").repartition(5)
-    got = comparison.trustworthiness(df, "x", "e", "id", 4).first()
+    every = df.select("id")
+    got = comparison.trustworthiness(df, "x", "e", "id", every, 4).first()
     assert (got["n"], got["anchors"]) == (60, 60) and got["trust"] == pytest.approx(trust_in_python(x, e, 4))
-    assert comparison.trustworthiness(df, "x", "x", "id", 4).first()["trust"] == 1.0
-    part = comparison.trustworthiness(df, "x", "e", "id", 4, anchors=20).first()
-    assert part["anchors"] == 20 and 0 < part["trust"] < 1
+    assert comparison.trustworthiness(df, "x", "x", "id", every, 4).first()["trust"] == 1.0
+    parts = [comparison.trustworthiness(df, "x", "e", "id", df.filter(f"id % 3 = {r}").select("id"), 4).first() for r in range(3)]
+    assert [p["anchors"] for p in parts] == [20, 20, 20]
+    assert sum(p["trust"] for p in parts) / 3 == pytest.approx(got["trust"])
+    with pytest.raises(ValueError):
+        comparison.trustworthiness(df.union(df.filter("id = 3")), "x", "e", "id", every, 4)

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortspark.functions.ordered import carry_forward, dense_rank_by, plan_slices, running_sum, with_next
-from cohortspark.functions.skew import hot_keys, lookup_join, spread_join
-from cohortspark.session import inline, pin_small
+from cohortspark.functions.skew import PARTS, hot_keys, lookup_join, mark_hot, row_hash, spread_join
+from cohortspark.session import inline, settle
 
 
 @pytest.fixture(scope="module")
@@ -74,7 +74,7 @@ def test_spread_join_equals_plain(spark, rows, how, nullsafe):
     dim = inline(spark, [(1, "x"), (None, "n"), (7, "y"), (999, "z")], "k bigint, name string")
     hot = hot_keys(rows, ["k"], 100, 1 / 20)
     plain = spread_join(rows, dim, ["k"], how, None, nullsafe)
-    spread = spread_join(rows, dim, ["k"], how, hot, nullsafe, salts=8)
+    spread = spread_join(rows, dim, ["k"], how, hot, nullsafe)
     same(plain, spread)
     want = {"inner": "k in (1, 7)", "left": "true", "left_semi": "k in (1, 7)"}[how] + (" or k is null" if nullsafe else "")
     assert spread.count() == rows.filter(want).count()
@@ -83,12 +83,35 @@ def test_spread_join_equals_plain(spark, rows, how, nullsafe):
 def test_lookup_of_any_size(spark, rows, monkeypatch):
     dim = rows.groupBy("k").agg(F.count("v").alias("seen"))
     small = lookup_join(rows, dim, ["k"], nullsafe=True)
-    monkeypatch.setattr("cohortspark.functions.skew.pin_small", lambda df: df)
     monkeypatch.setattr("cohortspark.functions.skew.resolve_hot", lambda hot, df, keys: hot_keys(df, keys, 100, 1 / 20))
     same(small, lookup_join(rows, dim, ["k"], nullsafe=True))
-    assert pin_small(dim, 3) is dim and pin_small(dim, 1000) is not dim
 
 
-def test_text_order_cannot_be_sliced(rows):
-    with pytest.raises(TypeError):
-        plan_slices(rows, ["k"], "s", hot_rows=100, hot_share=1 / 20)
+def test_parts_follow_the_rows_of_a_key(rows):
+    """The largest (key, part) holds about one row target, also when all rows begin in one task."""
+    counts = {r["k"]: r["count"] for r in rows.groupBy("k").count().collect()}
+    hot = hot_keys(rows, ["k"], 40)
+    assert {r["k"]: r[PARTS] for r in hot.collect()} == {k: -(-n // 40) for k, n in counts.items() if n > 40}
+    for frame in (rows, rows.repartition(1)):
+        marked = mark_hot(frame, ["k"], hot, "p").withColumn("part", F.pmod(row_hash(frame, ["k"]), F.col("p")))
+        assert marked.groupBy("k", "part").count().agg(F.max("count")).first()[0] <= 80
+
+
+def test_slices_follow_the_rows(rows):
+    cut = plan_slices(rows, ["k"], "t", hot_rows=40)
+    from cohortspark.functions.ordered import SLICE, add_slice
+
+    sizes = add_slice(rows.filter("k = 1"), cut).groupBy(SLICE).count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 120 and sizes[1] > 10
+
+
+@pytest.mark.parametrize("kind", ["date", "decimal(10,2)", "string"])
+def test_orders_of_other_types(rows, kind):
+    value = {"date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("t").cast("int")), "string": F.format_string("é%05d", "t")}.get(kind, F.col("t").cast(kind))
+    df = rows.withColumn("o", F.when(F.col("id") % 7 != 0, value))
+    cut = slices_of(df, ["k"], "o")
+    same(carry_forward(df, ["k"], ["o", "id"], ["v"]), carry_forward(df, ["k"], ["o", "id"], ["v"], cut))
+
+
+def test_settled_rows_are_the_same(spark, rows):
+    same(rows, settle(rows))
