@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from cohortspark.session import settle, shared_folder
+
+__all__ = ["prepare", "settle", "shared_folder", "share_of", "texts_of", "worker_cache"]
 
 ARROW_ROWS = 512  # rows in a batch handed to Python: whole texts travel in it, so it bounds a worker's memory
 
@@ -22,27 +24,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the one the cluster names in spark.checkpoint.dir. Only a local session may do without it."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="shared-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def settle(df: DataFrame, purpose: str) -> DataFrame:
-    """Write an intermediate result that is read more than once to the shared folder; later reads restart from there."""
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def texts_of(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.binary()).to_pylist()
@@ -56,3 +37,13 @@ def worker_cache(key: str, build: Callable):
         kept.clear()  # a worker serves one operator at a time: at most one object
         kept[key] = build()
     return kept[key]
+
+
+def share_of(key: Column, wanted: int, count: int) -> Column:
+    """Does the row's key hash lie in the share of the hash range that lets about `wanted` of `count` rows through?
+
+    Somewhat more pass (five standard deviations), so that the `wanted` smallest hashes are among them; the caller, who gets a
+    bounded number of rows whatever the input, keeps those.
+    """
+    limit = min(1.0, (wanted + 5 * wanted**0.5 + 20) / max(count, 1))
+    return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(limit * (1 << 30)))

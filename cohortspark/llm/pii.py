@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from cohortspark.llm.common import texts_of
+from cohortspark.llm.common import share_of, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 800  # texts the field is fitted on: those of the smallest hashes that hold a digit or an at-sign
@@ -328,8 +328,8 @@ def named(spans: list[Span]) -> str:
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field:
     """Train on the `sample` texts of the smallest key hashes among those with a digit or an at-sign."""
     some = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.col("t").rlike("[0-9@]"))
-    rows = some.orderBy(F.xxhash64("k"), F.length("t"), F.xxhash64("t")).limit(sample).collect()
-    return train([r["t"] for r in rows])
+    rows = some.filter(share_of(F.col("k"), sample, some.count())).select(F.pmod(F.xxhash64("k"), F.lit(1 << 30)).alias("h"), "t").collect()
+    return train([r["t"] for r in sorted(rows, key=lambda r: (r["h"], r["t"]))[:sample]])
 
 
 def find_spans(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:

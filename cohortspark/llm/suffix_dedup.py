@@ -101,16 +101,23 @@ def picked(docs: DataFrame, names: DataFrame, inside: bool = True) -> DataFrame:
     return docs.mapInArrow(keep, docs.schema)
 
 
+def packed(first, last):
+    """A range of starts as one number (starts are below 2 ** 31)."""
+    return (first << 32) | last
+
+
 def string_names(texts: DataFrame, size: int) -> DataFrame:
-    """`texts`: id, ranges (first and last start), text. Rows (name, id, start, weight) of the strings in the ranges. A name goes
-    out once a batch, with weight 2 where the batch has it more often; its other starts come without a name, they are repeated."""
+    """`texts`: id, ranges (packed), text. Rows (name, id, starts, weight): a string that its batch has once comes with its
+    start and weight 1; of one that the batch has more often the name alone goes out, with weight 2. The starts of the latter
+    are known to be repeated: they come as ranges with weight 0 and a name that spreads them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for batch in batches:
             names, ids, starts = [], [], []
             for key, ranges, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2))):
-                for a, b in ((r["first"], r["last"]) for r in ranges):
+                for r in ranges:
+                    a, b = r >> 32, r & 0xFFFFFFFF
                     rolling.load(t[a : b + size])
                     names.append(rolling.fixed(size, 0, b - a + 1))
                     starts.append(np.arange(a, b + 1))
@@ -119,56 +126,63 @@ def string_names(texts: DataFrame, size: int) -> DataFrame:
                 continue
             name, start, owner = np.concatenate(names), np.concatenate(starts), np.concatenate(ids)
             order = np.argsort(name, kind="stable")
-            name = name[order]
+            name, start, owner = name[order], start[order], owner[order]
             new = np.concatenate([[True], name[1:] != name[:-1]])
-            weight = np.full(len(name), 2)
-            weight[new] = np.minimum(np.diff(np.append(np.flatnonzero(new), len(name))), 2)
+            alone = new & np.append(new[1:], True)
+            several = name[new & ~alone]
+            at = np.lexsort((start[~alone], owner[~alone]))
+            s, o = start[~alone][at], owner[~alone][at]
+            edge = np.flatnonzero(np.concatenate([[True], (s[1:] > s[:-1] + 1) | (o[1:] != o[:-1])])) if len(s) else np.zeros(0, np.int64)
+            last = s[np.append(edge[1:], len(s)) - 1] if len(s) else s
+            first = s[edge]
+            spread = mix((o[edge].astype(np.uint64) << np.uint64(20)) ^ first.astype(np.uint64))
+            none = np.zeros(len(several), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(name.view(np.int64), mask=~new), pa.array(owner[order]), pa.array(start[order]), pa.array(weight)],
-                ["name", "id", "start", "weight"],
+                [
+                    pa.array(np.concatenate([name[alone], several, spread]).view(np.int64)),
+                    pa.array(np.concatenate([owner[alone], none, o[edge]])),
+                    pa.array(np.concatenate([packed(start[alone], start[alone]), none, packed(first, last)])),
+                    pa.array(np.concatenate([np.ones(int(alone.sum()), np.int32), none.astype(np.int32) + 2, np.zeros(len(edge), np.int32)])),
+                ],
+                ["name", "id", "starts", "weight"],
             )
 
-    return texts.mapInArrow(run, "name long, id long, start long, weight long")
+    return texts.mapInArrow(run, "name long, id long, starts long, weight int")
 
 
 def repeated_starts(rows: DataFrame, size: int, reach: int) -> DataFrame:
-    """For each text (h1, h2) that has any: ranges of starts (first, last) whose strings occur more than once in the corpus.
-    Texts that occur several times as a whole come with all of their starts. `rows`: h1, h2, text."""
+    """For each text (h1, h2) that has any: packed ranges of starts whose strings occur more than once in the corpus. Texts
+    that occur several times as a whole come with all of their starts. `rows`: h1, h2, text."""
     parsed_ = settle(stretches(rows, size, reach).withColumn("id", F.monotonically_increasing_id()), "stretches")
-    each = parsed_.select("id", F.explode(F.arrays_zip("first", "last", "key", "whole")).alias("s")).select("id", "s.*")
+    each = parsed_.select("id", F.explode(F.arrays_zip("first", "last", "key", "whole")).alias("s"))
+    each = each.select("id", F.shiftleft("s.first", 32).bitwiseOR(F.col("s.last")).alias("starts"), "s.key", "s.whole")
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("whole").alias("a"), F.max("whole").alias("b"))
     shared = settle(shared.filter("c > 1").select("key", (F.col("a") != F.col("b")).alias("mixed")), "shared-keys")
-    live = settle(each.join(shared, "key").select("id", "first", "last", "whole", "mixed"), "live")
-    wholes = live.groupBy("whole").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("owner"))
-    known = live.join(settle(wholes, "wholes"), "whole")
-    known = settle(known.select("id", "first", "last", (F.col("c") > 1).alias("full"), (F.col("mixed") & (F.col("owner") == F.col("id"))).alias("sends")), "known")
-
-    span = F.struct(F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"))
-    sending = known.filter("sends").groupBy("id").agg(F.collect_list(span).alias("ranges"))
-    named = settle(sending.join(parsed_.select("id", "h1", "h2"), "id"), "sending")
-    # Of a text that occurs several times one row sends; any will do, as their whole stretches are known to be repeated.
-    one = named.groupBy("h1", "h2").agg(F.min("id").alias("id"))
-    named = named.join(one.select("id"), "id")
-    texts = picked(rows, named).alias("t").join(named.alias("n"), ["h1", "h2"]).dropDuplicates(["id"]).select("id", "ranges", "text")
-    sent = settle(string_names(texts, size), "names")
-    over = Window.partitionBy("name")
-    single = sent.filter("name is not null").withColumn("sum", F.sum("weight").over(over)).filter("sum > 1").select("id", "start")
-    single = single.union(sent.filter("name is null").select("id", "start"))
-    singles = single.select("id", F.struct(F.col("start").alias("first"), F.col("start").alias("last")).alias("r"))
-    ranges = known.filter("full").select("id", span.alias("r")).union(singles).groupBy("id").agg(F.collect_list("r").alias("ranges"))
+    live = settle(each.join(shared, "key").select("id", "starts", "whole", "mixed"), "live")
+    wholes = settle(live.groupBy("whole").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("owner")), "wholes")
+    known = live.join(wholes, "whole")
+
+    # One occurrence of each different stretch sends its strings; others of it are known to be repeated through and through.
+    first = known.filter(F.col("mixed") & (F.col("owner") == F.col("id"))).groupBy("id", "whole").agg(F.min("starts").alias("starts"))
+    sending = settle(first.groupBy("id").agg(F.collect_list("starts").alias("ranges")).join(parsed_.select("id", "h1", "h2"), "id"), "sending")
+    texts = picked(rows, sending).alias("t").join(sending.alias("n"), ["h1", "h2"]).dropDuplicates(["id"]).select("id", "ranges", "text")
+    sent = string_names(texts, size).withColumn("sum", F.sum("weight").over(Window.partitionBy("name", F.col("weight") == 0)))
+    singles = sent.filter("weight = 0 or (weight = 1 and sum > 1)").select("id", "starts")
+    full = known.filter("c > 1").select("id", "starts")
+    ranges = full.union(singles).groupBy("id").agg(F.collect_list("starts").alias("ranges"))
     found = ranges.join(parsed_.select("id", "h1", "h2"), "id")
     # Rows of the same text have the same whole stretches; what single strings add is with one of them only.
     return settle(found.groupBy("h1", "h2").agg(F.max_by("ranges", F.size("ranges")).alias("ranges")), "repeated")
 
 
-def cut(data: bytes, ranges: list[dict], size: int) -> tuple[bytes, list[tuple[int, int]]]:
-    """What is left of a text, and the maximal runs removed, if the strings that begin in `ranges` go."""
-    runs: list[tuple[int, int]] = []
-    for a, b in sorted((r["first"], r["last"] + size) for r in ranges):
-        if runs and a <= runs[-1][1]:
-            runs[-1] = (runs[-1][0], max(b, runs[-1][1]))
-        else:
-            runs.append((a, b))
+def cut(data: bytes, ranges: list[int], size: int) -> tuple[bytes, list[tuple[int, int]]]:
+    """What is left of a text, and the maximal runs removed, if the strings that begin in the packed ranges go."""
+    if not ranges:
+        return data, []
+    both = np.sort(np.array(ranges, np.int64))
+    begin, end = both >> 32, np.maximum.accumulate((both & 0xFFFFFFFF) + size)
+    new = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]]))
+    runs = list(zip(begin[new].tolist(), end[np.append(new[1:], len(end)) - 1].tolist()))
     parts, at = [], 0
     for a, b in runs:
         parts.append(data[at:a])
@@ -193,7 +207,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = SIZE, reach:
     found = repeated_starts(rows, size, reach)
     carried = docs.select(F.xxhash64(raw).alias("h1"), F.xxhash64(raw, F.lit(1)).alias("h2"), raw.alias("text"), F.struct(*names).alias("row"))
     hit = picked(carried, found).join(found, ["h1", "h2"], "left").select("text", "ranges", "row")
-    missed = picked(carried, found, inside=False).select("text", F.lit(None).cast("array<struct<first:long,last:long>>").alias("ranges"), "row")
+    missed = picked(carried, found, inside=False).select("text", F.lit(None).cast("array<long>").alias("ranges"), "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from cohortspark.llm.common import texts_of, worker_cache
+from cohortspark.llm.common import share_of, texts_of, worker_cache
 from cohortspark.llm.sketch import slices, total
 
 FOLDS = 5
@@ -252,11 +252,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     """Different texts outside the held-out fold with their labels: at most `per_class` labelled rows of each class, those of
     the smallest key hashes. The two key lists are bounded by that, hence the broadcast."""
     usable = labels.filter(F.col(key).isNotNull() & ~held_out(F.col(key))).select(key, label)
-    parts = [usable.filter(F.col(label) == c).orderBy(F.xxhash64(key), key).limit(per_class) for c in (0, 1)]
+    counts = {r[0]: r[1] for r in usable.groupBy(label).agg(F.count(F.lit(1))).collect() if r[0] in (0, 1)}
+    parts = [usable.filter((F.col(label) == c) & share_of(F.col(key), per_class, counts.get(c, 0))) for c in (0, 1)]
     picked = parts[0].union(parts[1]).withColumnRenamed(key, "_key").withColumnRenamed(label, "_label")
     found = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
-    rows = found.join(F.broadcast(picked), F.col("_id") == F.col("_key")).select("_id", "_text", "_label").collect()
-    return list(dict.fromkeys((r["_text"], int(r["_label"])) for r in sorted(rows, key=lambda r: (r["_id"], r["_text"]))))
+    rows = found.join(F.broadcast(picked), F.col("_id") == F.col("_key")).select(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)).alias("h"), "_text", "_label").collect()
+    chosen: dict[tuple[str, int], None] = {}
+    taken = Counter()
+    for r in sorted(rows, key=lambda r: (r["h"], r["_text"])):
+        if taken[r["_label"]] < per_class and (r["_text"], int(r["_label"])) not in chosen:
+            taken[r["_label"]] += 1
+            chosen[r["_text"], int(r["_label"])] = None
+    return list(chosen)
 
 
 def fit(sample: list[tuple[str, int]], letters: np.ndarray, share: float) -> Model:
