@@ -71,13 +71,14 @@ def apply_dummies(df: DataFrame, spec: DummySpec) -> DataFrame:
 
 
 def prepare_inputs(
-    train: DataFrame, test: DataFrame, categories: list[str], own_medians: bool = False, rows: int | None = None
+    train: DataFrame, test: DataFrame, categories: list[str], own_medians: bool = False, rows: int | None = None,
+    outcomes: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Median imputation and dummies for both sides with statistics of the training side.
+    """Median imputation and dummies for both sides with statistics of the training side. `outcomes` are never filled.
 
     `own_medians` fills the test side with its own medians instead. `rows` is a known upper bound of either side's size.
     """
-    numbers = columns_of_type(train, "numeric")
+    numbers = [c for c in columns_of_type(train, "numeric") if c not in (outcomes or [])]
     stats = fit_medians(train, numbers, rows)
     spec = fit_dummies(train, categories)
     test_stats = fit_medians(test, numbers, rows) if own_medians else stats

@@ -77,9 +77,10 @@ def assemble_features(
 
 
 def model_frame(df: DataFrame, label: str, outcomes: list[str] | None = None) -> DataFrame:
-    """(features, label): all columns but the outcomes as a vector. Every outcome column is kept out of the inputs."""
+    """(features, label) of the rows with a label: all columns but the outcomes as a vector. Every outcome column is kept out
+    of the inputs."""
     inputs = [c for c in df.columns if c != label and c not in (outcomes or [])]
-    out = VectorAssembler(inputCols=inputs, outputCol="features").transform(df)
+    out = VectorAssembler(inputCols=inputs, outputCol="features").transform(df.filter(F.col(label).isNotNull()))
     return out.select("features", F.col(label).cast("double").alias("label"))
 
 
@@ -88,7 +89,7 @@ def fit_logistic(
 ) -> LogisticRegressionModel:
     """L2 logistic regression with unit inverse strength (a penalty of 1/n on the mean loss), unscaled inputs."""
     data = model_frame(train, label, outcomes)
-    rows = train.count()
+    rows = data.count()
     return LogisticRegression(
         regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False, family=family, maxIter=max_iter
     ).fit(data)

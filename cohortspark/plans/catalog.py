@@ -960,7 +960,7 @@ def logistic_fit(spark, folder):
     rows = docs.join(labels, "doc_id")
     rows = rows.withColumn("n_chars", F.ln(F.col("n_chars") + 1.0))
     parts = modelling.apply_split(rows, modelling.stratified_split(rows, "doc_id", "quality", 0.2, 1), "doc_id")
-    train, test = encoding.prepare_inputs(*[p.drop("doc_id") for p in parts], ["lang"], rows=labels.count())
+    train, test = encoding.prepare_inputs(*[p.drop("doc_id") for p in parts], ["lang"], rows=labels.count(), outcomes=["quality"])
     model = modelling.fit_logistic(train, "quality")
     inputs = [c for c in train.columns if c != "quality"]
     fitted = [(c, float(v)) for c, v in zip(inputs, model.coefficients)] + [("intercept", float(model.intercept))]

@@ -247,6 +247,13 @@ def test_dummies(spark):
     assert rows(own, "v") == [(4.0,), (4.5,), (5.0,)]
 
 
+def test_the_label_is_not_filled(spark):
+    df = inline(spark, [(1.0, 0, "a"), (2.0, 1, "b"), (None, 1, "a"), (9.0, None, "b")], "v double, y int, c string")
+    train, _ = encoding.prepare_inputs(df, df, ["c"], outcomes=["y"])
+    assert rows(train, "v", "y") == [(1.0, 0), (2.0, 1), (2.0, 1), (9.0, None)]
+    assert modelling.model_frame(train, "y").count() == 3
+
+
 def test_median_impute_default_columns(spark):
     df = inline(spark, [("x", 1, 1.0), ("y", None, 3.0), ("z", 4, None)], "s string, i bigint, v double")
     assert rows(encoding.median_impute(df)) == [("x", 1.0, 1.0), ("y", 2.5, 3.0), ("z", 4.0, 2.0)]
