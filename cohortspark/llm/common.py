@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortspark.session import settle, shared_folder
 
-__all__ = ["prepare", "settle", "shared_folder", "share_of", "texts_of", "worker_cache"]
+__all__ = ["prepare", "release", "settle", "shared_folder", "share_of", "texts_of", "worker_cache"]
 
 ARROW_ROWS = 512  # rows in a batch handed to Python: whole texts travel in it, so it bounds a worker's memory
 
@@ -39,6 +39,13 @@ def worker_cache(key: str, build: Callable):
     return kept[key]
 
 
+def release() -> None:
+    """Let go of what an earlier operator has kept in this worker."""
+    home = sys.modules.get("_cohortspark_worker")
+    if home is not None:
+        home.__dict__.get("kept", {}).clear()
+
+
 def share_of(key: Column, wanted: int, count: int) -> Column:
     """Does the row's key hash lie in the share of the hash range that lets about `wanted` of `count` rows through?
 

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortspark.llm.common import settle, texts_of
+from cohortspark.llm.common import release, settle, texts_of
 from cohortspark.llm.graph import components
 from cohortspark.llm.shingles import WordHasher, common, mix, shingle_sets
 from cohortspark.llm.sketch import slices, total
@@ -58,6 +58,7 @@ def sizes_and_counts(docs: DataFrame, words: int) -> DataFrame:
     """First pass: rows (id, n, fp) of the texts and rows (slot, counts) of the partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         hasher, counts, any_ = WordHasher(), np.zeros(1 << ORDER_BITS, np.int64), False
         for batch in batches:
             sizes, prints, held = [], [], []
@@ -92,6 +93,7 @@ def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) ->
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         hasher, rank = WordHasher(), shared.value
         for batch in batches:
             sizes, prints, heads, bits = [], [], [], []
@@ -168,6 +170,7 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, words: int, pe
     routes = settle(hubs.union(others), "routes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         hasher, hub, against = WordHasher(), None, None
         for batch in batches:
             rows = batch.to_pydict()

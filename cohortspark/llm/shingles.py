@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK = 4 << 20  # bytes hashed at a time
+BLOCK = 1 << 20  # bytes hashed at a time; the arrays of a worker take some 60 times as much
 
 # Fixed odd multipliers: bytes of a word, words of a shingle, final mixing.
 BASE = 0x9E3779B97F4A7C15

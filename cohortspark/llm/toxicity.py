@@ -28,7 +28,7 @@ MAX_FEATURES = 10_000
 MIN_TEXTS = 4  # texts of the sample a feature must be in
 STEPS, RATE, DECAY = 300, 1.0, 1e-5
 LASSO = 4  # texts whose error a feature must account for
-KNOWN = 400_000  # words a worker remembers
+KNOWN = 300_000  # words a worker remembers
 BLOCK = 1 << 20  # characters of a text handled at a time
 SYMBOLS = 64
 LM_BITS = 18
