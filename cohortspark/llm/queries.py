@@ -52,9 +52,9 @@ def op10_site_lines(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
-def words_sql(column: str) -> str:
+def words_sql(column: str, word: str = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+") -> str:
     lower = f"translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"regexp_extract_all({lower}, '{word}')"
 
 
 @query(
@@ -93,7 +93,16 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_texts(docs, bpe.load_ranks(ranks_path()), keep_ids=False)
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {words_sql('text', r'[^\x20\x09-\x0D]+')} AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[p:p + 4], ' ') AS shingle FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(p) WHERE len(w) > 0),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+o AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.r <> b.r GROUP BY ALL),
+l AS (SELECT x, y FROM o JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * c >= {jaccard.PERCENT} * (a.n + b.n - c)),
+reach AS (SELECT r, r AS t FROM d UNION SELECT reach.r, l.y FROM reach JOIN l ON l.x = reach.t),
+least_ AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.t GROUP BY reach.r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM d JOIN least_ USING (r) LEFT JOIN n USING (r)"""
+)
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents: doc_id, n_shingles, component_id."""
     return jaccard.near_duplicates(load(spark, folder, "documents", ["doc_id", "text"]))
