@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 
 from cohortspark.functions.time import ColumnOrName, col
 
-MISSING_WORDS = ("", "None", "nan", "np.nan")  # texts that stand for "no value"
+MISSING_WORDS = ("", "None", "nan", "np.nan")  # fixed values: texts that stand for "no value"
 
 
 def is_missing(c: ColumnOrName) -> Column:

@@ -10,7 +10,7 @@ from cohortspark.functions.skew import AUTO, hot_keys, spread_join
 from cohortspark.functions.time import elapsed_days, elapsed_hours, elapsed_years, within_days
 from cohortspark.operators.relational import append, enrich, first_per, intersect_ids, remap, restrict_to
 
-# Columns of the three entity tables that make up a context row.
+# Columns of the three entity tables that make up a context row.
 STAY_COLUMNS = [
     "icustay_id", "dbsource", "first_careunit", "last_careunit", "first_wardid", "last_wardid", "intime", "outtime",
 ]

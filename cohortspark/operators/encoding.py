@@ -123,7 +123,7 @@ def l2_normalize_array(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-# table digit of a hierarchical item code -> (summary column prefix, suffix, label prefix)
+# Table digit of a hierarchical item code -> (summary column prefix, suffix, label prefix)
 LABEL_KINDS = {
     1: ("avrg", "", "Average Value: "),
     2: ("tot", "_in", "Total Input: "),

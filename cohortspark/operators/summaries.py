@@ -32,7 +32,8 @@ def mean_by(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class WideSpec:
-    """One event table of a wide summary. kind "levels": avg/min/max/count rate; kind "totals": sum rate."""
+    """One event table of a wide summary. kind "levels": avg/min/max and count rate; "totals": sum rate; "outputs": min/max and
+    sum and count rates; "inputs": sum and count rates (the time an input ran is a "totals" spec of its own)."""
 
     df: DataFrame
     item: str
@@ -42,8 +43,13 @@ class WideSpec:
     items: tuple | None = None
 
 
-LEVELS = {"avrg": "avg", "mini": "min", "maxi": "max", "cnt": "count"}
-TOTALS = {"tot": "sum"}
+# Column prefix -> aggregate, by kind.
+STATISTICS = {
+    "levels": {"avrg": "avg", "mini": "min", "maxi": "max", "cnt": "count"},
+    "totals": {"tot": "sum"},
+    "outputs": {"tot": "sum", "mini": "min", "maxi": "max", "cnt": "count"},
+    "inputs": {"tot": "sum", "cnt": "count"},
+}
 
 
 def wide_summary(ctx: DataFrame, specs: list[WideSpec], key: str = "icustay_id", span: str | None = "los_total") -> DataFrame:
@@ -60,7 +66,7 @@ def wide_summary(ctx: DataFrame, specs: list[WideSpec], key: str = "icustay_id",
             found[source] = distinct_values(s.df, s.item)
         items = tuple(found[source] if s.items is None else s.items)
         tail = f"_{s.suffix}" if s.suffix else ""
-        stats = LEVELS if s.kind == "levels" else TOTALS
+        stats = STATISTICS[s.kind]
         _, cells = grouped.setdefault((*source, items), (s, {}))
         cells.update({f"{label}_{{value}}{tail}": (how, s.value) for label, how in stats.items()})
         rates |= {f"{label}_{i}{tail}" for label in stats if label in ("cnt", "tot") for i in items}

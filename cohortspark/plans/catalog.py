@@ -566,6 +566,30 @@ def labelled_summary(spark, folder):
     return rounded(names.rename_from_map(wide, labels))
 
 
+@query(
+    f"""WITH {SPANS_SQL}, ctx AS (SELECT user_id, {h('start_ts', 'end_ts')} AS span_h FROM spans),
+w AS (SELECT e.user_id, {', '.join(f"""sum(value) FILTER (event_type = '{t}') AS tot_{t}_out, min(value) FILTER (event_type = '{t}') AS mini_{t}_out,
+max(value) FILTER (event_type = '{t}') AS maxi_{t}_out, count(value) FILTER (event_type = '{t}') AS cnt_{t}_out, sum(value) FILTER (event_type = '{t}') AS tot_{t}_in,
+count(value) FILTER (event_type = '{t}') AS cnt_{t}_in, sum({h('start_ts', 'ts')}) FILTER (event_type = '{t}') AS tot_{t}_time""" for t in TYPES)}
+FROM events e JOIN spans s ON e.user_id = s.user_id GROUP BY e.user_id)
+SELECT user_id, round(span_h, 6) AS span_h, {', '.join(f"""mini_{t}_out, maxi_{t}_out""" for t in TYPES)},
+{', '.join(f"round({c} / nullif(span_h, 0), 6) AS {c}" for t in TYPES for c in (f"tot_{t}_out", f"cnt_{t}_out", f"tot_{t}_in", f"cnt_{t}_in", f"tot_{t}_time"))}
+FROM ctx LEFT JOIN w USING (user_id)"""
+)
+def wide_outputs_inputs(spark, folder):
+    """Outputs with their extremes, inputs with amount, count and time."""
+    ev = load(spark, folder, "events", ["user_id", "ts", "event_type", "value"])
+    bounds = settle(spans(ev))
+    ctx = bounds.select("user_id", elapsed_hours("start_ts", "end_ts").alias("span_h"))
+    timed = ev.join(bounds, "user_id").withColumn("ran", elapsed_hours("start_ts", "ts"))
+    specs = [
+        summaries.WideSpec(timed, "event_type", "value", kind="outputs", suffix="out"),
+        summaries.WideSpec(timed, "event_type", "value", kind="inputs", suffix="in"),
+        summaries.WideSpec(timed, "event_type", "ran", kind="totals", suffix="time"),
+    ]
+    return rounded(summaries.wide_summary(ctx, specs, "user_id", "span_h"))
+
+
 SUPPLIERS = list(range(1, 101))  # the listed items of the feature
 
 
