@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cohortspark.llm.common import release, settle, texts_of
 from cohortspark.llm.graph import components
 from cohortspark.llm.shingles import WordHasher, common, mix, shingle_sets
-from cohortspark.llm.sketch import slices, total
+from cohortspark.llm.sketch import bit_slices, either, slices, total
 
 WORDS = 5
 PERCENT = 80
@@ -129,17 +129,17 @@ def with_texts(docs: DataFrame, routes: DataFrame) -> DataFrame:
     other documents from being moved; the join is on the ids themselves."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << PICK_BITS, np.int64)
+        flags = np.zeros(1 << PICK_BITS, np.uint8)
         for batch in batches:
-            counts[slot_of(batch.column(0))] = 1
-        rows = list(slices(counts))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["slot", "counts"])
+            flags[slot_of(batch.column(0))] = 1
+        rows = list(bit_slices(flags))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["slot", "marks"])
 
     def slot_of(ids: pa.Array) -> np.ndarray:
         keys = ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
         return (mix(keys) >> np.uint64(64 - PICK_BITS)).astype(np.int64)
 
-    marks = np.packbits(total(routes.select("id").mapInArrow(count, "slot int, counts binary"), PICK_BITS) > 0)
+    marks = either(routes.select("id").mapInArrow(count, "slot int, marks binary"), PICK_BITS)
     shared = docs.sparkSession.sparkContext.broadcast(marks)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,3 +38,33 @@ def total(parts: DataFrame, bits: int) -> np.ndarray:
     for row in parts.repartition("slot").mapInArrow(add, "slot int, counts binary").collect():
         out[row["slot"] * step : (row["slot"] + 1) * step] = np.frombuffer(bytes(row["counts"]), "<u4")
     return out
+
+
+def bit_slices(flags: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """One partition's 0/1 flags as rows (slot range, packed bits)."""
+    packed = np.packbits(flags)
+    step = len(packed) // SLICES
+    for k in range(SLICES):
+        part = packed[k * step : (k + 1) * step]
+        if part.any():
+            yield k, part.tobytes()
+
+
+def either(parts: DataFrame, bits: int) -> np.ndarray:
+    """Packed flags that any partition has set, from rows (slot int, marks binary): 2 ** bits bits reach the driver."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for slot, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = np.frombuffer(raw, np.uint8)
+                found[slot] = found[slot] | own if slot in found else own
+        if found:
+            packed = [s.tobytes() for s in found.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(packed, pa.binary())], ["slot", "marks"])
+
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    step = len(out) // SLICES
+    for row in parts.repartition("slot").mapInArrow(join, "slot int, marks binary").collect():
+        out[row["slot"] * step : (row["slot"] + 1) * step] = np.frombuffer(bytes(row["marks"]), np.uint8)
+    return out

@@ -25,7 +25,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from cohortspark.llm.common import settle, texts_of
 from cohortspark.llm.phrases import Rolling, mix, triggers
-from cohortspark.llm.sketch import slices, total
+from cohortspark.llm.sketch import bit_slices, either
 
 SIZE = 400
 REACH = 200  # starts look so far ahead for their trigger
@@ -78,13 +78,13 @@ def marks(names: DataFrame) -> np.ndarray:
     """A filter of fixed size on column h1: bits of the slots that are taken."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << PICK_BITS, np.int64)
+        flags = np.zeros(1 << PICK_BITS, np.uint8)
         for batch in batches:
-            counts[slot_of(batch.column(0))] = 1
-        rows = list(slices(counts))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["slot", "counts"])
+            flags[slot_of(batch.column(0))] = 1
+        rows = list(bit_slices(flags))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["slot", "marks"])
 
-    return np.packbits(total(names.select("h1").mapInArrow(count, "slot int, counts binary"), PICK_BITS) > 0)
+    return either(names.select("h1").mapInArrow(count, "slot int, marks binary"), PICK_BITS)
 
 
 def picked(docs: DataFrame, names: DataFrame, inside: bool = True) -> DataFrame:
