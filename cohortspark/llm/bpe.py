@@ -24,8 +24,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from cohortspark.llm.common import texts_of, worker_cache
 
-MAX_STATES = 300_000
-MAX_PIECES = 800_000
+MAX_STATES = 150_000
+MAX_PIECES = 400_000
 NEVER = 1 << 62
 BLOCK_PIECES = 65_536  # pieces or ids handled at a time, so that very long texts need no memory of their size
 
