@@ -604,6 +604,21 @@ def wide_table(spark, folder):
     return rounded(timetable.spread(li, ["l_partkey"], "l_suppkey", SUPPLIERS, cells))
 
 
+REMAINDERS = list(range(100))  # every supplier falls into one of these classes, at any number of suppliers
+
+
+@query(
+    f"""SELECT l_partkey, {', '.join(f"""round(avg(l_quantity) FILTER ((l_suppkey % 100 + 100) % 100 = {s}), 6) AS avrg_{s}, min(l_quantity) FILTER ((l_suppkey % 100 + 100) % 100 = {s}) AS mini_{s},
+count(l_quantity) FILTER ((l_suppkey % 100 + 100) % 100 = {s}) AS cnt_{s}""" for s in REMAINDERS)} FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_partkey"""
+)
+def wide_table_whole(spark, folder):
+    """As wide as `wide_table`, over every row: the item is a class of suppliers."""
+    li = load(spark, folder, "lineitem", ["l_partkey", "l_suppkey", "l_quantity"])
+    li = li.select("l_partkey", F.pmod("l_suppkey", F.lit(100)).cast("int").alias("item"), "l_quantity")
+    cells = {"avrg_{value}": ("avg", "l_quantity"), "mini_{value}": ("min", "l_quantity"), "cnt_{value}": ("count", "l_quantity")}
+    return rounded(timetable.spread(li, ["l_partkey"], "item", REMAINDERS, cells))
+
+
 @query(
     f"""SELECT user_id, count(*) AS n, round({h('min(ts)', 'max(ts)')}, 6) AS span_h,
 round(count(*) / nullif({h('min(ts)', 'max(ts)')}, 0), 6) AS per_hour FROM events GROUP BY user_id"""
