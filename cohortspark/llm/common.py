@@ -49,8 +49,8 @@ def release() -> None:
 def share_of(key: Column, wanted: int, count: int) -> Column:
     """Does the row's key hash lie in the share of the hash range that lets about `wanted` of `count` rows through?
 
-    Somewhat more pass (five standard deviations), so that the `wanted` smallest hashes are among them; the caller, who gets a
-    bounded number of rows whatever the input, keeps those.
+    Somewhat more pass (five standard deviations), so that the `wanted` smallest hashes are among them; the caller keeps those.
+    The number of rows that pass is bounded only where keys do not repeat: all rows of a key pass or none.
     """
     limit = min(1.0, (wanted + 5 * wanted**0.5 + 20) / max(count, 1))
     return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(limit * (1 << 30)))

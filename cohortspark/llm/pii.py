@@ -326,9 +326,14 @@ def named(spans: list[Span]) -> str:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field:
-    """Train on the `sample` texts of the smallest key hashes among those with a digit or an at-sign."""
+    """Train on the `sample` texts of the smallest hashes of key and text among those with a digit or an at-sign.
+
+    Rows that repeat key and text count once, so that the driver gets a bounded number of texts whatever keys repeat.
+    """
     some = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.col("t").rlike("[0-9@]"))
-    rows = some.filter(share_of(F.col("k"), sample, some.count())).select(F.pmod(F.xxhash64("k"), F.lit(1 << 30)).alias("h"), "t").collect()
+    hashed = F.xxhash64("k", "t")
+    few = some.filter(share_of(hashed, sample, some.select(hashed).distinct().count()))
+    rows = few.select(F.pmod(F.xxhash64(hashed), F.lit(1 << 30)).alias("h"), "t").distinct().collect()
     return train([r["t"] for r in sorted(rows, key=lambda r: (r["h"], r["t"]))[:sample]])
 
 

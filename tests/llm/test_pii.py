@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortspark.llm import pii
 from cohortspark.llm.common import prepare
@@ -119,3 +120,19 @@ def test_query(spark):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     for r in QUERIES["op9_pii"](spark, folder).collect():
         assert r["base_sha256"] == hashlib.sha256(pii.named(brute(texts[r["doc_id"]])).encode()).hexdigest()
+
+
+def test_repeated_keys_do_not_fill_the_driver(spark, monkeypatch):
+    taken, plain = [], type(spark.range(0)).collect
+    monkeypatch.setattr(type(spark.range(0)), "collect", lambda self: taken.append(plain(self)) or taken[-1])
+    monkeypatch.setattr(pii, "train", lambda texts: texts)
+    few = 20
+    most = 2 * (few + 5 * few**0.5 + 20)  # the limit of share_of, with room for chance
+    docs = prepare(spark).range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.format_string("no. %d", "id").alias("text"))
+    texts = pii.fit(docs, sample=few)
+    assert len(texts) == few and 0 < len(taken[-1]) < most
+    keyed = sum(int(t.split()[1]) % 3 > 0 for t in texts)
+    assert 0 < keyed  # rows with a key are not crowded out
+    copies = docs.select("doc_id", F.lit("no. 7").alias("text")).filter("doc_id IS NULL").union(docs.filter("doc_id IS NOT NULL"))
+    pii.fit(copies, sample=few)
+    assert len(taken[-1]) < most
