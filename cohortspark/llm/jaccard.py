@@ -55,7 +55,8 @@ def linked(overlap: int, a: int, b: int, percent: int) -> bool:
 
 
 def sizes_and_counts(docs: DataFrame, words: int) -> DataFrame:
-    """First pass: rows (id, n, fp) of the texts and rows (slot, counts) of the partitions."""
+    """First pass: rows (id, n, fp) of the texts and rows (slot, counts) of the partitions. A third column (string) goes along."""
+    further = docs.columns[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
@@ -72,18 +73,18 @@ def sizes_and_counts(docs: DataFrame, words: int) -> DataFrame:
                 any_ = True
             n = len(sizes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                ["id", "n", "fp", "slot", "counts"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *batch.columns[2:]],
+                ["id", "n", "fp", "slot", "counts", *further],
             )
         if any_:
             rows = list(slices(np.minimum(counts, 2**32 - 1)))
             k = len(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
-                ["id", "n", "fp", "slot", "counts"],
+                [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), *[pa.nulls(k, pa.string()) for _ in further]],
+                ["id", "n", "fp", "slot", "counts", *further],
             )
 
-    return docs.mapInArrow(run, "id long, n long, fp binary, slot int, counts binary")
+    return docs.mapInArrow(run, ", ".join(["id long, n long, fp binary, slot int, counts binary", *(f"{c} string" for c in further)]))
 
 
 def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> DataFrame:
@@ -257,9 +258,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     texts they are. A NULL key is never the smallest unless the component has no other. Further columns are not used.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    first = settle(sizes_and_counts(rows, words), "sizes")
+    return grouped(rows, words, percent).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id")
+
+
+def marked_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """As `near_duplicates`, with mark (MD5 of the text) and top (names the component, NULL without shingles): doc_id, n_shingles,
+    component_id, mark, top."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text", F.md5(F.col("text")).alias("mark"))
+    return grouped(rows, words, percent).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "mark", "top")
+
+
+def grouped(marked_rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """(id, n, component_id) of rows (id, text), also (mark, top) of rows (id, text, mark)."""
+    rows = marked_rows.select("id", "text")
+    further = marked_rows.columns[2:]
+    top = ["top"] if further else []
+    first = settle(sizes_and_counts(marked_rows, words), "sizes")
     order = total(first.filter(F.col("slot").isNotNull()).select("slot", "counts"), ORDER_BITS)
-    sized = first.filter(F.col("slot").isNull()).select("id", "n", "fp")
+    sized = first.filter(F.col("slot").isNull()).select("id", "n", "fp", *further)
     least = sized.filter("n > 0").groupBy("fp").agg(F.min("id").alias("id"))
     marked = signatures(rows, order, words, percent)
     once = marked.groupBy("fp").agg(F.max("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
@@ -277,7 +293,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     placed = nodes.join(tree_of, "node", "left").select("fp", "id", F.coalesce("root", "node").alias("root"))
     placed = settle(placed.join(above, "root", "left").select("fp", "id", F.coalesce("top", "root").alias("top")), "tops")
     named = placed.groupBy("top").agg(F.min("id").alias("component_id"))
-    classes = settle(placed.join(named, "top").select("fp", "component_id"), "components")
-    out = sized.filter("n > 0").join(classes, "fp").select("id", "n", "component_id")
-    out = out.union(sized.filter("n = 0").select("id", "n", F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id")
+    classes = settle(placed.join(named, "top").select("fp", "component_id", *top), "components")
+    out = sized.filter("n > 0").join(classes, "fp").select("id", "n", "component_id", *further, *top)
+    alone = sized.filter("n = 0").select("id", "n", F.col("id").alias("component_id"), *further, *[F.lit(None).cast("long").alias(c) for c in top])
+    return out.union(alone)

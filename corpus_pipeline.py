@@ -1,8 +1,8 @@
 """From raw documents to token ids: toxicity, line dedup, near-duplicates, benchmark decontamination, byte-level BPE.
 
 Each stage works on all rows its predecessor kept, written as Parquet in between, so that a lost executor costs one stage at
-most. All stages but the last return the columns of documents. doc_id names a document: rows that repeat one stay or go
-together.
+most. All stages but the last return the columns of documents. doc_id names a document: rows that repeat one with the same text
+stay or go together, other texts under it are decided on their own. NULL names no document.
 """
 
 from __future__ import annotations
@@ -33,11 +33,26 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id."""
+    """Of each group of near-duplicates the document with the smallest doc_id, of a group without any doc_id one row.
+
+    Texts are told apart by doc_id and MD5. Of rows without doc_id that are copies of one text the least row is kept.
+    """
     prepare(spark)
-    found = settle(jaccard.near_duplicates(docs), "duplicates")
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").select(*docs.columns)
+    found = settle(jaccard.marked_groups(docs), "duplicates").filter("top IS NOT NULL")
+    later = found.filter(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    unnamed = found.filter("component_id IS NULL").groupBy("top", "mark").agg(F.count(F.lit(1)).alias("copies"))
+    unnamed = settle(unnamed, "unnamed")
+    texts = unnamed.join(unnamed.groupBy("top").agg(F.min("mark").alias("least")), "top")
+    chosen = F.col("mark") == F.col("least")
+    dropped = texts.filter(~chosen | (F.col("copies") > 1)).select(F.lit(None).cast("long").alias("doc_id"), "mark")
+    gone = later.select("doc_id", "mark").union(dropped).distinct().select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_text"))
+    marked = docs.withColumn("_mark", F.md5(F.col("text")))
+    rest = marked.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("_mark") == F.col("_text")), "left_anti")
+    copied = texts.filter(chosen & (F.col("copies") > 1)).select(F.col("mark").alias("_mark"))
+    # Copies are put together before the join, on the map side first: a text with many copies does not gather.
+    least = marked.filter(F.col("doc_id").isNull()).groupBy("_mark").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    one = least.join(copied, "_mark", "left_semi").select("_row.*")
+    return rest.select(*docs.columns).union(one.select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

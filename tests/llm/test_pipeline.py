@@ -55,3 +55,19 @@ def test_empty(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, FOLDER).columns == docs.columns
     assert corpus_pipeline.tokenize(spark, docs, FOLDER).collect() == []
+
+
+def test_documents_without_id(spark):
+    def text(tag):
+        return " ".join(f"{tag}{k}" for k in range(60))
+
+    near = text("c") + " end"
+    rows = [(1, text("a"), "x"), (None, text("a"), "x"), (None, text("b"), "x"), (None, text("c"), "x"), (None, text("c"), "y"), (None, near, "x")]
+    rows += [(None, None, "x"), (None, "", "x"), (5, text("d"), "x"), (3, text("d"), "x"), (5, text("e"), "x"), (7, text("f"), "x"), (7, text("f"), "x")]
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [tuple(r) for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()]
+    third = [r for r in kept if r[1] in (text("c"), near)]
+    assert len(third) == 1 and third[0] in rows
+    others = [r for r in kept if r not in third]
+    want = [(1, text("a"), "x"), (None, text("b"), "x"), (None, None, "x"), (None, "", "x"), (3, text("d"), "x"), (5, text("e"), "x"), (7, text("f"), "x"), (7, text("f"), "x")]
+    assert sorted(others, key=str) == sorted(want, key=str)
