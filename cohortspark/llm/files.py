@@ -32,3 +32,14 @@ def open_old(path: str) -> BinaryIO:
 
     store, name = fs.FileSystem.from_uri(path)
     return store.open_input_stream(name)
+
+
+def open_random(path: str) -> BinaryIO:
+    """A file whose parts are read at places chosen by the caller."""
+    local = _local(path)
+    if local is not None:
+        return open(local, "rb")
+    from pyarrow import fs
+
+    store, name = fs.FileSystem.from_uri(path)
+    return store.open_input_file(name)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import bpe, decontaminate, jaccard, langid, line_dedup, pii, suffix_dedup, toxicity, vptree, warc
+from cohortspark.llm import bpe, decontaminate, jaccard, langid, line_dedup, pii, suffix_dedup, token_counts, toxicity, va_file, vptree, warc
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
@@ -14,6 +14,7 @@ from cohortspark.sources.tables import load
 BASE32_SQL = """array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda b:
 substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha, (5 * i + 1)::INT, 5))::BIGINT >> b) & 31)::INT + 1, 1)), '')), '')"""
 RANKS = "byte_bpe_multi_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -157,3 +158,38 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Strings of 400 bytes that occur more than once cut out: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     return suffix_dedup.remove_repeats(load(spark, folder, "documents", ["doc_id", "text"]), keep=False)
+
+
+@query()
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every text: doc_id, n_bytes, n_tokens, over_limit."""
+    import public_tokenizers
+
+    vocabulary = token_counts.load_vocabulary(public_tokenizers.path(VOCABULARY))
+    return token_counts.count_tokens(load(spark, folder, "documents", ["doc_id", "text"]), vocabulary)
+
+
+def rounds_sql(rounds: int) -> str:
+    """Tables c1, c2, ... of centroids (j, q) from c0, each by one round over v (r, v)."""
+    far = "list_sum(list_transform(list_zip(v.v, c.q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    parts = []
+    for t in range(rounds + 1):
+        parts.append(f"a{t} AS MATERIALIZED (SELECT r, m[2]::INT AS j, m[1] AS d FROM (SELECT r, min([d, j]) AS m FROM (SELECT v.r, c.j, {far} AS d FROM v, c{t} c) GROUP BY r))")
+        if t < rounds:
+            mean = f"SELECT j, list(q ORDER BY i) AS q FROM (SELECT j, i, (sum(x)::BIGINT // count(*) - CASE WHEN sum(x)::BIGINT % count(*) < 0 THEN 1 ELSE 0 END)::BIGINT AS q FROM (SELECT j, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM a{t} JOIN v USING (r)) GROUP BY ALL) GROUP BY j"
+            parts.append(f"c{t + 1} AS MATERIALIZED (SELECT c.j, coalesce(m.q, c.q) AS q FROM c{t} c LEFT JOIN ({mean}) m USING (j))")
+    return ",\n".join(parts)
+
+
+@query(
+    f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({va_file.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {va_file.DIMENSIONS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {va_file.DIMENSIONS}),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('{va_file.SEED}:' || vec_id), v) - 1)::INT AS j, v AS q FROM v QUALIFY j < {va_file.CLUSTERS}),
+{rounds_sql(va_file.ROUNDS)}
+SELECT vec_id, j AS cluster, d AS distance, sum(d) OVER (PARTITION BY j)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(q, ',')) AS centroid_sha256
+FROM v JOIN a{va_file.ROUNDS} USING (r) JOIN c{va_file.ROUNDS} USING (j)"""
+)
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of all vectors: vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256."""
+    return va_file.cluster(load(spark, folder, "embeddings"))
