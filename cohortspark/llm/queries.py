@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortspark.llm import bpe, decontaminate, jaccard, langid, line_dedup, pii, suffix_dedup, token_counts, toxicity, va_file, vptree, warc
+from cohortspark.llm import bpe, decontaminate, jaccard, langid, line_dedup, pii, spelling, suffix_dedup, token_counts, toxicity, va_file, vptree, warc
 from cohortspark.llm.common import prepare
 from cohortspark.sources.tables import load
 
@@ -193,3 +193,29 @@ FROM v JOIN a{va_file.ROUNDS} USING (r) JOIN c{va_file.ROUNDS} USING (j)"""
 def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     """Clusters of all vectors: vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256."""
     return va_file.cluster(load(spark, folder, "embeddings"))
+
+
+# CRC-32 of a list of bytes: reflected division by the fixed polynomial 0xEDB88320, a bit at a time.
+CRC_SQL = """xor(list_reduce(list_transform(range(strlen(s)), lambda k: ('0x' || substr(hex(encode(s)), (2 * k + 1)::INT, 2))::BIGINT),
+lambda c, b: list_reduce(range(8), lambda x, k: xor(x >> 1, (x & 1) * 3988292384), xor(c, b)), 4294967295), 4294967295)"""
+MISSPELT = 199  # in one of so many (document, word) pairs the word loses a letter
+
+
+@query(
+    f"""WITH RECURSIVE runs AS (SELECT doc_id, unnest({words_sql('text', '[a-zÀ-ÿ]+')}) AS w FROM documents),
+g AS (SELECT w, coalesce(doc_id::VARCHAR, '') || ':' || w AS s, count(*) AS n FROM runs WHERE length(w) >= {spelling.MIN_LETTERS} GROUP BY doc_id, w),
+h AS (SELECT w, n, {CRC_SQL} AS h FROM g),
+x AS (SELECT CASE WHEN h % {MISSPELT} = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, n FROM h),
+v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM x GROUP BY word HAVING length(word) >= {spelling.MIN_LETTERS} AND sum(n) >= {spelling.MIN_COUNT}),
+d AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i::INT - 1) || substr(word, i::INT + 1) AS rest FROM v, unnest(range(1, length(word) + 1)) t(i)),
+near AS (SELECT a.word, b.word AS other, b.n AS m FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+         UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.rest = v.word UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.rest = v.word),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(m := -m, other := other)) AS b FROM near GROUP BY word),
+f AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b.m >= {spelling.FACTOR} * n THEN b.other END AS form,
+                          CASE WHEN -b.m >= {spelling.FACTOR} * n THEN (-b.m)::BIGINT END AS form_n FROM v LEFT JOIN best USING (word)),
+way AS (SELECT word, word AS place FROM f UNION ALL SELECT way.word, f.form FROM way JOIN f ON f.word = way.place WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.place AS root, f.n, f.n_near, f.form_n FROM f JOIN way USING (word) JOIN f e ON e.word = way.place WHERE e.form IS NULL"""
+)
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all texts with their forms: word, form, root, n, n_near, form_n."""
+    return spelling.spelling_variants(load(spark, folder, "documents", ["doc_id", "text"]), misspell=MISSPELT)
