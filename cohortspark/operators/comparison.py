@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from cohortspark.functions.ordered import plan_slices, running_sum
 from cohortspark.functions.pvalues import chi2_p_value, ks_p_value, t_p_value
 from cohortspark.functions.skew import HOT_ROWS
+from cohortspark.session import settle
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -129,87 +131,131 @@ def pair_points(df: DataFrame, x: str, y: str, n: int, key: str, seed: int | str
 
 
 # --- embedding trust ------------------------------------------------------------------------------------------------
+SHARD_POINTS = 65_536  # points of a shard
+BLOCK_ANCHORS = 256  # anchors of a block
+PACKED = "shard int, kind int, n int, ids binary, x binary, e binary, gaps binary, others binary"
+
+
+def _packed(rows: DataFrame, most: int) -> DataFrame:
+    """Rows (shard, kind, id, x, e and, for anchors, gaps and others) as blocks of at most `most`, numbers as bytes.
+
+    `gaps` and `others` hold squared input distances and ids of each anchor's neighbours.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shards = np.asarray(batch.column(0))
+            order = np.argsort(shards, kind="stable")
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(shards[order])) + 1, [len(order)]]) if len(order) else [0]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                for k in range(a, b, most):
+                    own = batch.take(pa.array(order[k : min(b, k + most)]))
+                    flat = [own.column(c).flatten().to_numpy(zero_copy_only=False) for c in (3, 4, 5, 6)]
+                    raw = [np.asarray(own.column(2)).astype("<i8"), *(f.astype("<f8") for f in flat[:3]), flat[3].astype("<i8")]
+                    head = [pa.array([int(shards[order[k]])], pa.int32()), own.column(1).slice(0, 1), pa.array([own.num_rows], pa.int32())]
+                    yield pa.RecordBatch.from_arrays([*head, *(pa.array([r.tobytes()], pa.binary()) for r in raw)], [f.split()[0] for f in PACKED.split(", ")])
+
+    return rows.mapInArrow(run, PACKED)
+
+
+def _met(points: DataFrame, anchors: DataFrame, shards: int, scan: Callable, schema: str) -> DataFrame:
+    """Every block of anchors meets every shard of points: `scan` gets both as arrays and yields a record batch.
+
+    Points of a shard arrive first and are held, blocks of anchors pass by.
+    """
+    names = schema.replace(",", "").split()[::2]
+    sent = anchors.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    both = points.unionByName(sent).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = None, []
+        for batch in batches:
+            for r in batch.to_pylist():
+                n, numbers = r["n"], {c: np.frombuffer(r[c], "<f8") for c in ("x", "e", "gaps")}
+                block = {c: v.reshape(n, -1) for c, v in numbers.items()} | {c: np.frombuffer(r[c], "<i8") for c in ("ids", "others")}
+                block["others"] = block["others"].reshape(n, -1)
+                if r["kind"] == 0:
+                    if r["shard"] != number:
+                        number, held = r["shard"], []
+                    held.append(block)
+                elif r["shard"] == number:
+                    if len(held) > 1:
+                        held = [{c: np.concatenate([h[c] for h in held]) for c in ("ids", "x", "e")}]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in scan(held[0], block)], names)
+
+    return both.mapInArrow(run, schema)
+
+
+def _squared(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Squared distances from a point to others, from the differences, so that equal distances come out equal."""
+    gaps = others - one
+    return np.einsum("pd,pd->p", gaps, gaps)
+
+
 def trustworthiness(
-    df: DataFrame, high: str, low: str, key: str, anchors: DataFrame, k: int = 5
+    df: DataFrame, high: str, low: str, key: str, anchors: DataFrame, k: int = 5, shard: int = SHARD_POINTS, block: int = BLOCK_ANCHORS
 ) -> DataFrame:
     """How far the k neighbours in the small space (`low`) are neighbours in the input space (`high`): n, anchors, trust.
 
-    The value is the mean over `anchors`, a table of keys (column `key`) that the caller chooses and bounds; it fits into the
-    driver. Every point is ranked against every anchor, at every size in the same way. Two passes over the data:
-    each task keeps the k best per anchor, then counts the points closer than each neighbour. No pair is ever emitted.
+    The value is the mean over `anchors`, a table of integer keys (column `key`) that the caller chooses. Every point is ranked against every
+    anchor, at every size in the same way; ties go to the smaller key. Points lie in shards, anchors travel in blocks to
+    every shard, twice: each shard gives its k best per anchor, then how many of its points are closer than each neighbour.
+    Neighbours and ranks meet in Spark; the driver sees the two counts of rows, and no pair is emitted.
     """
-    rows = df.select(
-        F.col(key).cast("bigint").alias("id"), F.col(high).cast("array<double>").alias("x"), F.col(low).cast("array<double>").alias("e")
-    )
+    if not isinstance(df.schema[key].dataType, IntegralType):
+        raise TypeError(f"{key} must hold integers, they order equal distances")
+    rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(high).cast("array<double>").alias("x"), F.col(low).cast("array<double>").alias("e"))
+    rows = settle(rows, "trust-points")
     n = rows.count()
-    chosen = anchors.select(F.col(key).cast("bigint").alias("id")).distinct()
-    picked = rows.join(chosen, "id", "left_semi").orderBy("id").collect()
-    if len({r["id"] for r in picked}) < len(picked):
+    chosen = settle(rows.join(anchors.select(F.col(key).cast("bigint").alias("id")).distinct(), "id", "left_semi"), "trust-anchors")
+    several = chosen.groupBy("id").count().filter("count > 1").take(1)
+    if several:
         raise ValueError(f"{key} is repeated among the anchors")
-    ids = np.array([r["id"] for r in picked], dtype=np.int64)
-    high_space = np.array([r["x"] for r in picked], dtype=np.float64)
-    low_space = np.array([r["e"] for r in picked], dtype=np.float64)
-
-    def squared(points: np.ndarray, anchors: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Squared distances (anchors in blocks × points), a few million numbers at a time."""
-        step = max(1, 4_000_000 // max(points.size, 1))
-        for i in range(0, len(anchors), step):
-            gaps = anchors[i : i + step, None, :] - points[None, :, :]
-            yield i, np.einsum("apd,apd->ap", gaps, gaps)
-
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = pd.DataFrame({"anchor": [], "id": [], "de": [], "dx": []})
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            points, own = np.stack(pdf["e"].to_numpy()), pdf["id"].to_numpy()
-            inputs = np.stack(pdf["x"].to_numpy())
-            found = [best]
-            for at, distance in squared(points, low_space):
-                distance[own[None, :] == ids[at : at + len(distance), None]] = np.inf
-                for row, d in enumerate(distance):
-                    limit = np.partition(d, k - 1)[k - 1] if len(d) > k else np.inf
-                    take = np.flatnonzero((d <= limit) & np.isfinite(d))
-                    take = take[np.lexsort((own[take], d[take]))[:k]]
-                    gap = inputs[take] - high_space[at + row]
-                    found.append(
-                        pd.DataFrame(
-                            {"anchor": ids[at + row], "id": own[take], "de": d[take], "dx": np.einsum("pd,pd->p", gap, gap)}
-                        )
-                    )
-            best = pd.concat(found).sort_values(["anchor", "de", "id"]).groupby("anchor").head(k)
-        yield best.astype({"anchor": "int64", "id": "int64", "de": "float64", "dx": "float64"})
-
-    local = rows.mapInPandas(nearest, "anchor bigint, id bigint, de double, dx double")
+    count = chosen.count()
+    shards = max(1, -(-n // shard))
+    none = F.array().cast("array<double>").alias("gaps"), F.array().cast("array<bigint>").alias("others")
+    place = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
+    points = _packed(rows.select(place, F.lit(0).alias("kind"), "id", "x", "e", *none), shard)
+
+    def nearest(held: dict, asked: dict) -> list[np.ndarray]:
+        found = []
+        for own, e, x in zip(asked["ids"], asked["e"], asked["x"]):
+            d = _squared(e, held["e"])
+            d[held["ids"] == own] = np.inf
+            limit = np.partition(d, k - 1)[k - 1] if len(d) > k else np.inf
+            take = np.flatnonzero((d <= limit) & np.isfinite(d))
+            take = take[np.lexsort((held["ids"][take], d[take]))[:k]]
+            found.append((np.full(len(take), own), held["ids"][take], d[take], _squared(x, held["x"][take])))
+        return [np.concatenate(c) for c in zip(*found)]
+
+    asking = chosen.select(F.lit(0).alias("shard"), F.lit(1).alias("kind"), "id", "x", "e", *none)
+    local = _met(points, _packed(asking, block), shards, nearest, "anchor bigint, id bigint, de double, dx double")
     w = Window.partitionBy("anchor").orderBy("de", "id")
-    near = local.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).select("anchor", "id", "dx").collect()
-    place = {a: i for i, a in enumerate(ids)}
-    marks = [[] for _ in ids]  # per anchor its neighbours as (squared input distance, id); anchors x k entries
-    for r in near:
-        marks[place[r["anchor"]]].append((r["dx"], r["id"]))
-
-    def closer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = [np.zeros(len(m), dtype=np.int64) for m in marks]
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            points, own = np.stack(pdf["x"].to_numpy()), pdf["id"].to_numpy()
-            for at, distance in squared(points, high_space):
-                for row, d in enumerate(distance):
-                    me = at + row
-                    other = own != ids[me]
-                    for j, (limit, neighbour) in enumerate(marks[me]):
-                        before = (d < limit) | ((d == limit) & (own < neighbour))
-                        totals[me][j] += np.count_nonzero(before & other & (own != neighbour))
-        out = [(ids[i], m[1], t) for i, ms in enumerate(marks) for m, t in zip(ms, totals[i])]
-        yield pd.DataFrame(out, columns=["anchor", "id", "closer"]).astype("int64")
-
-    counted = rows.select("id", "x").mapInPandas(closer, "anchor bigint, id bigint, closer bigint")
+    near = local.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k)
+    marks = near.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("r", "dx", F.col("id").alias("other")))).alias("m"))
+    # Every anchor has the same number of neighbours, all other points or k of them: blocks are full arrays.
+    known = settle(
+        chosen.join(marks, chosen["id"] == marks["anchor"]).select(
+            F.lit(0).alias("shard"), F.lit(1).alias("kind"), "id", "x", "e", F.col("m.dx").alias("gaps"), F.col("m.other").alias("others")
+        ),
+        "trust-neighbours",
+    )
+
+    def closer(held: dict, asked: dict) -> list[np.ndarray]:
+        found = []
+        for own, x, gaps, others in zip(asked["ids"], asked["x"], asked["gaps"], asked["others"]):
+            d, ids = _squared(x, held["x"]), held["ids"]
+            d[ids == own] = np.inf  # the anchor itself does not count
+            before = [np.count_nonzero(d < g) + np.count_nonzero(ids[d == g] < o) for g, o in zip(gaps, others)]
+            found.append((np.full(len(others), own), others, before))
+        return [np.concatenate(c) for c in zip(*found)]
+
+    counted = _met(points, _packed(known, block), shards, closer, "anchor bigint, id bigint, closer bigint")
     ranks = counted.groupBy("anchor", "id").agg((F.sum("closer") + 1).alias("rank"))
-    penalty = F.sum(F.greatest(F.lit(0), F.col("rank") - k))
-    scale = 2.0 / (len(ids) * k * (2.0 * n - 3.0 * k - 1.0)) if len(ids) else 0.0
+    penalty = F.coalesce(F.sum(F.greatest(F.lit(0), F.col("rank") - k)), F.lit(0))
+    scale = 2.0 / (count * k * (2.0 * n - 3.0 * k - 1.0)) if count else 0.0
     return ranks.agg(
         F.lit(n).cast("bigint").alias("n"),
-        F.lit(len(ids)).cast("bigint").alias("anchors"),
+        F.lit(count).cast("bigint").alias("anchors"),
         (F.lit(1.0) - penalty * F.lit(scale)).alias("trust"),
     )

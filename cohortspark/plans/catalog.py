@@ -829,6 +829,21 @@ def column_medians(spark, folder):
     return rounded(inline(spark, list(medians.items()), "name string, median double"))
 
 
+@query(
+    f"""WITH g AS ({GAPS_SQL}), li AS (SELECT l_quantity AS quantity, -l_tax AS tax_loss FROM lineitem)
+SELECT 'price' AS name, round(median(price), 6) AS median FROM g UNION ALL SELECT 'discount', round(median(discount), 6) FROM g
+UNION ALL SELECT 'quantity', round(median(quantity), 6) FROM li UNION ALL SELECT 'tax_loss', round(median(tax_loss), 6) FROM li"""
+)
+def medians_selected(spark, folder):
+    """The narrowing passes: no more than 100 values of a column are ever ranked."""
+    li = load(spark, folder, "lineitem").select(
+        F.when(F.col("l_returnflag") != "R", F.col("l_extendedprice")).alias("price"), F.when(F.col("l_linenumber") > 1, F.col("l_discount")).alias("discount"),
+        F.col("l_quantity").alias("quantity"), (-F.col("l_tax")).alias("tax_loss"),
+    )
+    medians = fit_medians(li, li.columns, target=100)
+    return rounded(inline(spark, list(medians.items()), "name string, median double"))
+
+
 def unit_sql(key: str, seed: int | str) -> str:
     return f"(CAST('0x' || substr(md5('{seed}:' || {key}), 1, 8) AS BIGINT) / 4294967296.0)"
 

@@ -98,3 +98,20 @@ def test_trust(spark):
     assert sum(p["trust"] for p in parts) / 3 == pytest.approx(got["trust"])
     with pytest.raises(ValueError):
         comparison.trustworthiness(df.union(df.filter("id = 3")), "x", "e", "id", every, 4)
+
+
+@pytest.mark.parametrize("shard,block", [(7, 3), (1, 1), (1000, 2)])
+def test_trust_in_shards_and_blocks(spark, shard, block):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(30, 4)), np.zeros((10, 4)), np.ones((5, 4))])  # many equal distances
+    e = np.round(x[:, :1], 1)
+    df = inline(spark, [(i, x[i].tolist(), e[i].tolist()) for i in range(45)], "id int, x array<double>, e array<double>").repartition(4)
+    got = comparison.trustworthiness(df, "x", "e", "id", df.select("id"), 3, shard, block).first()
+    assert (got["n"], got["anchors"]) == (45, 45) and got["trust"] == pytest.approx(trust_in_python(x, e, 3))
+
+
+def test_trust_without_anchors_and_with_text_keys(spark):
+    df = inline(spark, [(1, [0.0], [0.0]), (2, [1.0], [2.0])], "id bigint, x array<double>, e array<double>")
+    assert tuple(comparison.trustworthiness(df, "x", "e", "id", df.filter("id > 5").select("id")).first()) == (2, 0, 1.0)
+    with pytest.raises(TypeError):
+        comparison.trustworthiness(df.withColumn("id", df["id"].cast("string")), "x", "e", "id", df.select("id"))

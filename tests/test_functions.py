@@ -116,6 +116,49 @@ def test_median_by_bracket_on_many_rows(spark, monkeypatch):
     assert quantiles.fit_medians(df, ["a", "b"]) == {"a": want[0], "b": want[1]}
 
 
+BAD_BRACKETS = {
+    "below both": lambda b: (b.low, b.low, b.low),
+    "above both": lambda b: (b.high, b.high, b.high),
+    "whole": lambda b: (b.low, (b.low + b.high) / 2, b.high),
+    "between values": lambda b: ((b.low + b.high) / 2 + 0.01, (b.low + b.high) / 2 + 0.01, (b.low + b.high) / 2 + 0.02),
+    "outside": lambda b: (b.low - 9, b.low - 9, b.low - 8),
+}
+
+
+@pytest.mark.parametrize("bad", BAD_BRACKETS)
+@pytest.mark.parametrize("values", [list(range(40)), [1.0] * 50 + [2.0] * 50, [3.5] * 70, [1, 2] * 30 + [9] * 61, [-5.0, 7.0] * 20])
+def test_median_whatever_the_sketch_says(spark, monkeypatch, bad, values):
+    """The counts decide: a bracket that misses the middle on either side, or is too wide, is mended."""
+    import statistics
+
+    real = quantiles.propose
+    calls = []
+
+    def off(df, brackets):
+        found = real(df, brackets)
+        calls.append(1)
+        if len(calls) > 3:  # three bad sketches, then good ones
+            return found
+        out = {}
+        for c, s in found.items():
+            b = brackets[c] or quantiles.Bracket(s["low"], s["high"], 0, s["n"], (0, 0))
+            out[c] = {"n": s["n"], "low": s["low"], "high": s["high"], "at": BAD_BRACKETS[bad](b)} if s["n"] else s
+        return out
+
+    monkeypatch.setattr(quantiles, "propose", off)
+    df = inline(spark, [(float(v), None) for v in values] + [(None, None), (float("nan"), None)], "v double, e double").repartition(3)
+    assert quantiles.fit_medians(df, ["v", "e"], target=3) == {"v": statistics.median(values), "e": None}
+
+
+def test_medians_in_batches_and_with_a_small_target(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "COLUMNS", 2)
+    monkeypatch.setattr(quantiles, "ACCURACY", 20)
+    monkeypatch.setattr(quantiles, "MARGIN", 0.0)
+    df = spark.range(5_000).select(*[((F.col("id") * 7919) % (997 + k) / (k + 1.0)).alias(f"c{k}") for k in range(5)])
+    want = df.agg(*[F.median(c) for c in df.columns]).first()
+    assert quantiles.fit_medians(df, df.columns, target=10) == dict(zip(df.columns, want))
+
+
 def test_p_values(spark):
     assert t_two_sided(2.0, 10) == pytest.approx(0.0733880, abs=1e-6)
     assert t_two_sided(0.0, 5) == pytest.approx(1.0) and t_two_sided(12.706, 1) == pytest.approx(0.05, abs=1e-4)
