@@ -150,17 +150,18 @@ def align_events(
     unique: bool = False,
     keep_bounds: bool = False,
     hot: DataFrame | str | None = AUTO,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add the feature name, t_since (hours since start) and t_til (hours until end).
 
     Rows without a match keep NULLs. `unique` says the context already has one row per key; `keep_bounds` keeps the two
-    times, which saves later steps the join. `hot` keys are measured on `df` unless given.
+    times and `carry` brings further columns of the context, which saves later steps the join. `hot` keys are measured on `df` unless given.
     """
     hot = resolve_hot(hot, df, [key])
     if features is not None:
         df = enrich(df, features, [item], [feature])
-    joined = enrich(df, ctx, [key], [start, end], unique, hot)
-    bounds = [start, end] if keep_bounds else []
+    joined = enrich(df, ctx, [key], [start, end, *carry], unique, hot)
+    bounds = [*([start, end] if keep_bounds else []), *carry]
     return joined.select(*df.columns, *bounds, elapsed_hours(start, time).alias("t_since"), elapsed_hours(time, end).alias("t_til"))
 
 

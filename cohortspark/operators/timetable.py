@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortspark.functions.ordered import Slices, carry_forward, order_key, with_next
+from cohortspark.functions.ordered import Slices, carry_forward, with_next
 from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.skew import AUTO, HOT_ROWS
 from cohortspark.functions.time import bucket_index, bucket_start, elapsed_hours, elapsed_seconds
@@ -55,41 +55,62 @@ def pivot_features(
     then the lowest value), whatever its stay. `within` = (column, values) decides that inside each source and adds the
     sources up. `carried` columns follow from entity and time.
 
-    De-duplication and pivot are one aggregation keyed by entity and time: a single shuffle, combined on the map side, so
-    neither copies of a row nor a long entity gather in a task.
+    With a single `tie` and no stay, de-duplication and pivot are one aggregation keyed by entity and time: a single shuffle,
+    combined on the map side, so neither copies of a row nor a long entity gather in a task. Otherwise the least of several order
+    columns is found from the last to the first, an aggregation a column over the groups of the one before; each keeps plain
+    numbers only, so all of them are hash aggregates, and after the first they see one row a time and stay.
     """
     order = tie or [*([stay] if stay else []), value]
     parts = [(None, F.lit(True))] if within is None else [(w, F.col(within[0]) == w) for w in within[1]]
     wanted = events.filter(F.col(feature).isin(*features))
     if drop_negative:  # the two times follow from entity and time, so whole groups go
         wanted = delete_where(wanted, (F.col("t_til") < 0) | (F.col("t_since") < 0))
-    simple = stay is None and len(order) == 1 and order[0] != value
-    picks, cells = [], {}
-    for i, f in enumerate(features):
-        cells[f] = []
-        for j, (_, part) in enumerate(parts):
-            here = (F.col(feature) == f) & part
-            name = f"_p{i}_{j}"
-            if simple:
-                pick = F.min_by(F.when(here, F.col(value)), F.when(here, F.col(order[0])))
-            else:
-                held = [F.col(stay).alias("s")] if stay else []
-                pick = F.min(F.when(here, F.struct(order_key(order).alias("o"), *held, F.col(value).alias("v"))))
-            picks.append(pick.alias(name))
-            cells[f].append(F.col(name))
-    table = wanted.groupBy(entity, time).agg(*[F.min(c).alias(c) for c in carried], *picks)
+    cells = {f"{i}_{j}": (F.col(feature) == f) & part for i, f in enumerate(features) for j, (_, part) in enumerate(parts)}
+    if stay is None and len(order) == 1 and order[0] != value:
+        picks = [F.min_by(F.when(here, F.col(value)), F.when(here, F.col(order[0]))).alias(f"_v{c}") for c, here in cells.items()]
+        table = wanted.groupBy(entity, time).agg(*[F.min(c).alias(c) for c in carried], *picks)
+    else:
+        table = _least(wanted, [entity, time], carried, list(dict.fromkeys([*order, *([stay] if stay else []), value])), stay, value, cells)
+    found = {f: [f"{i}_{j}" for j in range(len(parts))] for i, f in enumerate(features)}
     if stay is None:
-        found = {f: [c if simple else c["v"] for c in cs] for f, cs in cells.items()}
-        return table.select(entity, time, *carried, *[_total(vs).alias(f) for f, vs in found.items()])
+        return table.select(entity, time, *carried, *[_total([F.col(f"_v{c}") for c in cs]).alias(f) for f, cs in found.items()])
     # The picked values of one time may belong to several stays: one row for each of those, without a shuffle.
-    stays = F.array_distinct(
-        F.array_compact(F.array(*[F.when(c.isNotNull(), F.struct(c["s"].alias("s"))) for cs in cells.values() for c in cs]))
-    )
-    table = table.withColumn("_stay", F.explode(stays))
-    own = {f: [F.when(c["s"].eqNullSafe(F.col("_stay.s")), c["v"]) for c in cs] for f, cs in cells.items()}
+    held = [F.when(F.col(f"_p{c}").isNotNull(), F.struct(F.col(f"_s{c}").alias("s"))) for c in cells]
+    table = table.withColumn("_stay", F.explode(F.array_distinct(F.array_compact(F.array(*held)))))
+    own = {f: [F.when(F.col(f"_p{c}").isNotNull() & F.col(f"_s{c}").eqNullSafe(F.col("_stay.s")), F.col(f"_v{c}")) for c in cs] for f, cs in found.items()}
     return table.select(entity, F.col("_stay.s").alias(stay), time, *carried, *[_total(vs).alias(f) for f, vs in own.items()])
 
 
+def _least(
+    rows: DataFrame, keys: list[str], carried: tuple[str, ...], order: list[str], stay: str | None, value: str, cells: dict[str, Column]
+) -> DataFrame:
+    """Per key and cell the value `_v` and stay `_s` of the row that is least by `order` (NULL last), and `_p`, NULL where a cell has
+    no row. `order` names value and stay, so nothing is left to chance."""
+    kept = {value: "_v", **({stay: "_s"} if stay else {})}
+    steps = [F.min(c).alias(c) for c in carried]
+    last = order[-1]
+    for c, here in cells.items():
+        steps.append(F.max(F.when(here, F.lit(1))).alias(f"_p{c}"))
+        if last in kept:
+            steps.append(F.min(F.when(here, F.col(last))).alias(f"{kept[last]}{c}"))
+    table = rows.groupBy(*keys, *[F.col(o).alias(f"_o{k}") for k, o in enumerate(order[:-1])]).agg(*steps)
+    for k in reversed(range(len(order) - 1)):
+        by = F.col(f"_o{k}")
+        steps = [F.min(c).alias(c) for c in carried]
+        for c in cells:
+            there = F.col(f"_p{c}").isNotNull()
+            steps.append(F.max(f"_p{c}").alias(f"_p{c}"))
+            if order[k] in kept:
+                steps.append(F.min(F.when(there, by)).alias(f"{kept[order[k]]}{c}"))
+            for name in (kept[o] + c for o in order[k + 1 :] if o in kept):
+                known = F.max(F.when(there & by.isNotNull(), F.lit(1))).isNotNull()
+                # At most one group of a key has an unknown order.
+                first = F.min_by(F.col(name), F.when(there, by))
+                steps.append(F.when(known, first).otherwise(F.max(F.when(there & by.isNull(), F.col(name)))).alias(name))
+        table = table.groupBy(*keys, *[f"_o{i}" for i in range(k)]).agg(*steps)
+    return table
+
+
 def _total(values: list[Column]) -> Column:
     """Sum that leaves out unknown parts and is unknown when all are."""
     if len(values) == 1:
@@ -109,24 +130,25 @@ def bucketize(
     start: str = "admittime",
     end: str = "dischtime",
     unique: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Average (or sum) every column inside the nearest bucket of `width_s` seconds.
 
-    aggs: column -> "avg" or "sum". Hours since start and until end are those of the bucket time (a bucket may lie before
+    aggs: column -> "avg" or "sum"; columns to `keep` follow from the keys. Hours since start and until end are those of the bucket time (a bucket may lie before
     the start); the two times come with the table if it has the columns, else from the context if one is given.
     """
     carried = [c for c in (start, end) if c in table.columns]
     out = (
         table.groupBy(bucket_index(time, width_s).alias("_bucket"), *keys)
-        .agg(*[AGGREGATES[how](c).alias(c) for c, how in aggs.items()], *[F.min(c).alias(c) for c in carried])
+        .agg(*[AGGREGATES[how](c).alias(c) for c, how in aggs.items()], *[F.min(c).alias(c) for c in (*carried, *keep)])
         .withColumn(time, bucket_start("_bucket", width_s))
     )
     if len(carried) < 2:
         if ctx is None:
-            return out.select(time, *keys, *aggs)
+            return out.select(time, *keys, *keep, *aggs)
         out = enrich(out.drop(*carried), ctx, [ctx_key], [start, end], unique=unique)
     return out.select(
-        time, *keys, *aggs, elapsed_hours(start, time).alias("t_since"), elapsed_hours(time, end).alias("t_til")
+        time, *keys, *keep, *aggs, elapsed_hours(start, time).alias("t_since"), elapsed_hours(time, end).alias("t_til")
     )
 
 

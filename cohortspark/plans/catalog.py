@@ -15,7 +15,7 @@ from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.scalars import item_class, log10_between, parse_ids
 from cohortspark.functions.skew import hot_keys
 from cohortspark.functions.time import elapsed_hours
-from cohortspark.operators import cohort, comparison, encoding, measurements, modelling, relational, summaries, timetable
+from cohortspark.operators import cohort, comparison, encoding, logistic, measurements, modelling, relational, summaries, timetable
 from cohortspark.plans import clinical, rules
 from cohortspark.session import configure, inline, settle
 from cohortspark.sources.tables import load
@@ -487,6 +487,68 @@ def bucket_day(spark, folder):
     return bucketed(spark, folder, 86400)
 
 
+STAY_SQL = f"""e AS (SELECT user_id, date_trunc('day', ts) AS ts, event_type, CASE WHEN event_id % 4 <> 0 THEN event_id % 4 END AS stay,
+  event_id % 2 AS origin, event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events),
+aligned AS (SELECT e.*, {h('start_ts', 'e.ts')} AS t_since, {h('e.ts', 'end_ts')} AS t_til FROM e JOIN spans USING (user_id)),
+kept AS (SELECT * FROM aligned WHERE t_since >= 0 AND t_til >= 0)"""
+
+
+def stay_pivot_sql(order: str, parts: str) -> str:
+    cells = ", ".join(f"round(sum(value) FILTER (event_type = '{t}'), 6) AS {t}" for t in TYPES)
+    return f"""WITH {SPANS_SQL}, {STAY_SQL},
+once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ts, event_type{parts} ORDER BY {order}) AS rn FROM kept) WHERE rn = 1)
+SELECT user_id, stay, ts, round(min(t_since), 6) AS t_since, round(min(t_til), 6) AS t_til, {cells} FROM once GROUP BY user_id, stay, ts"""
+
+
+def stay_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events by day, three of four with a stay, from two sources, some without a value, with hours since start and until end."""
+    ev = load(spark, folder, "events")
+    spanned = settle(spans(ev))
+    rows = ev.select(
+        "user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("ts"), "event_type", F.when(F.col("event_id") % 4 != 0, F.col("event_id") % 4).alias("stay"),
+        (F.col("event_id") % 2).alias("origin"), "event_id", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"),
+    )
+    hot = hot_keys(ev, ["user_id"], rows=ev.count())
+    return measurements.align_events(rows, spanned, None, key="user_id", time="ts", start="start_ts", end="end_ts", unique=True, hot=hot)
+
+
+@query(stay_pivot_sql("stay NULLS LAST, value NULLS LAST", ", origin"))
+def feature_pivot_stay(spark, folder):
+    """The preset's form: the lowest stay and value within each source, sources added up."""
+    wide = timetable.pivot_features(
+        stay_events(spark, folder), TYPES, "user_id", "ts", "stay", feature="event_type", value="value", within=("origin", [0, 1])
+    )
+    return rounded(wide)
+
+
+@query(stay_pivot_sql("origin, event_id, stay NULLS LAST, value NULLS LAST", ""))
+def feature_pivot_tie(spark, folder):
+    """Several tie columns decide which of the rows of a time counts, and with it the stay."""
+    wide = timetable.pivot_features(
+        stay_events(spark, folder), TYPES, "user_id", "ts", "stay", feature="event_type", value="value", tie=["origin", "event_id"]
+    )
+    return rounded(wide)
+
+
+@query(
+    f"""WITH {SPANS_SQL}, {STAY_SQL},
+once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ts, event_type, origin ORDER BY stay NULLS LAST, value NULLS LAST) AS rn FROM kept) WHERE rn = 1),
+wide AS (SELECT user_id, stay, ts, {', '.join(f"sum(value) FILTER (event_type = '{t}') AS {t}" for t in TYPES)} FROM once GROUP BY ALL),
+b AS (SELECT TIMESTAMP '1970-01-01' + to_seconds(CAST(round_even(epoch_us(ts) / 1e6 / 259200, 0) AS BIGINT) * 259200) AS ts, user_id, stay,
+  {', '.join(f'{how}({t}) AS {t}' for t, how in AGGS.items())} FROM wide GROUP BY 1, 2, 3)
+SELECT b.ts, user_id, stay, {', '.join(f'round({t}, 6) AS {t}' for t in TYPES)},
+  round({h('start_ts', 'b.ts')}, 6) AS t_since, round({h('b.ts', 'end_ts')}, 6) AS t_til FROM b LEFT JOIN spans USING (user_id)"""
+)
+def bucket_by_context(spark, folder):
+    """Three-day buckets whose bounds come from a context of one row a user."""
+    wide = timetable.pivot_features(
+        stay_events(spark, folder), TYPES, "user_id", "ts", "stay", feature="event_type", value="value", within=("origin", [0, 1])
+    )
+    ctx = spans(load(spark, folder, "events"))
+    out = timetable.bucketize(wide, 259200, AGGS, ["user_id", "stay"], "ts", ctx, "user_id", "start_ts", "end_ts", unique=True)
+    return rounded(out)
+
+
 LOCF_SQL = f"""WITH {PIVOT_SQL}, med AS (SELECT {', '.join(f'median({t}) AS m_{t}' for t in TYPES)} FROM wide),
 carried AS (SELECT *, {', '.join(f'last_value({t} IGNORE NULLS) OVER w AS l_{t}' for t in TYPES)} FROM wide
             WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
@@ -931,6 +993,32 @@ def split_exact(spark, folder):
     return modelling.stratified_split(c, "c_custkey", "c_mktsegment", 0.1, 42, exact=True, slices=slices)
 
 
+@query(
+    """SELECT c_custkey, c_mktsegment, CASE WHEN r <= round_even(n * 0.1, 0) THEN 'test' ELSE 'train' END AS side FROM (SELECT c_custkey,
+c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY md5('7:' || c_custkey)) AS r,
+count(*) OVER (PARTITION BY c_mktsegment) AS n FROM customer)"""
+)
+def split_rule(spark, folder):
+    """Exact strata by limits of the digest: the side is a function of the row."""
+    c = load(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+    return c.withColumn("side", modelling.fit_split(c, "c_custkey", "c_mktsegment", 0.1, 7).side())
+
+
+@query(
+    """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status, md5('9:' || o_orderkey) AS h FROM orders),
+r AS (SELECT o_orderkey, row_number() OVER (PARTITION BY status ORDER BY h) <= round_even(0.25 * count(*) OVER (PARTITION BY status), 0) AS test FROM o)
+SELECT test, status, count(*) AS lines, round(sum(l_quantity), 2) AS quantity FROM lineitem JOIN o ON l_orderkey = o_orderkey JOIN r USING (o_orderkey) GROUP BY test, status"""
+)
+def split_rule_rows(spark, folder):
+    """The lines of each side, an unknown status being a stratum: lines carry key and label, so both sides are filters."""
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status")
+    o = load(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), status)
+    rule = modelling.fit_split(o, "l_orderkey", "status", 0.25, 9)
+    lines = load(spark, folder, "lineitem").select("l_orderkey", "l_quantity").join(o, "l_orderkey")
+    parts = [p.withColumn("test", F.lit(t)) for p, t in zip(rule.apply(lines), (False, True))]
+    return rounded(relational.append(*parts).groupBy("test", "status").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity")), 2)
+
+
 VITALS = {
     "age_at_adm": "CASE WHEN l_linenumber < 7 THEN l_quantity * 2 END",
     "heart_rate": "CASE WHEN l_linenumber <> 2 THEN l_extendedprice / 500 END",
@@ -1006,22 +1094,81 @@ def assemble(spark, folder):
     return rounded(out)
 
 
-@query()
+def newton_sql(terms: list[str], steps: int) -> str:
+    """Tables w0, w1, ... of weights b0, b1, ... by Newton steps over train (columns `terms`, the last a constant 1, and y).
+
+    The equations of a step are solved by elimination, a table a pivot.
+    """
+    d = len(terms)
+    every = [(i, j) for i in range(d) for j in range(i, d)]
+    parts = ["w0 AS (SELECT " + ", ".join(f"0::DOUBLE AS b{i}" for i in range(d)) + ")"]
+    for t in range(1, steps + 1):
+        z = " + ".join(f"b{i} * {x}" for i, x in enumerate(terms))
+        ridge = [0 if i == d - 1 else 1 for i in range(d)]
+        sums = [f"sum(p * (1 - p) * {terms[i]} * {terms[j]}) + {ridge[i] * (i == j)} AS a{i}_{j}" for i, j in every]
+        sums += [f"sum((p - y) * {x}) + {ridge[i]} * any_value(b{i}) AS g{i}" for i, x in enumerate(terms)]
+        parts.append(f"e{t}_0 AS MATERIALIZED (SELECT {', '.join(sums)} FROM (SELECT *, 1 / (1 + exp(-({z}))) AS p FROM train, w{t - 1}))")
+        for k in range(d - 1):
+            made = [f"a{i}_{j}{f' - a{k}_{i} * a{k}_{j} / a{k}_{k}' if i > k else ''} AS a{i}_{j}" for i, j in every]
+            made += [f"g{i}{f' - a{k}_{i} * g{k} / a{k}_{k}' if i > k else ''} AS g{i}" for i in range(d)]
+            parts.append(f"e{t}_{k + 1} AS MATERIALIZED (SELECT {', '.join(made)} FROM e{t}_{k})")
+        back = [f"(g{i}{''.join(f' - a{i}_{j} * s{j}' for j in range(i + 1, d))}) / a{i}_{i} AS s{i}" for i in reversed(range(d))]
+        parts.append(f"w{t} AS MATERIALIZED (SELECT {', '.join(f'b{i} - s{i} AS b{i}' for i in range(d))} FROM w{t - 1}, (SELECT {', '.join(back)} FROM e{t}_{d - 1}))")
+    return ",\n".join(parts)
+
+
+LANGUAGES = ["de", "en", "es", "fr"]  # the values that occur in the table
+NEWTON_TERMS = ["n_chars", *(f"lang_{v}" for v in LANGUAGES), "one"]
+NEWTON_STEPS = 8
+
+
+@query(
+    f"""WITH r AS (SELECT {unit_sql('doc_id', 1)} < 0.2 AS test, ln(n_chars + 1.0) AS n_chars, lang, quality FROM documents JOIN labels USING (doc_id)),
+m AS (SELECT median(n_chars) AS m FROM r WHERE NOT test),
+x AS (SELECT test, coalesce(n_chars, m) AS n_chars, {', '.join(f"CASE WHEN lang = '{v}' THEN 1 ELSE 0 END AS lang_{v}" for v in LANGUAGES)}, 1 AS one, quality AS y FROM r, m WHERE quality IS NOT NULL),
+train AS MATERIALIZED (SELECT * FROM x WHERE NOT test),
+{newton_sql(NEWTON_TERMS, NEWTON_STEPS)},
+fitted AS (SELECT * FROM w{NEWTON_STEPS})
+{' UNION ALL '.join(f"SELECT '{'intercept' if t == 'one' else t}' AS term, round(b{i}, 4) AS value FROM fitted" for i, t in enumerate(NEWTON_TERMS))}
+UNION ALL SELECT 'accuracy', round(avg(CASE WHEN ({' + '.join(f'b{i} * {t}' for i, t in enumerate(NEWTON_TERMS))} > 0) = (y = 1) THEN 1.0 ELSE 0.0 END), 4) FROM x, fitted WHERE test"""
+)
 def logistic_fit(spark, folder):
     """Text length and language against the quality label: coefficients of the fit and the hold-out accuracy."""
     docs = load(spark, folder, "documents", ["doc_id", "lang", "n_chars"])
     labels = load(spark, folder, "labels", ["doc_id", "quality"])
-    rows = docs.join(labels, "doc_id")
-    rows = rows.withColumn("n_chars", F.ln(F.col("n_chars") + 1.0))
-    parts = modelling.apply_split(rows, modelling.stratified_split(rows, "doc_id", "quality", 0.2, 1), "doc_id")
-    train, test = encoding.prepare_inputs(*[p.drop("doc_id") for p in parts], ["lang"], rows=labels.count(), outcomes=["quality"])
-    model = modelling.fit_logistic(train, "quality")
-    inputs = [c for c in train.columns if c != "quality"]
-    fitted = [(c, float(v)) for c, v in zip(inputs, model.coefficients)] + [("intercept", float(model.intercept))]
-    scored = modelling.accuracy(model, test, "quality")
-    return inline(spark, fitted, "term string, value double").unionByName(
-        scored.select(F.lit("accuracy").alias("term"), F.col("accuracy").alias("value"))
+    rows = settle(docs.join(labels, "doc_id").withColumn("n_chars", F.ln(F.col("n_chars") + 1.0)))
+    side = modelling.split_side("doc_id", 0.2, 1)
+    parts = [rows.filter(side == s).drop("doc_id") for s in ("train", "test")]
+    train, test = encoding.prepare_inputs(*parts, ["lang"], rows=labels.count(), outcomes=["quality"])
+    fit = logistic.fit_newton(settle(train), "quality", [c for c in train.columns if c != "quality"])
+    fitted = [*fit.weights.items(), ("intercept", fit.intercept)]
+    share = fit.holdout(test, "quality").select(F.lit("accuracy").alias("term"), (F.col("right") / F.col("n")).alias("value"))
+    return rounded(inline(spark, fitted, "term string, value double").unionByName(share), 4)
+
+
+NEAR_TERMS = ["quantity", "discount", "one"]
+
+
+@query(
+    f"""WITH x AS (SELECT l_quantity / 50 AS quantity, l_discount * 10 AS discount, 1 AS one, CASE WHEN l_extendedprice > 40000 THEN 1 ELSE 0 END AS y,
+md5('5:' || l_orderkey) < 'c' AS early FROM lineitem), train AS MATERIALIZED (SELECT * FROM x WHERE early),
+{newton_sql(NEAR_TERMS, 10)}, fitted AS (SELECT * FROM w10),
+said AS (SELECT CASE WHEN b0 * quantity + b1 * discount + b2 > 0 THEN 1 ELSE 0 END AS s, y FROM x, fitted WHERE NOT early)
+{' UNION ALL '.join(f"SELECT '{'intercept' if t == 'one' else t}' AS term, round(b{i}, 4) AS value FROM fitted" for i, t in enumerate(NEAR_TERMS))}
+UNION ALL SELECT 'rows', count(*) FROM train UNION ALL SELECT 'n', count(*) FROM said UNION ALL SELECT 'right', count(*) FILTER (s = y) FROM said
+UNION ALL SELECT 'positive', sum(s) FROM said"""
+)
+def logistic_newton(spark, folder):
+    """Dear lines by quantity and discount, fitted on three quarters of the orders: weights and hold-out counts."""
+    x = load(spark, folder, "lineitem").select(
+        (F.col("l_quantity") / 50).alias("quantity"), (F.col("l_discount") * 10).alias("discount"),
+        F.when(F.col("l_extendedprice") > 40000, 1).otherwise(0).alias("y"), (modelling.key_digest("l_orderkey", 5) < "c").alias("early"),
     )
+    fit = logistic.fit_newton(settle(x.filter("early").drop("early")), "y", NEAR_TERMS[:-1])
+    fitted = [*fit.weights.items(), ("intercept", fit.intercept), ("rows", float(fit.rows))]
+    held = fit.holdout(x.filter(~F.col("early")), "y")
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("term"), F.col(c).cast("double").alias("value")) for c in ("n", "right", "positive")]))
+    return rounded(inline(spark, fitted, "term string, value double").unionByName(held.select(cells.alias("x")).select("x.*")), 4)
 
 
 # --- comparison -----------------------------------------------------------------------------------------------------

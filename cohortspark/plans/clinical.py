@@ -19,7 +19,7 @@ from cohortspark.operators.measurements import (
     filter_events,
     item_inventory,
 )
-from cohortspark.operators.modelling import apply_split, assemble_features, stratified_split
+from cohortspark.operators.modelling import assemble_features, fit_split, split_side
 from cohortspark.operators.relational import append
 from cohortspark.operators.scoring import severity
 from cohortspark.operators.timetable import bucketize, pivot_features
@@ -28,6 +28,9 @@ from cohortspark.session import inline
 from cohortspark.sources.sinks import materialize
 
 
+LABEL = "died"  # the outcome that strata are of; time tables carry it
+
+
 def feature_table(spark: SparkSession, features: dict[str, tuple], ignored: tuple = ()) -> DataFrame:
     """(feature, itemid) lookup of a preset; ignored items carry the feature name "ignore"."""
     rows = [(f, i) for f, ids in features.items() for i in ids] + [("ignore", i) for i in ignored]
@@ -75,20 +78,20 @@ def clean_chart(tables: dict[str, DataFrame], ctx: DataFrame, features: DataFram
     events = filter_events(tables["chartevents"], ctx, features, hot=hot)
     events = apply_unit_fixes(events, rules.CHART_FIXES)
     events = drop_sigma_outliers(events, list(rules.TEMPERATURE_ITEMS), rules.SIGMA)
-    return align_events(apply_rules(events, rules.CHART_RULES), ctx, features, hot=hot)
+    return align_events(apply_rules(events, rules.CHART_RULES), ctx, features, hot=hot, carry=(LABEL,))
 
 
 def clean_output(tables: dict[str, DataFrame], ctx: DataFrame, features: DataFrame) -> DataFrame:
     hot = hot_keys(tables["outputevents"], ["hadm_id"])
     events = filter_events(tables["outputevents"], ctx, features, value="value", hot=hot)
-    return align_events(apply_rules(events, rules.OUTPUT_RULES), ctx, features, hot=hot)
+    return align_events(apply_rules(events, rules.OUTPUT_RULES), ctx, features, hot=hot, carry=(LABEL,))
 
 
 def clean_lab(tables: dict[str, DataFrame], ctx: DataFrame, features: DataFrame) -> DataFrame:
     hot = hot_keys(tables["labevents"], ["hadm_id"])
     events = filter_events(tables["labevents"], ctx, features, hot=hot)
     events = apply_unit_fixes(apply_rules(events, rules.LAB_RULES), rules.LAB_FIXES)
-    return align_events(events, ctx, features, hot=hot)
+    return align_events(events, ctx, features, hot=hot, carry=(LABEL,))
 
 
 def _long(events: DataFrame, has_stay: bool) -> DataFrame:
@@ -99,18 +102,20 @@ def _long(events: DataFrame, has_stay: bool) -> DataFrame:
         F.col("charttime").alias("time"),
         "t_since",
         "t_til",
+        LABEL,
         "feature",
         F.col("valuenum").cast("double").alias("valuenum"),
     )
 
 
 ORIGIN = "origin"
+CARRIED = ("t_since", "t_til", LABEL)  # they follow from admission and time
 
 
 def time_table(sources: dict[str, DataFrame], features: list[str]) -> DataFrame:
     """Wide table over cleaned sources; duplicates of a feature at one time count once within each source."""
     tagged = append(*[df.withColumn(ORIGIN, F.lit(name)) for name, df in sources.items()])
-    return pivot_features(tagged, features, time="time", within=(ORIGIN, list(sources)))
+    return pivot_features(tagged, features, time="time", carried=CARRIED, within=(ORIGIN, list(sources)))
 
 
 @dataclass(frozen=True)
@@ -141,16 +146,24 @@ def build_stages(
     tt = stage(time_table({"icu": icu, "adm": cleaned_lab}, names), "timetable")
     daily = stage(time_table({"adm": cleaned_lab}, names), "daily")
     keys = ["hadm_id", "icustay_id"]
-    half_hours = bucketize(tt, rules.HALF_HOUR_S, rules.HALF_HOUR_AGGS, keys, ctx=ctx)
-    days = bucketize(daily, rules.DAY_S, rules.DAY_AGGS, keys, ctx=ctx)
+    half_hours = bucketize(tt, rules.HALF_HOUR_S, rules.HALF_HOUR_AGGS, keys, ctx=ctx, keep=(LABEL,))
+    days = bucketize(daily, rules.DAY_S, rules.DAY_AGGS, keys, ctx=ctx, keep=(LABEL,))
     return Stages(ctx, tt, daily, stage(half_hours, "timebucket"), stage(days, "daybucket"))
 
 
-def split(stages: Stages, frac: float = 0.1, seed: int | str = 0, exact: bool = False) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """(train, test) of the context and the time tables; every admission is on one side only."""
-    sides = stratified_split(stages.context, "hadm_id", "died", frac, seed, exact)
+def split(stages: Stages, frac: float = 0.1, seed: int | str = 0, exact: bool = True) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """(train, test) of the context and the time tables; every admission is on one side only.
+
+    By default the share holds within each outcome, by limits found on the context; else a hash of the admission decides alone.
+    Either way the side follows from what a row carries, so the tables are filtered and not joined.
+    """
     tables = {"context": stages.context, "timebucket": stages.timebucket, "daybucket": stages.daybucket, "timetable": stages.timetable}
-    return {name: apply_split(df, sides, "hadm_id") for name, df in tables.items()}
+    if exact:
+        rule = fit_split(stages.context, "hadm_id", LABEL, frac, seed)
+        return {name: rule.apply(df) for name, df in tables.items()}
+    side = split_side("hadm_id", frac, seed)
+    known = {name: df.filter(F.col("hadm_id").isNotNull()) for name, df in tables.items()}
+    return {name: (df.filter(side == "train"), df.filter(side == "test")) for name, df in known.items()}
 
 
 def assembled(ctx: DataFrame, timebucket: DataFrame, daybucket: DataFrame, keep_ids: bool = False) -> DataFrame:
@@ -181,4 +194,4 @@ def model_inputs(parts: dict[str, tuple[DataFrame, DataFrame]], categories: list
     categories = categories or rules.CATEGORIES
     if "gender" not in categories:  # remapped to "0" / "1" by then
         train, test = (df.withColumn("gender", F.col("gender").try_cast("double")) for df in (train, test))
-    return prepare_inputs(train, test, categories)
+    return prepare_inputs(train, test, categories, outcomes=rules.OUTCOMES)

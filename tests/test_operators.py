@@ -1,13 +1,15 @@
 """Operators on hand-made rows: NULLs, ties, limits, empty groups."""
 
 import datetime as dt
+import hashlib
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from cohortspark.functions.ordered import plan_slices
-from cohortspark.operators import cohort, encoding, measurements, modelling, relational, scoring, summaries, timetable
+from cohortspark.operators import cohort, encoding, logistic, measurements, modelling, relational, scoring, summaries, timetable
 from cohortspark.operators.measurements import DropRule, Source, UnitFix
 from cohortspark.plans import clinical, rules
 from cohortspark.session import inline
@@ -158,6 +160,34 @@ def test_pivot_and_bucketize(spark):
     assert rows(out, "icustay_id", "charttime", "x", "y", "t_since", "t_til") == [(5, t(0), 2.0, None, 0.0, 10.0), (6, t(0), None, 2.0, 0.0, 10.0)]
 
 
+@pytest.mark.parametrize("stay,tie,within", [("s", None, None), ("s", None, True), ("s", ["t1"], True), ("s", ["t1", "s"], None), (None, None, True), (None, ["t1", "t2"], None), ("s", ["v", "t1"], True)])
+def test_the_picked_row_is_the_least(spark, stay, tie, within):
+    """Against sorting the rows of each time, with unknown stays, ties and values."""
+    rng = random.Random(5)
+    some = lambda *xs: rng.choice([None, *xs])
+    data = [
+        (rng.randrange(4), some(1, 2, 3), rng.randrange(5), rng.choice("xyq"), rng.choice("ab"), some(1.0, 2.5, -3.0), some(1, 2), some(1, 2, 3)) for _ in range(600)
+    ]
+    names = ["e", "s", "time", "f", "origin", "v", "t1", "t2"]
+    df = inline(spark, [(*d, d[2] * 1.0, 1.0) for d in data], "e bigint, s bigint, time bigint, f string, origin string, v double, t1 bigint, t2 bigint, t_since double, t_til double")
+    order = list(dict.fromkeys([*(tie or ([stay] if stay else []) + ["v"]), *([stay] if stay else []), "v"]))
+    last = lambda x: (x is None, x or 0)
+    best = {}
+    for d in data:
+        r = dict(zip(names, d))
+        if r["f"] in "xy":
+            key = r["e"], r["time"], r["f"], r["origin"] if within else ""
+            best[key] = min(best.get(key, r), r, key=lambda x: [last(x[o]) for o in order])
+    want = {}
+    for (e, time, f, _), r in best.items():
+        cell = want.setdefault((e, r["s"] if stay else None, time), {})
+        if r["v"] is not None:
+            cell[f] = cell.get(f, 0.0) + r["v"]
+    got = timetable.pivot_features(df.repartition(4), ["x", "y"], "e", "time", stay, feature="f", value="v", tie=tie, within=("origin", ["a", "b"]) if within else None)
+    found = [((r["e"], r["s"] if stay else None, r["time"]), {f: r[f] for f in "xy" if r[f] is not None}) for r in got.collect()]
+    assert len(found) == len(dict(found)) and dict(found) == want
+
+
 def test_impute_sequence(spark):
     data = [
         (1, 0, None), (1, 1, 5.0), (1, 2, None), (1, 3, 7.0), (1, 4, None),  # leading, inner and trailing gap
@@ -317,6 +347,65 @@ def test_gcs_total_needs_all_parts(spark):
     assert rows(df.select(scoring.gcs_total())) == [(6.0,), (None,)]
 
 
+@pytest.mark.parametrize("bins", [16, 256, 65_536])
+@pytest.mark.parametrize("frac", [0.0, 0.1, 0.5, 1.0])
+def test_split_rule(spark, bins, frac):
+    """Exact sizes in every stratum, an unknown one among them, the same for any way of narrowing."""
+    df = spark.range(700).select("id", F.when(F.col("id") % 7 < 5, F.col("id") % 7).alias("died")).repartition(5)
+    twice = df.union(df)
+    rule = modelling.fit_split(twice, "id", "died", frac, 3, bins=bins)
+    train, test = rule.apply(df.union(inline(spark, [(None, 1)], "id bigint, died bigint")))
+    sizes = {r["died"]: r["count"] for r in test.groupBy("died").count().collect()}
+    want = {k: round(frac * n) for k, n in [*((k, 100) for k in range(5)), (None, 200)]}
+    assert sizes == {k: n for k, n in want.items() if n}
+    assert train.count() + test.count() == 700
+    digests = {r[0]: hashlib.md5(f"3:{r[0]}".encode()).hexdigest() for r in df.collect()}
+    for k in want:
+        ids = sorted((digests[r["id"]] for r in df.collect() if r["died"] == k))
+        assert sorted(digests[r["id"]] for r in test.collect() if r["died"] == k) == ids[: want[k]]
+    assert [rows(p) for p in rule.apply(df)] == [rows(p) for p in modelling.fit_split(df, "id", "died", frac, 3).apply(df)]
+
+
+def test_split_rule_joins_nothing(spark):
+    df = spark.range(50).select("id", (F.col("id") % 3).alias("died"))
+    for part in modelling.fit_split(df, "id", "died", 0.2).apply(df):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+    assert modelling.fit_split(df.limit(0), "id", "died").limits == {}
+    with pytest.raises(ValueError):
+        modelling.fit_split(df, "id", "id", strata=10)
+
+
+def test_newton_steps_and_the_library_agree(spark):
+    rng = random.Random(2)
+    data = []
+    for _ in range(800):
+        a, b = rng.gauss(0, 1), rng.uniform(0, 5)
+        data.append((a, b, float(rng.random() < 1 / (1 + math.exp(-(0.5 + 1.5 * a - 0.4 * b))))))
+    df = inline(spark, [*data, (None, 1.0, 1.0), (1.0, float("nan"), 0.0), (1.0, 2.0, None)], "a double, b double, y double").repartition(3)
+    known = df.filter("a IS NOT NULL AND NOT isnan(b) AND y IS NOT NULL")
+    fit = logistic.fit_newton(df, "y", ["a", "b"])
+    model = modelling.fit_logistic(known, "y")
+    assert [fit.weights["a"], fit.weights["b"], fit.intercept] == pytest.approx([*model.coefficients, model.intercept], abs=1e-4)
+    assert fit.rows == 800 and fit.steps < 10
+    held = fit.holdout(df, "y").first()
+    p = [1 / (1 + math.exp(-(fit.intercept + fit.weights["a"] * a + fit.weights["b"] * b))) > 0.5 for a, b, _ in data]
+    assert tuple(held) == (800, sum(x == bool(y) for x, (_, _, y) in zip(p, data)), sum(p))
+
+
+def test_newton_on_odd_data(spark):
+    df = inline(spark, [(1.0, 1), (2.0, 1)], "a double, y int")
+    one = logistic.fit_newton(df, "y", ["a"])
+    assert one.intercept == math.inf and tuple(one.holdout(df, "y").first()) == (2, 2, 2)
+    none = logistic.fit_newton(df.limit(0), "y", ["a"])
+    assert none.rows == 0 and tuple(none.holdout(df.limit(0), "y").first()) == (0, 0, 0)
+    apart = inline(spark, [(x * 100.0, int(x > 5)) for x in range(11)], "a double, y int")  # separable and badly scaled
+    fit = logistic.fit_newton(apart, "y", ["a"])
+    assert tuple(fit.holdout(apart, "y").first())[:2] == (11, 11) and math.isfinite(fit.loss)
+    with pytest.raises(ValueError):
+        logistic.fit_newton(df, "y", [f"x{k}" for k in range(1001)])
+
+
 def test_exact_split_sizes(spark):
     df = spark.range(1000).select("id", (F.col("id") % 10 == 0).cast("int").alias("died"))
     side = modelling.stratified_split(df, "id", "died", 0.1, 1, exact=True)

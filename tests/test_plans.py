@@ -29,6 +29,16 @@ def test_time_table_and_bucket_take_one_shuffle_each(spark):
     assert hash_shuffles(queries()["bucket_30min"](spark, FOLDER)) == 2
 
 
+@pytest.mark.parametrize("name", ["feature_pivot", "feature_pivot_stay", "feature_pivot_tie", "bucket_by_context"])
+def test_time_tables_are_hash_aggregates(spark, name):
+    plan = plan_of(queries()[name](spark, FOLDER))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_sides_are_filters(spark):
+    assert "Join" not in plan_of(queries()["split_rule"](spark, FOLDER))
+
+
 def test_first_per_key_limits_groups_before_the_shuffle(spark):
     rows = spark.read.parquet(f"{FOLDER}/orders.parquet")
     plan = plan_of(relational.first_per(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"]))
