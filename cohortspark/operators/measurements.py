@@ -25,17 +25,29 @@ class Source:
 
 
 def item_inventory(sources: list[Source], cohort: DataFrame | None = None, key: str = "hadm_id") -> DataFrame:
-    """Distinct (source, itemid) among the cohort. Sources with the same name are united; item ids are text."""
-    parts = []
+    """Distinct (source, itemid) among the cohort. Sources with the same name are united; item ids are text.
+
+    Sources on one table are cells of one scan of it. Each (key, source, item) is kept once before the one semi-join, so repeated
+    measurements of a long admission are gone by then.
+    """
+    tables: list[tuple[DataFrame, list[Source]]] = []
     for s in sources:
-        df = s.df if s.where is None else s.df.filter(s.where)
-        item = (F.col(s.item) if isinstance(s.item, str) else s.item).cast("string").alias("itemid")
-        if cohort is None:
-            items = df.select(item)
-        else:  # each pair once before the join, so repeated measurements of a long admission are gone by then
-            items = restrict_to(df.select(key, item).distinct(), cohort, key)
-        parts.append(items.select(F.lit(s.name).alias("source"), "itemid"))
-    return append(*parts).distinct()
+        own = next((found for df, found in tables if df is s.df or df.sameSemantics(s.df)), None)
+        if own is None:
+            tables.append((s.df, own := []))
+        own.append(s)
+    parts = []
+    keys = [] if cohort is None else [key]
+    for df, own in tables:
+        cells = []
+        for s in own:
+            item = (F.col(s.item) if isinstance(s.item, str) else s.item).cast("string").alias("itemid")
+            cell = F.struct(F.lit(s.name).alias("source"), item)
+            cells.append(cell if s.where is None else F.when(s.where, cell))
+        rows = df.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("x")) if len(cells) > 1 or own[0].where is not None else df.select(*keys, cells[0].alias("x"))
+        parts.append(rows.select(*keys, "x.source", "x.itemid"))
+    found = append(*parts).distinct()
+    return found if cohort is None else restrict_to(found, cohort, key).select("source", "itemid").distinct()
 
 
 # --- units ----------------------------------------------------------------------------------------------------------

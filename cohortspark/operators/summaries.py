@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortspark.functions.scalars import rate
-from cohortspark.operators.cohort import distinct_values
+from cohortspark.functions.skew import HOT_ROWS
+from cohortspark.operators.cohort import MAX_COLUMNS, distinct_values
 from cohortspark.operators.timetable import spread
+from cohortspark.session import settle
 
 
 def summarize(df: DataFrame, keys: list[str], value: str, how: str = "mean", elapsed: str | None = None) -> DataFrame:
@@ -79,11 +81,14 @@ def wide_summary(ctx: DataFrame, specs: list[WideSpec], key: str = "icustay_id",
 
 
 def code_counts(
-    df: DataFrame, key: str, code: str, prefix: str, codes: list[str] | None = None, ctx: DataFrame | None = None, fill: bool = True
+    df: DataFrame, key: str, code: str, prefix: str, codes: list[str] | None = None, ctx: DataFrame | None = None, fill: bool = True, limit: int = MAX_COLUMNS
 ) -> DataFrame:
-    """One count column per code and key; 0 where a key lacks the code. With a context, left-joined to it."""
+    """One count column per code and key; 0 where a key lacks the code. With a context, left-joined to it.
+
+    More than `limit` codes are refused: `code_vectors` has no limit.
+    """
     rows = df.select(key, code).filter(F.col(code).isNotNull())
-    codes = codes if codes is not None else distinct_values(rows, code)
+    codes = codes if codes is not None else distinct_values(rows, code, limit)
     one = rows.withColumn("_one", F.lit(1).cast("bigint"))
     wide = spread(one, [key], code, codes, {prefix + "_{value}": ("sum", "_one")})
     names = [c for c in wide.columns if c != key]
@@ -94,6 +99,36 @@ def code_counts(
     return joined.fillna(0, subset=names) if fill else joined
 
 
+def dense_ids(df: DataFrame, col: str, rows: int = HOT_ROWS) -> DataFrame:
+    """(value, id): the distinct known values of a column numbered 0, 1, 2 … in their order, at any number of them.
+
+    Values are range-partitioned and written with the number of their partition, about `rows` a partition. An id is the place
+    within the partition plus the sizes of those before it; only the sizes, one row a partition, are summed in order.
+    """
+    name = f"{col}_id"
+    values = settle(df.filter(F.col(col).isNotNull()).select(col).distinct(), "distinct-values")
+    parts = max(1, -(-values.count() // rows))
+    ranged = settle(values.repartitionByRange(parts, col).withColumn("_part", F.spark_partition_id()), "ranged-values")
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col("_part").alias("_at"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(col)) - 1
+    numbered = ranged.withColumn("_place", place).join(F.broadcast(offsets), F.col("_part") == F.col("_at"))  # a row a partition
+    return numbered.select(col, (F.col("_offset") + F.col("_place")).cast("bigint").alias(name))
+
+
+def code_vectors(df: DataFrame, key: str, code: str, ids: DataFrame) -> DataFrame:
+    """Sparse counts for vocabularies of any width: key, ids (ascending array), counts (array).
+
+    `ids` is (code, id) as `dense_ids` numbers it; codes that it lacks, such as those only seen in a test set, do not count.
+    Codes are counted per key on the map side first, so only different codes of a key gather.
+    """
+    known = ids.toDF("_code", "_id")
+    counts = df.filter(F.col(code).isNotNull()).groupBy(key, code).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    cells = counts.join(known, F.col(code) == F.col("_code")).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_id", "_n"))).alias("_c"))
+    return cells.select(key, F.col("_c._id").alias("ids"), F.col("_c._n").alias("counts"))
+
+
 def code_count_map(df: DataFrame, key: str, code: str) -> DataFrame:
     """Sparse form for vocabularies too wide for columns: key -> map(code, count), counted before it is gathered."""
     counts = df.filter(F.col(code).isNotNull()).groupBy(key, code).agg(F.count(F.lit(1)).alias("n"))

@@ -5,6 +5,7 @@ orders, customer and lineitem stand in for admissions, patients and stays; event
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,11 +14,12 @@ from cohortspark.functions import columns as names
 from cohortspark.functions.ordered import dense_rank_by, plan_slices
 from cohortspark.functions.quantiles import fit_medians
 from cohortspark.functions.scalars import item_class, log10_between, parse_ids
-from cohortspark.functions.skew import hot_keys
+from cohortspark.functions.skew import HOT_ROWS, hot_keys
 from cohortspark.functions.time import elapsed_hours
 from cohortspark.operators import cohort, comparison, encoding, logistic, measurements, modelling, relational, summaries, timetable
-from cohortspark.plans import clinical, rules
-from cohortspark.session import configure, inline, settle
+from cohortspark.plans import clinical, rules, summary
+from cohortspark.session import configure, inline, settle, shared_folder
+from cohortspark.sources.sinks import save_bucketed
 from cohortspark.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -549,6 +551,8 @@ def bucket_by_context(spark, folder):
     return rounded(out)
 
 
+SLICE_ROWS = 40  # a row target that makes every user hot
+
 LOCF_SQL = f"""WITH {PIVOT_SQL}, med AS (SELECT {', '.join(f'median({t}) AS m_{t}' for t in TYPES)} FROM wide),
 carried AS (SELECT *, {', '.join(f'last_value({t} IGNORE NULLS) OVER w AS l_{t}' for t in TYPES)} FROM wide
             WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
@@ -576,6 +580,28 @@ def pair_intervals(spark, folder):
     return rounded(timetable.pair_intervals(ev, ["user_id"], "ts", "event_type", "click", "purchase", "value", ["event_id"], slices))
 
 
+@query(LOCF_SQL)
+def locf_impute_sliced(spark, folder):
+    """The same with users cut into slices of a few dozen rows."""
+    ev = load(spark, folder, "events")
+    table, slices = wide_events(ev).select("user_id", "ts", *TYPES), plan_slices(ev, ["user_id"], "ts", hot_rows=SLICE_ROWS)
+    return rounded(timetable.impute_sequence(table, ["user_id"], ["ts"], TYPES, slices=slices, rows=ev.count()))
+
+
+@query(
+    f"""WITH e AS (SELECT user_id, event_type, date_trunc('day', ts) AS ts, value, event_id FROM events),
+n AS (SELECT user_id, event_type, ts, value, lead(event_type) OVER w AS nt, lead(ts) OVER w AS nts,
+lead(value) OVER w AS nv FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, ts AS start, nts AS stop, round({h('ts', 'nts')}, 6) AS elapsed, nv AS value FROM n
+WHERE event_type = 'click' AND nt = 'purchase'"""
+)
+def pair_intervals_sliced(spark, folder):
+    """Times by day, so that many rows of a user share one, and users cut into slices of a few dozen rows."""
+    ev = load(spark, folder, "events").withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    slices = plan_slices(ev, ["user_id"], "ts", hot_rows=SLICE_ROWS)
+    return rounded(timetable.pair_intervals(ev, ["user_id"], "ts", "event_type", "click", "purchase", "value", ["event_id"], slices))
+
+
 # --- summaries ------------------------------------------------------------------------------------------------------
 @query(
     """SELECT user_id, event_type, round(avg(value), 6) AS average, min(value) AS minimum, max(value) AS maximum,
@@ -730,6 +756,86 @@ def mean_by(spark, folder):
     return rounded(summaries.mean_by(load(spark, folder, "lineitem"), "l_orderkey", ["l_quantity", "l_discount"]))
 
 
+@query(
+    """WITH ids AS (SELECT l_partkey, row_number() OVER (ORDER BY l_partkey) - 1 AS id FROM (SELECT DISTINCT l_partkey FROM lineitem)),
+n AS (SELECT l_suppkey, id, count(*) AS n FROM lineitem JOIN ids USING (l_partkey) GROUP BY ALL)
+SELECT l_suppkey, count(*) AS codes, sha256(string_agg(id || ':' || n, ',' ORDER BY id)) AS cells FROM n GROUP BY l_suppkey"""
+)
+def sparse_codes(spark, folder):
+    """Parts as codes of suppliers: more codes than columns could be, numbered without gathering them."""
+    li = load(spark, folder, "lineitem").select("l_suppkey", "l_partkey")
+    _, vectors = summary.sparse_codes(li, "l_suppkey", "l_partkey")
+    cells = F.zip_with("ids", "counts", lambda i, n: F.concat_ws(":", i.cast("string"), n.cast("bigint").cast("string")))
+    return vectors.select("l_suppkey", F.size("ids").cast("bigint").alias("codes"), F.sha2(F.array_join(cells, ","), 256).alias("cells"))
+
+
+STAY_CODES = [f + s for f in "ANR" for s in "FO"]
+PROCEDURES = [f"P{k}" for k in range(1, 8)]
+PRIORITIES_KNOWN = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+CHART_CLASSES = [(a, b) for a in (1, 2) for b in (0, 1, 2)]
+SUMMARY_SQL = f"""WITH ctx AS (SELECT o_orderkey AS icustay_id, o_orderkey AS hadm_id, {BORN} AS dob, {DIED} AS dod, o_orderdate AS admittime,
+  o_orderdate + to_days(10) AS dischtime, o_orderdate + to_hours(6) AS intime, o_orderdate + to_hours(6) + to_days((o_orderkey % 5)::INT) AS outtime,
+  (o_orderkey % 5)::DOUBLE AS los, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS kind FROM orders JOIN customer ON o_custkey = c_custkey),
+d AS (SELECT l_orderkey, {', '.join(f"count(*) FILTER (l_returnflag || l_linestatus = '{c}') AS d_{c}" for c in STAY_CODES)} FROM lineitem WHERE l_linenumber > 1 GROUP BY 1),
+p AS (SELECT l_orderkey, {', '.join(f"count(*) FILTER (l_linenumber = {k + 1}) AS p_{c}" for k, c in enumerate(PROCEDURES))} FROM lineitem WHERE l_quantity > 25 GROUP BY 1),
+c AS (SELECT l_orderkey, {', '.join(f"""avg(v) FILTER ({w}) AS a_{a}_{b}, min(v) FILTER ({w}) AS i_{a}_{b}, max(v) FILTER ({w}) AS x_{a}_{b}, count(v) FILTER ({w}) AS n_{a}_{b}"""
+  for a, b in CHART_CLASSES for w in [f"cid1 = {a} AND cid2 = {b}"])},
+  sum(l_quantity) FILTER (l_linestatus = 'O' AND l_linenumber % 2 = 0) AS o_0, sum(l_quantity) FILTER (l_linestatus = 'O' AND l_linenumber % 2 = 1) AS o_1, sum(l_tax) AS i_1
+  FROM (SELECT *, 1 + l_linenumber % 2 AS cid1, l_linenumber % 3 AS cid2, CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS v FROM lineitem) GROUP BY 1)
+SELECT icustay_id, hadm_id, los AS los_total, round({h('dob', 'admittime')}, 6) AS age_at_admission_h, round({h('admittime', 'intime')}, 6) AS adm_to_icu_h,
+  round({h('intime', 'outtime')}, 6) AS icu_los_h, round({h('admittime', 'dischtime')}, 6) AS hosp_los_h, round({h('dob', 'dod')}, 6) AS age_at_death_h,
+  {', '.join(f"d_{c} AS d_icd_{c}" for c in STAY_CODES)}, {', '.join(f"coalesce(p_{c}, 0) AS p_icd_{c}" for c in PROCEDURES)},
+  {', '.join(f"""CASE WHEN kind = '{k}' THEN 1 ELSE 0 END AS "admission_type_{k}" """ for k in PRIORITIES_KNOWN)}, CASE WHEN kind IS NULL THEN 1 ELSE 0 END AS admission_type_nan,
+  {', '.join(f"""round(a_{a}_{b}, 6) AS avrg_{a}_{b}, round(i_{a}_{b}, 6) AS mini_{a}_{b}, round(x_{a}_{b}, 6) AS maxi_{a}_{b},
+  round(n_{a}_{b} / nullif(los, 0), 6) AS cnt_{a}_{b}""" for a, b in CHART_CLASSES)},
+  round(o_0 / nullif(los, 0), 6) AS tot_1_0_out, round(o_1 / nullif(los, 0), 6) AS tot_1_1_out, round(i_1 / nullif(los, 0), 6) AS tot_2_1_in
+FROM ctx LEFT JOIN d ON d.l_orderkey = hadm_id LEFT JOIN p ON p.l_orderkey = hadm_id LEFT JOIN c ON c.l_orderkey = icustay_id"""
+
+
+@query(SUMMARY_SQL)
+def stay_summary(spark, folder):
+    """The second pipeline whole: orders are stays, their lines give codes and item-class events."""
+    o, c, li = (load(spark, folder, t) for t in ("orders", "customer", "lineitem"))
+    stays = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    ctx = stays.select(
+        F.col("o_orderkey").alias("icustay_id"), F.col("o_orderkey").alias("hadm_id"), (at("1990-01-01") + days(F.col("c_nationkey") * 365)).alias("dob"),
+        F.when(F.col("c_acctbal") < 0, at("1998-01-01") + days(F.col("c_nationkey") * 30)).alias("dod"), F.col("o_orderdate").alias("admittime"),
+        (F.col("o_orderdate") + days(F.lit(10))).alias("dischtime"), (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(6))).alias("intime"),
+        (F.col("o_orderdate") + F.make_dt_interval((F.col("o_orderkey") % 5).cast("int"), F.lit(6))).alias("outtime"),
+        (F.col("o_orderkey") % 5).cast("double").alias("los_total"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("admission_type"),
+        F.lit("dx").alias("diagnosis"),
+    )
+    event = [F.col("l_orderkey").alias("icustay_id")]
+    tables = {
+        "diagnoses_icd": li.filter("l_linenumber > 1").select(F.col("l_orderkey").alias("hadm_id"), F.concat("l_returnflag", "l_linestatus").alias("icd9_code")),
+        "procedures_icd": li.filter("l_quantity > 25").select(F.col("l_orderkey").alias("hadm_id"), F.concat(F.lit("P"), "l_linenumber").alias("icd9_code")),
+        "chartevents": li.select(
+            *event, (F.col("l_linenumber") % 2 + 1).alias("cid1"), (F.col("l_linenumber") % 3).alias("cid2"),
+            F.when(F.col("l_returnflag") != "R", F.col("l_extendedprice")).alias("valuenum"),
+        ),
+        "outputevents": li.filter("l_linestatus = 'O'").select(*event, F.lit(1).alias("cid1"), (F.col("l_linenumber") % 2).alias("cid2"), F.col("l_quantity").alias("value")),
+        "inputevents_mv": li.select(*event, F.lit(2).alias("cid1"), F.lit(1).alias("cid2"), F.col("l_tax").alias("amount")),
+    }
+    return rounded(summary.stay_summary(ctx, tables))
+
+
+@query(
+    """SELECT o_orderkey AS hadm_id, o_orderstatus, count(l_orderkey) AS lines, round(sum(l_quantity), 2) AS quantity,
+round(max(l_extendedprice), 2) AS dearest FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL"""
+)
+def bucketed_join(spark, folder):
+    """Two stages in buckets of one key: joined and grouped without a shuffle."""
+    place, name = shared_folder(spark, "bucketed"), "bucketed_" + uuid.uuid4().hex
+    o = load(spark, folder, "orders").select(F.col("o_orderkey").alias("hadm_id"), "o_orderstatus")
+    li = load(spark, folder, "lineitem").select(F.col("l_orderkey").alias("hadm_id"), "l_quantity", "l_extendedprice")
+    buckets = max(8, -(-li.count() // HOT_ROWS))
+    stays = save_bucketed(o, f"{place}/stays", f"{name}_stays", ["hadm_id"], buckets)
+    lines = save_bucketed(li, f"{place}/lines", f"{name}_lines", ["hadm_id"], buckets)
+    grouped = stays.join(lines, "hadm_id", "left").groupBy("hadm_id", "o_orderstatus")
+    cells = F.count("l_quantity").alias("lines"), F.sum("l_quantity").alias("quantity"), F.max("l_extendedprice").alias("dearest")
+    return rounded(grouped.agg(*cells), 2)
+
+
 @query("SELECT count(DISTINCT l_partkey) AS n FROM lineitem")
 def count_distinct(spark, folder):
     return summaries.count_distinct(load(spark, folder, "lineitem"), "l_partkey")
@@ -1213,6 +1319,29 @@ def chi_square_stat(spark, folder):
     return rounded(comparison.chi_square_stat(a, b, "o_orderpriority"))
 
 
+@query(
+    """WITH c AS (SELECT value, count(*) FILTER (event_type = 'click') AS a, count(*) FILTER (event_type = 'purchase') AS b
+FROM events WHERE event_type IN ('click', 'purchase') GROUP BY value),
+r AS (SELECT *, sum(a) OVER (ORDER BY value) AS ca, sum(b) OVER (ORDER BY value) AS cb, sum(a) OVER () AS na, sum(b) OVER () AS nb FROM c),
+s AS (SELECT max(abs(ca / na - cb / nb)) AS d, sqrt(max(na)::DOUBLE * max(nb) / (max(na) + max(nb))) AS en FROM r),
+k AS (SELECT d, (en + 0.12 + 0.11 / en) * d AS lam FROM s),
+p AS (SELECT lam, sum(CASE WHEN k % 2 = 1 THEN 2.0::DOUBLE ELSE -2.0 END * exp(-2.0 * k * k * lam * lam)) AS p FROM k, range(1, 101) t(k) GROUP BY lam),
+x AS (SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS a, count(*) FILTER (o_orderstatus = 'O') AS b
+FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1), t AS (SELECT sum(a) AS na, sum(b) AS nb FROM x),
+e AS (SELECT a, b, (a + b) * na / (na + nb) AS ea, (a + b) * nb / (na + nb) AS eb FROM x, t),
+q AS (SELECT sum((a - ea) * (a - ea) / ea + (b - eb) * (b - eb) / eb) AS c, count(*) - 1 AS dof FROM e)
+SELECT 'ks' AS test, round(CASE WHEN lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, p)) END, 6) AS p_value FROM p
+UNION ALL SELECT 'chi-square', round(CASE dof WHEN 4 THEN exp(-c / 2) * (1 + c / 2) WHEN 2 THEN exp(-c / 2) END, 6) FROM q"""
+)
+def p_values(spark, folder):
+    """Kolmogorov's series, and the chi-square tail (SQL has its closed form for the even numbers of freedom that occur)."""
+    ev, o = load(spark, folder, "events"), load(spark, folder, "orders")
+    click, purchase = (ev.filter(F.col("event_type") == t) for t in ("click", "purchase"))
+    ks = comparison.ks_2samp(click, purchase, "value").select(F.lit("ks").alias("test"), "p_value")
+    a, b = (o.filter(F.col("o_orderstatus") == s) for s in "FO")
+    return rounded(ks.unionByName(comparison.chi_square(a, b, "o_orderpriority").select(F.lit("chi-square").alias("test"), "p_value")))
+
+
 T_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
@@ -1232,6 +1361,24 @@ def t_statistic(spark, folder):
     return rounded(comparison.t_stat(a, b, T_COLUMNS))
 
 
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", round(greatest(0.0, 1 - 2 * sum(CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
+* exp(lgamma((dof + 1) / 2.0) - lgamma(dof / 2.0)) / sqrt(dof * pi()) * pow(1 + pow(k * t / 4000.0, 2) / dof, -(dof + 1) / 2.0)) * any_value(t) / 12000.0), 6) AS p_value FROM
+(SELECT na + nb - 2 AS dof, abs((ma - mb) / sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2) * (1 / na + 1 / nb))) AS t FROM
+(SELECT count({c}) FILTER (l_returnflag = 'A') AS na, count({c}) FILTER (l_returnflag = 'R') AS nb,
+avg({c}) FILTER (l_returnflag = 'A') AS ma, avg({c}) FILTER (l_returnflag = 'R') AS mb,
+var_samp({c}) FILTER (l_returnflag = 'A') AS va, var_samp({c}) FILTER (l_returnflag = 'R') AS vb FROM lineitem)), range(0, 4001) r(k)"""
+        for c in T_COLUMNS
+    )
+)
+def t_p_values(spark, folder):
+    """Two-sided tails of Student's t; SQL adds up the density by Simpson's rule."""
+    li = load(spark, folder, "lineitem")
+    a, b = (li.filter(F.col("l_returnflag") == f) for f in "AR")
+    return rounded(comparison.ttest_ind(a, b, T_COLUMNS).select("column", "p_value"))
+
+
 @query(
     """SELECT event_id, hour, value FROM (SELECT event_id, hour(ts) AS hour, value FROM events
 ORDER BY md5('3:' || event_id), event_id LIMIT 500)"""

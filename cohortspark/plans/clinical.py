@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,17 +16,19 @@ from cohortspark.operators.measurements import (
     align_events,
     apply_rules,
     apply_unit_fixes,
+    dominant_unit,
     drop_sigma_outliers,
     filter_events,
+    flag_unit_mismatch,
     item_inventory,
 )
 from cohortspark.operators.modelling import assemble_features, fit_split, split_side
-from cohortspark.operators.relational import append
+from cohortspark.operators.relational import append, restrict_to
 from cohortspark.operators.scoring import severity
 from cohortspark.operators.timetable import bucketize, pivot_features
 from cohortspark.plans import rules
-from cohortspark.session import inline
-from cohortspark.sources.sinks import materialize
+from cohortspark.session import inline, settle
+from cohortspark.sources.sinks import materialize, save_bucketed
 
 
 LABEL = "died"  # the outcome that strata are of; time tables carry it
@@ -76,7 +79,8 @@ def context(tables: dict[str, DataFrame], maps: dict[str, DataFrame] | None = No
 def clean_chart(tables: dict[str, DataFrame], ctx: DataFrame, features: DataFrame) -> DataFrame:
     hot = hot_keys(tables["chartevents"], ["hadm_id"])
     events = filter_events(tables["chartevents"], ctx, features, hot=hot)
-    events = apply_unit_fixes(events, rules.CHART_FIXES)
+    # Written before the bounds are taken: the largest table is scanned and freed of copies once, the bounds read two columns.
+    events = settle(apply_unit_fixes(events, rules.CHART_FIXES), "chart-events")
     events = drop_sigma_outliers(events, list(rules.TEMPERATURE_ITEMS), rules.SIGMA)
     return align_events(apply_rules(events, rules.CHART_RULES), ctx, features, hot=hot, carry=(LABEL,))
 
@@ -94,6 +98,24 @@ def clean_lab(tables: dict[str, DataFrame], ctx: DataFrame, features: DataFrame)
     return align_events(events, ctx, features, hot=hot, carry=(LABEL,))
 
 
+def flagged_inputs(tables: dict[str, DataFrame], cohort: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """Input events of the cohort from both systems (`system`), flagged (`todelete`) where they are not in their item's dominant unit.
+
+    The dominant unit is taken over both systems. `items` (source, itemid) is an inventory whose input items alone count.
+    """
+    parts = {}
+    for system in ("cv", "mv"):
+        events = tables[f"inputevents_{system}"]
+        parts[system] = restrict_to(events, cohort, "hadm_id", hot_keys(events, ["hadm_id"]))
+    units = dominant_unit(list(parts.values()))
+    if items is not None:
+        listed = items.filter("source = 'input'").select(F.col("itemid").try_cast("bigint").alias("itemid"))
+        units = restrict_to(units, listed, "itemid")
+    units = settle(units, "units")
+    shared = [c for c in parts["cv"].columns if c in parts["mv"].columns]
+    return append(*[flag_unit_mismatch(df.select(*shared), units).withColumn("system", F.lit(name)) for name, df in parts.items()])
+
+
 def _long(events: DataFrame, has_stay: bool) -> DataFrame:
     stay = F.col("icustay_id") if has_stay else F.lit(None)
     return events.select(
@@ -108,6 +130,7 @@ def _long(events: DataFrame, has_stay: bool) -> DataFrame:
     )
 
 
+INVENTORIED = {"inputevents_cv", "inputevents_mv", "outputevents", "chartevents", "labevents", "microbiologyevents", "prescriptions"}
 ORIGIN = "origin"
 CARRIED = ("t_since", "t_til", LABEL)  # they follow from admission and time
 
@@ -125,15 +148,24 @@ class Stages:
     daily: DataFrame
     timebucket: DataFrame
     daybucket: DataFrame
+    inventory: DataFrame | None = None
+    inputs: DataFrame | None = None
 
 
 def build_stages(
-    spark: SparkSession, tables: dict[str, DataFrame], folder: str, maps: dict[str, DataFrame] | None = None
+    spark: SparkSession, tables: dict[str, DataFrame], folder: str, maps: dict[str, DataFrame] | None = None, buckets: int | None = None
 ) -> Stages:
-    """Run the preset, writing each stage that later ones read more than once below `folder` (a shared location)."""
+    """Run the preset, writing each stage that later ones read more than once below `folder` (a shared location).
+
+    With `buckets`, context and time tables are written in so many buckets by admission, so that joins, splits and windows on it
+    shuffle nothing; they are then tables of the session's catalog. Inventory and input events are built where their tables are given.
+    """
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, os.path.join(folder, name))
+        path = os.path.join(folder, name)
+        if buckets is None or "hadm_id" not in df.columns:
+            return materialize(df, path)
+        return save_bucketed(df, path, f"{name}_{uuid.uuid4().hex}", ["hadm_id"], buckets)
 
     chart = feature_table(spark, rules.CHART_FEATURES, rules.IGNORED_CHART_ITEMS)
     output = feature_table(spark, rules.OUTPUT_FEATURES)
@@ -148,7 +180,9 @@ def build_stages(
     keys = ["hadm_id", "icustay_id"]
     half_hours = bucketize(tt, rules.HALF_HOUR_S, rules.HALF_HOUR_AGGS, keys, ctx=ctx, keep=(LABEL,))
     days = bucketize(daily, rules.DAY_S, rules.DAY_AGGS, keys, ctx=ctx, keep=(LABEL,))
-    return Stages(ctx, tt, daily, stage(half_hours, "timebucket"), stage(days, "daybucket"))
+    items = stage(inventory(tables, ctx), "inventory") if INVENTORIED <= set(tables) else None
+    inputs = stage(flagged_inputs(tables, ctx, items), "inputs") if items is not None else None
+    return Stages(ctx, tt, daily, stage(half_hours, "timebucket"), stage(days, "daybucket"), items, inputs)
 
 
 def split(stages: Stages, frac: float = 0.1, seed: int | str = 0, exact: bool = True) -> dict[str, tuple[DataFrame, DataFrame]]:

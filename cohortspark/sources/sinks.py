@@ -29,3 +29,16 @@ def save_partitioned(df: DataFrame, key: str, path: str, order: list[str] | None
     keys = [key, *order]
     parted = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
     parted.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+
+
+def save_bucketed(df: DataFrame, path: str, table: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a table in buckets of its keys, sorted by them inside, and read it back: later joins, aggregates and windows on the
+    keys with tables of as many buckets need no shuffle.
+
+    `path` is a shared folder, `table` its name in the session's catalog. Rows are dealt to the buckets before writing, so each
+    bucket is one file. All rows of a key lie in one bucket: choose as many as there are row targets, and keep keys that exceed a
+    task by themselves out.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cohortspark.functions.ordered import plan_slices
 from cohortspark.functions.skew import hot_keys
 from cohortspark.operators import cohort, modelling
-from cohortspark.plans import clinical, rules
+from cohortspark.plans import clinical, rules, summary
 from cohortspark.session import configure, inline
 from tests.hospital import A1, A2, A3, A4, A5, A6, h, tables
 
@@ -164,3 +164,75 @@ def test_saps2_and_model_inputs(stages):
     assert model.numFeatures == len(ready_train.columns) - 2
     score = modelling.accuracy(model, ready_test, "died", rules.OUTCOMES).first()
     assert score["n"] == made.count() and 0 <= score["accuracy"] <= 1
+
+
+def test_inventory_and_unit_flags_are_stages(stages):
+    assert rows(stages.inventory.filter("source = 'prescript'"), "itemid") == [("ASA",)]
+    flagged = rows(stages.inputs.filter("todelete = 1"), "hadm_id", "itemid", "amountuom", "system")
+    assert flagged == [(A1, 49999, "ml", "cv"), (A3, 200000, "", "mv"), (A3, 200000, "mg", "mv")]  # a tie goes to mg, two of three to ml
+    assert stages.inputs.filter(f"hadm_id = {A4}").count() == 0 and stages.inputs.count() == 12
+
+
+def test_chart_is_scanned_once(spark, hosp, tmp_path):
+    path = str(tmp_path / "chartevents")
+    hosp["chartevents"].write.parquet(path)
+    files = {**hosp, "chartevents": spark.read.parquet(path)}
+    ctx = clinical.context(hosp)
+    features = clinical.feature_table(spark, rules.CHART_FEATURES, rules.IGNORED_CHART_ITEMS)
+    out = clinical.clean_chart(files, ctx, features)
+    assert path not in out._jdf.queryExecution().toString()  # only the written stage is left to read
+    plain = clinical.clean_chart(hosp, ctx, features)
+    assert rows(out, *plain.columns) == rows(plain, *plain.columns)
+
+
+def test_bucketed_stages(spark, hosp, stages, tmp_path):
+    """The same rows, and no shuffle between context, time table and split."""
+    bucketed = clinical.build_stages(spark, hosp, str(tmp_path), buckets=4)
+    assert rows(bucketed.timetable, *stages.timetable.columns) == rows(stages.timetable, *stages.timetable.columns)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        train, _ = clinical.split(bucketed)["timebucket"]
+        joined = train.join(bucketed.context.select("hadm_id", "admittime"), "hadm_id").groupBy("hadm_id").agg(F.avg("heart_rate"))
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_label_is_not_filled(stages):
+    same = {n: (df, df) for n, df in (("context", stages.context), ("timebucket", stages.timebucket), ("daybucket", stages.daybucket))}
+    unknown = same["context"][0].withColumn("died", F.when(F.col("icustay_id") != 1003, F.col("died")))
+    train, _ = clinical.model_inputs({**same, "context": (unknown, unknown)})
+    made = clinical.assembled(unknown, stages.timebucket, stages.daybucket, keep_ids=True)
+    assert train.filter("died IS NULL").count() == made.filter("died IS NULL").count() > 0
+
+
+def test_second_pipeline(spark):
+    times = "dob timestamp_ntz, dod timestamp_ntz, admittime timestamp_ntz, dischtime timestamp_ntz, intime timestamp_ntz, outtime timestamp_ntz"
+    none = (None,) * 6
+    ctx = inline(
+        spark, [(1, 10, 2.0, "F", "dx", *none), (2, 10, 0.0, None, "dx", *none), (3, 11, None, "M", "dx", *none), (4, None, 1.0, "M", "dx", *none)],
+        f"icustay_id bigint, hadm_id bigint, los_total double, gender string, diagnosis string, {times}",
+    )
+    codes = lambda *x: inline(spark, list(x), "hadm_id bigint, icd9_code string")
+    events = lambda value, *x: inline(spark, list(x), f"icustay_id bigint, cid1 bigint, cid2 bigint, {value} double")
+    tables_ = {
+        "diagnoses_icd": codes((10, "042"), (10, "042"), (10, "V1"), (12, "X"), (10, None)),
+        "procedures_icd": codes((11, "99")),
+        "chartevents": events("valuenum", (1, 1, 2, 4.0), (1, 1, 2, 6.0), (1, 1, 2, None), (2, 1, 2, 3.0), (3, 1, None, 9.0), (3, 1, 2, 1.0)),
+        "outputevents": events("value", (1, 5, 6, 10.0), (2, 5, 6, 1.0)),
+        "inputevents_mv": events("amount", (1, 7, 8, 3.0)),
+    }
+    out = summary.stay_summary(ctx, tables_)
+    got = {r["icustay_id"]: r.asDict() for r in out.collect()}
+    assert not [c for c in out.columns if c in ("dob", "diagnosis", "gender", "admittime")] and "icu_los_h" in out.columns
+    assert {c for c in out.columns if c.startswith(("d_", "p_"))} == {"d_icd_042", "d_icd_V1", "d_icd_X", "p_icd_99"}
+    assert (got[1]["d_icd_042"], got[1]["d_icd_X"], got[1]["p_icd_99"]) == (2, 0, 0)
+    assert (got[3]["d_icd_042"], got[3]["p_icd_99"], got[4]["d_icd_042"], got[4]["p_icd_99"]) == (None, 1, None, 0)
+    assert (got[1]["gender_F"], got[1]["gender_nan"], got[2]["gender_nan"]) == (1, 0, 1)
+    assert (got[1]["avrg_1_2"], got[1]["mini_1_2"], got[1]["maxi_1_2"], got[1]["cnt_1_2"]) == (5.0, 4.0, 6.0, 1.0)
+    assert (got[2]["avrg_1_2"], got[2]["cnt_1_2"], got[3]["cnt_1_2"]) == (3.0, None, None)  # a zero and an unknown span
+    assert (got[1]["tot_5_6_out"], got[1]["tot_7_8_in"], got[2]["tot_5_6_out"]) == (5.0, 1.5, None)
+    ids, vectors = summary.sparse_codes(tables_["diagnoses_icd"])
+    assert rows(ids, "icd9_code", "icd9_code_id") == [("042", 0), ("V1", 1), ("X", 2)]
+    assert rows(vectors, "hadm_id", "ids", "counts") == [(10, [0, 1], [2.0, 1.0]), (12, [2], [1.0])]

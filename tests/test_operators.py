@@ -393,6 +393,51 @@ def test_newton_steps_and_the_library_agree(spark):
     assert tuple(held) == (800, sum(x == bool(y) for x, (_, _, y) in zip(p, data)), sum(p))
 
 
+@pytest.mark.parametrize("per_part", [1000, 7, 1])
+def test_dense_ids_and_sparse_counts(spark, per_part):
+    rng = random.Random(4)
+    data = [(rng.randrange(20), rng.choice([None, *(f"c{k:03d}" for k in range(40))])) for _ in range(400)]
+    df = inline(spark, data, "k bigint, code string").repartition(5)
+    ids = summaries.dense_ids(df, "code", per_part)
+    codes = sorted({c for _, c in data if c is not None})
+    assert dict(rows(ids)) == {c: i for i, c in enumerate(codes)}
+    got = {r["k"]: (r["ids"], r["counts"]) for r in summaries.code_vectors(df, "k", "code", ids.filter("code <> 'c003'")).collect()}
+    for k in range(20):
+        own = [c for x, c in data if x == k and c not in (None, "c003")]
+        cells = sorted({codes.index(c): float(own.count(c)) for c in own}.items())
+        assert got.get(k, ([], [])) == ([i for i, _ in cells], [n for _, n in cells])
+    assert summaries.dense_ids(df.limit(0), "code").count() == 0
+
+
+def test_code_limit_is_a_parameter(spark):
+    df = inline(spark, [(1, "a"), (1, "b")], "k bigint, code string")
+    with pytest.raises(ValueError):
+        summaries.code_counts(df, "k", "code", "c", limit=1)
+
+
+def test_sparse_fit_is_the_dense_one(spark):
+    rng = random.Random(9)
+    true = [1.0, -2.0, 0.5, 0.0, 3.0, -1.0]
+    data = []
+    for k in range(600):
+        x = {c: float(rng.randrange(1, 4)) for c in rng.sample(range(6), rng.randrange(4))}
+        p = 1 / (1 + math.exp(-(0.3 + sum(true[c] * n for c, n in x.items()))))
+        data.append((k, sorted(x), [x[c] for c in sorted(x)], int(rng.random() < p), *[x.get(c, 0.0) for c in range(6)]))
+    names = [f"x{c}" for c in range(6)]
+    df = inline(spark, data, "k bigint, ids array<bigint>, counts array<double>, y int, " + ", ".join(f"{n} double" for n in names)).repartition(4)
+    sparse, dense = logistic.fit_sparse(df, "y", 6, close=1e-9), logistic.fit_newton(df, "y", names)
+    assert [*sparse.weights, sparse.intercept] == pytest.approx([*dense.weights.values(), dense.intercept], abs=1e-5)
+    assert sparse.loss == pytest.approx(dense.loss) and sparse.rows == 600
+    one = df.orderBy("k").first()
+    more = df.select("k", "ids", "counts").union(inline(spark, [(-1, None, None), (-2, [99], [1.0])], "k bigint, ids array<bigint>, counts array<double>"))
+    scored = {r["k"]: r["probability"] for r in sparse.score(more).collect()}
+    z = sparse.intercept + sum(sparse.weights[i] * n for i, n in zip(one["ids"], one["counts"]))
+    assert scored[0] == pytest.approx(1 / (1 + math.exp(-z))) and scored[-1] == scored[-2] == pytest.approx(1 / (1 + math.exp(-sparse.intercept)))
+    assert logistic.fit_sparse(df.filter("y = 1"), "y", 6).intercept == math.inf
+    with pytest.raises(ValueError):
+        logistic.fit_sparse(df, "y", 10**7)
+
+
 def test_newton_on_odd_data(spark):
     df = inline(spark, [(1.0, 1), (2.0, 1)], "a double, y int")
     one = logistic.fit_newton(df, "y", ["a"])

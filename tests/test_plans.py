@@ -35,6 +35,11 @@ def test_time_tables_are_hash_aggregates(spark, name):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
+def test_inventory_scans_each_table_once(spark):
+    plan = plan_of(queries()["item_inventory"](spark, FOLDER))
+    assert plan.count("FileScan parquet") == 2
+
+
 def test_sides_are_filters(spark):
     assert "Join" not in plan_of(queries()["split_rule"](spark, FOLDER))
 

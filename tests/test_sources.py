@@ -4,7 +4,7 @@ import glob
 import os
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from cohortspark import sources
 from cohortspark.session import inline, settle
@@ -53,6 +53,25 @@ def test_save_partitioned_keeps_entities_in_order(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1000
 
 
+def test_buckets_need_no_shuffle(spark, tmp_path):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = spark.range(500).select((F.col("id") % 50).alias("hadm_id"), F.col("id").alias("a")).repartition(3)
+        b = spark.range(100).select(F.col("id").alias("hadm_id"), (F.col("id") % 7).alias("b"))
+        left = sources.save_bucketed(a, str(tmp_path / "a"), "bucketed_a", ["hadm_id"], 6)
+        right = sources.save_bucketed(b, str(tmp_path / "b"), "bucketed_b", ["hadm_id"], 6)
+        assert len(glob.glob(str(tmp_path / "a" / "*.parquet"))) <= 6
+        joined = left.join(right, "hadm_id", "left")
+        ranked = joined.withColumn("r", F.row_number().over(Window.partitionBy("hadm_id").orderBy("a")))
+        for df in (joined, ranked, joined.groupBy("hadm_id").agg(F.sum("b"))):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in joined.collect()} == {tuple(r) for r in a.join(b, "hadm_id", "left").collect()}
+        assert sources.save_bucketed(b, str(tmp_path / "b"), "bucketed_b", ["hadm_id"], 6).count() == 100  # written again
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_settle_uses_the_session_folder(spark):
     df = settle(spark.range(10).withColumn("b", F.col("id") * 2))
     folder = spark.sparkContext.getCheckpointDir()
