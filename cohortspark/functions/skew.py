@@ -14,7 +14,7 @@ from cohortspark.session import settle
 HOT_ROWS = 1_000_000  # row target of a task: a larger group is spread over as many tasks as it holds targets
 AUTO = "auto"  # measure the frame itself; None states that no group is too big for a task
 PARTS = "_parts"
-_SALT = "_salt"
+_SALT, _TIMES = "_salt", "_times"
 
 
 def hot_keys(
@@ -58,16 +58,43 @@ def mark_hot(df: DataFrame, keys: list[str], hot: DataFrame, name: str) -> DataF
 def row_hash(df: DataFrame, keys: list[str]) -> Column:
     """A hash of the row's columns besides the keys: the same on a retry, whatever task holds the row."""
     others = [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, MapType)]
-    return F.xxhash64(*others) if others else F.monotonically_increasing_id()
+    return F.xxhash64(*others) if others else F.lit(0).cast("long")
+
+
+def salted_rows(df: DataFrame, keys: list[str], hot: DataFrame, hot_rows: int) -> DataFrame:
+    """Add `_salt`, below the number of parts of the row's key, and where rows are folded `_times`, how many a row stands for.
+
+    Different rows of a hot key are dealt by a hash of their other columns. Rows that are repeated more than `hot_rows` times, which
+    a count by hash finds, would share a salt: they are folded on the map side into rows that stand for `hot_rows` copies at
+    most, each with a salt of its own. Nothing depends on the order of rows, so a retry deals them alike.
+    """
+    marked = mark_hot(df, keys, hot, "_parts_left")
+    plain = marked.withColumn(_SALT, F.pmod(row_hash(df, keys), F.col("_parts_left")).cast("int"))
+    if any(isinstance(f.dataType, MapType) for f in df.schema.fields):  # maps cannot be grouped
+        return plain.drop("_parts_left")
+    names = [(k, f"_c_{k}") for k in keys]
+    copies = marked.filter(F.col("_parts_left") > 1).groupBy(*keys, row_hash(df, keys).alias("_c_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    copies = settle(copies.filter(F.col("_n") > hot_rows).select(*[F.col(k).alias(c) for k, c in names], "_c_hash"), "copies")
+    if not copies.take(1):
+        return plain.drop("_parts_left")
+    same = matching(marked, copies, names) & (row_hash(df, keys) == copies["_c_hash"])
+    repeated = marked.join(F.broadcast(copies), same, "left_semi")  # at most rows / hot_rows of them
+    others = plain.join(F.broadcast(copies), same, "left_anti").drop("_parts_left").withColumn(_TIMES, F.lit(1))
+    folded = repeated.groupBy(*marked.columns).agg(F.count(F.lit(1)).alias("_n"))
+    piece = F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / hot_rows).cast("int") - 1))
+    pieces = folded.withColumn("_piece", piece)
+    salt = F.pmod(row_hash(df, keys) + F.col("_piece"), F.col("_parts_left")).cast("int")
+    times = F.least(F.lit(hot_rows), F.col("_n") - F.col("_piece") * hot_rows).cast("int")
+    return others.unionByName(pieces.withColumn(_SALT, salt).withColumn(_TIMES, times).select(*others.columns))
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: DataFrame | None, nullsafe: bool = False
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: DataFrame | None, nullsafe: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
     """Join (inner, left, left_semi) that spreads each hot left key over as many tasks as its rows need; columns: left, then
     the right's others.
 
-    A hot row is salted with a hash of its other columns; the right rows of hot keys are repeated once per salt.
+    A hot row is salted (`salted_rows`); the right rows of hot keys are repeated once per salt.
     """
     others = [c for c in right.columns if c not in keys]
     kept = [] if how == "left_semi" else others
@@ -75,14 +102,16 @@ def spread_join(
     renamed = right.select(*[F.col(k).alias(r) for k, r in names], *kept)
     if hot is None:
         return left.join(renamed, matching(left, renamed, names, nullsafe), how).select(*left.columns, *kept)
-    salt = F.pmod(row_hash(left, keys), F.col("_parts_left")).cast("int")
-    salted = mark_hot(left, keys, hot, "_parts_left").withColumn(_SALT, salt).drop("_parts_left")
+    salted = salted_rows(left, keys, hot, HOT_ROWS if hot_rows is None else hot_rows)
     own = hot.select(*[F.col(k).alias(r) for k, r in names], *[c for c in hot.columns if c == PARTS])
     marked = mark_hot(renamed, [r for _, r in names], own, "_parts_right")
     copies = F.sequence(F.lit(0), F.col("_parts_right") - 1)
     repeated = marked.withColumn("_r_salt", F.explode(copies)).drop("_parts_right")
     condition = matching(salted, repeated, names, nullsafe) & (salted[_SALT] == repeated["_r_salt"])
-    return salted.join(repeated, condition, how).select(*left.columns, *kept)
+    joined = salted.join(repeated, condition, how)
+    if _TIMES not in salted.columns:
+        return joined.select(*left.columns, *kept)
+    return joined.select(*left.columns, *kept, F.explode(F.array_repeat(F.lit(0), F.col(_TIMES))).alias(_TIMES)).drop(_TIMES)
 
 
 def lookup_join(

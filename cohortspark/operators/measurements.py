@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortspark.functions.predicates import any_of
 from cohortspark.functions.scalars import is_missing
-from cohortspark.functions.skew import AUTO, lookup_join, resolve_hot
+from cohortspark.functions.skew import AUTO, lookup_join, resolve_hot, spread_join
 from cohortspark.functions.time import elapsed_hours
 from cohortspark.operators.relational import append, delete_where, enrich, first_per, flag_where, restrict_to
 
@@ -81,12 +81,14 @@ def filter_events(
     value: str | None = None,
     distinct: bool = True,
     hot: DataFrame | str | None = AUTO,
+    hot_items: DataFrame | str | None = None,
 ) -> DataFrame:
     """Distinct event rows of the cohort's admissions and the wanted items, with `valuenum` copied from `value` if named.
 
-    `hot` admissions are measured on the events unless given.
+    `hot` admissions are measured on the events unless given. `hot_items` are items of the events to spread (or "auto"), for item
+    lists too long to be broadcast.
     """
-    wanted = restrict_to(events, items, item)
+    wanted = restrict_to(events, items, item, resolve_hot(hot_items, events, [item]))
     kept = restrict_to(wanted, ctx, key, resolve_hot(hot, events, [key]))
     if distinct:
         kept = kept.dropDuplicates()
@@ -188,15 +190,19 @@ def range_report(
     group: str = "nitemid",
     value: str = "valuenum",
     by: list[str] | None = None,
+    hot: DataFrame | str | None = None,
 ) -> DataFrame:
     """Per item group: count, min, max, average and the shares outside its outlier and valid limits.
 
     The limits are those of the group's lowest item id. A limit that is absent has share 0, and a group without events has
-    zeros throughout. `by` adds further grouping columns (then only groups with events appear).
+    zeros throughout. `by` adds further grouping columns (then only groups with events appear). `hot` are items of the events to spread
+    (or "auto"), for range tables too long to be broadcast.
     """
     limits = first_per(ranges, [group], [item]).select(group, *LIMITS)
     limits = limits.select(group, *[F.when(~is_missing(c), F.col(c)).cast("double").alias(c) for c in LIMITS])
-    tagged = events.join(ranges.select(item, group).distinct(), item)
+    # Groups and limits are brought to the items first: the events are joined once.
+    known = ranges.select(item, group).distinct().join(limits, group)
+    tagged = spread_join(events, known, [item], "inner", resolve_hot(hot, events, [item]))
     # Limits belong to the group, so they can be grouping columns: one aggregation, no second join of the events.
     keys = [group, *(by or [])]
     v = F.col(value)
@@ -207,8 +213,7 @@ def range_report(
         "val_high_per": v > F.col("valid_high"),
     }
     stats = (
-        tagged.join(limits, group)
-        .groupBy(*keys)
+        tagged.groupBy(*keys)
         .agg(
             F.min(v).alias("min"),
             F.max(v).alias("max"),

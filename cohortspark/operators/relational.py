@@ -102,9 +102,12 @@ def merge_nullsafe(
     return spread_join(a, b, [key], how, hot, nullsafe=True)
 
 
-def merge_common(a: DataFrame, b: DataFrame, how: str = "left") -> DataFrame:
-    """Join on every column the two frames share."""
-    return a.join(b, common_columns(a, b), how)
+def merge_common(a: DataFrame, b: DataFrame, how: str = "left", hot: DataFrame | None = None) -> DataFrame:
+    """Join on every column the two frames share: those columns first, then the others of each. `hot` are keys of `a` to
+    spread, see `hot_keys`."""
+    shared = common_columns(a, b)
+    joined = spread_join(a, b, shared, how, hot)
+    return joined.select(*shared, *[c for c in joined.columns if c not in shared])
 
 
 # --- sets -----------------------------------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortspark.functions import columns as names
-from cohortspark.functions import quantiles
+from cohortspark.functions import quantiles, skew
 from cohortspark.functions.predicates import any_of, code_prefix_match, holds
 from cohortspark.functions.pvalues import chi2_tail, ks_p_value, t_two_sided
 from cohortspark.functions.scalars import (
@@ -116,6 +116,23 @@ def test_median_by_bracket_on_many_rows(spark, monkeypatch):
     assert quantiles.fit_medians(df, ["a", "b"]) == {"a": want[0], "b": want[1]}
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_repeated_rows_of_a_hot_key_are_dealt_too(spark, how):
+    """A thousand copies of one row: no part holds more than about a target, and each copy is joined once."""
+    data = [(7, "same")] * 1000 + [(7, f"r{k}") for k in range(300)] + [(8, "x")] * 3 + [(None, "n")] * 200
+    df = inline(spark, data, "k bigint, v string").repartition(5)
+    hot = skew.hot_keys(df, ["k"], 50)
+    salted = skew.salted_rows(df, ["k"], hot, 50)
+    sizes = salted.groupBy("k", "_salt").agg(F.count(F.lit(1)).alias("rows"), F.max("_times").alias("times")).collect()
+    assert max(r["rows"] for r in sizes) <= 50 and max(r["times"] for r in sizes) <= 50
+    assert len({r["_salt"] for r in sizes if r["k"] == 7}) > 15
+    assert salted.agg(F.sum("_times")).first()[0] == len(data)
+    right = inline(spark, [(7, 1.0), (7, 2.0), (9, 3.0), (None, 4.0)], "k bigint, w double")
+    got = skew.spread_join(df, right, ["k"], how, hot, nullsafe=True, hot_rows=50)
+    plain = skew.spread_join(df, right, ["k"], how, None, nullsafe=True)
+    assert got.columns == plain.columns and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
 BAD_BRACKETS = {
     "below both": lambda b: (b.low, b.low, b.low),
     "above both": lambda b: (b.high, b.high, b.high),
