@@ -7,8 +7,9 @@
 3. Each class is compared with a few hubs, classes that share most of those shingles with it. A group of copies becomes a few
    stars around its hubs instead of all its pairs.
 4. What remains are pairs of classes that the stars have not joined. They meet in tiles of one shingle and one band of set
-   sizes. In both steps the bits set in one 1024-bit signature and not in the other bound the overlap from above, and only
-   what the bound leaves goes to the exact intersection.
+   sizes, where the shingle's place in either set bounds what they can have in common. In both steps the bits set in one
+   1024-bit signature and not in the other bound the overlap from above, and only what the bounds leave goes to the exact
+   intersection.
 5. The links of both steps give the components.
 
 Every step is a join or a map-side combined aggregate, none emits the pairs of a group, and the only things that reach the
@@ -207,13 +208,15 @@ def possible(percent: int) -> Column:
 
 
 def shared_tokens(reps: DataFrame) -> DataFrame:
-    """(token, node, weight): who shares prefix shingles; one token for all `weight` that the same nodes share."""
-    tokens = reps.select("node", F.explode("prefix").alias("token"))
+    """(token, node, at, weight): who shares prefix shingles, `at` being the shingle's place in the node's order; one token, the
+    first in the order, for all `weight` that the same nodes share."""
+    tokens = reps.select("node", F.posexplode("prefix").alias("at", "token"))
     owners = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"), "owners")
     shared = settle(tokens.join(owners, "token"), "shared")
-    who = [F.count(F.lit(1)).alias("c"), F.min("node").alias("a"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y")]
-    sets = shared.groupBy("token").agg(*who).groupBy("c", "a", "x", "y")
-    kept = settle(sets.agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight")).select("token", "weight"), "tokens")
+    who = [F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "at")).alias("a"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y")]
+    # The order is common to all nodes: what comes first in one of them comes first in all.
+    sets = shared.groupBy("token").agg(*who).groupBy("c", "a.node", "x", "y")
+    kept = settle(sets.agg(F.min_by("token", "a.at").alias("token"), F.count(F.lit(1)).alias("weight")).select("token", "weight"), "tokens")
     return settle(shared.join(kept, "token"), "shared")
 
 
@@ -231,21 +234,23 @@ def star_pairs(shared: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
 
 
 def crossing(shared: DataFrame, roots: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Pairs (hub, node) of different components that share a token and that size and signature do not rule out."""
-    placed = shared.join(roots, "node", "left").select("token", "node", F.coalesce("root", "node").alias("root"))
+    """Pairs (hub, node) of different components that share a token and that places, sizes and signatures do not rule out."""
+    placed = shared.join(roots, "node", "left").select("token", "node", "at", F.coalesce("root", "node").alias("root"))
     placed = settle(placed, "placed")
     mixed = placed.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    rows = settle(placed.join(settle(mixed, "mixed"), "token"), "tiles")
-    own = rows.groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    rows = settle(rows.join(own.join(bits, "node"), "node").withColumn("band", band), "tiles")
-    small = rows.alias("l")
-    large = rows.drop("band").withColumn("band", F.explode(F.array(band, band - 1))).alias("r")
+    rows = placed.join(settle(mixed, "mixed"), "token").join(bits, "node").withColumn("band", band)
+    rows = settle(rows, "tiles")
+    # Behind the first shingle that two sets have in common lies all the rest of their overlap, so a linked pair meets in the tile
+    # of that shingle with enough behind it on both sides. The smaller set needs it behind its own place for any partner; those
+    # rows are fewer, so they go to the two bands in which a partner may be.
+    small = rows.filter((100 + percent) * (F.col("n") - F.col("at")) >= 2 * percent * F.col("n"))
+    small = small.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1))).alias("l")
     tile = (F.col("l.token") == F.col("r.token")) & (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root"))
     order = (F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.node") < F.col("r.node")))
-    # A pair with several tokens in common meets in each of their tiles and is taken in the first.
-    once = F.array_min(F.array_intersect("l.tokens", "r.tokens")) == F.col("l.token")
-    found = small.join(large, tile & order & possible(percent) & once)
+    behind = F.least(F.col("l.n") - F.col("l.at"), F.col("r.n") - F.col("r.at"))
+    enough = (100 + percent) * behind >= percent * (F.col("l.n") + F.col("r.n"))
+    found = small.join(rows.alias("r"), tile & order & enough & possible(percent))
     return found.select(F.col("l.node").alias("hub"), F.col("r.node").alias("node")).distinct()
 
 
