@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,13 +23,14 @@ from cohortspark.llm.common import share_of, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 800  # texts the field is fitted on: those of the smallest hashes that hold a digit or an at-sign
-MAX_RUNS = 20
+MAX_RUNS = 37  # runs of a candidate span: the longest entity is a card of 19 digits with a sign between all of them
+LEARNED = 400  # characters of a region the field learns from: longer ones teach nothing, but are decoded like all others
 EPOCHS, RATE, DECAY = 4, 0.2, 1e-3
 REACH = 64  # characters a region is extended to either side
 
 # The base rules.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # matches only begin where digits begin: linear in a run of them
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -82,10 +84,12 @@ def regions(text: str) -> list[tuple[int, int]]:
     """Stretches worth decoding: around digits and at-signs out to the next blanks, and spelled-out addresses."""
     found = []
     for m in _SIGN.finditer(text):
-        if found and m.start() < found[-1][1]:
+        if found and m.end() <= found[-1][1]:
             continue
         a, b = m.start(), m.end()
-        while a > 0 and m.start() - a < REACH and not text[a - 1].isspace():
+        if found and a < found[-1][1]:  # a run of signs is never cut: the region goes on behind it
+            a = found.pop()[0]
+        while a > 0 and a > m.start() - REACH and not text[a - 1].isspace():
             a -= 1
         while b < len(text) and b - m.end() < REACH and not text[b].isspace():
             b += 1
@@ -303,7 +307,7 @@ def train(texts: list[str]) -> Field:
     for epoch in range(EPOCHS):
         for k in order:
             text, a, b, gold = examples[k]
-            if len(text) <= 400:
+            if len(text) <= LEARNED:
                 field.learn(text, a, b, gold, RATE / (1 + epoch))
     return field
 
@@ -311,11 +315,19 @@ def train(texts: list[str]) -> Field:
 def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), both by kind and start."""
     base = base_spans(text)
-    taken = sorted((a, b) for _, a, b in base)
+    begins: list[int] = []  # the base spans merged to stretches, in order
+    ends: list[int] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
     added = []
     for a, b in regions(text):
         for kind, x, y in field.decode(text, a, b):
-            if not any(x < d and c < y for c, d in taken):
+            k = bisect_left(begins, y) - 1  # the last stretch that begins before the span ends
+            if k < 0 or ends[k] <= x:
                 added.append((kind, x, y))
     order = {k: i for i, k in enumerate(KINDS)}
     return base, sorted(base + added, key=lambda s: (order[s[0]], s[1], s[2]))
@@ -341,7 +353,7 @@ def find_spans(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
     """The rows and columns of `docs` plus n_email, n_ip, n_card, n_phone (long, the rules' spans), base_sha256 (of the rules'
     spans as kind:start:end, comma-joined by kind and start), spans (all spans, joined likewise) and n_added (long).
 
-    Offsets are code points, ends exclusive. NULL is an empty text. Repeated rows give the same; columns of `docs` named like
+    Offsets are code points, ends exclusive. NULL is an empty text; bytes that are no UTF-8 count as U+FFFD. Repeated rows give the same; columns of `docs` named like
     a result column are replaced.
     """
     result = [StructField(f"n_{k}", LongType()) for k in KINDS]
@@ -355,7 +367,7 @@ def find_spans(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
             counts: dict[str, list[int]] = {k: [] for k in KINDS}
             digests, spans, extra = [], [], []
             for t in texts_of(batch.column(at)):
-                base, every = all_spans((t or b"").decode(), shared.value)
+                base, every = all_spans((t or b"").decode("utf-8", "replace"), shared.value)
                 for k in KINDS:
                     counts[k].append(sum(s[0] == k for s in base))
                 digests.append(hashlib.sha256(named(base).encode()).hexdigest())

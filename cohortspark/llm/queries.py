@@ -156,8 +156,9 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    """Strings of 400 bytes that occur more than once cut out: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    return suffix_dedup.remove_repeats(load(spark, folder, "documents", ["doc_id", "text"]), keep=False)
+    """Strings of 400 bytes that occur more than once cut out: doc_id, n_bytes, n_removed, n_spans, kept_sha256, repeated."""
+    out = suffix_dedup.remove_repeats(load(spark, folder, "documents", ["doc_id", "text"]), keep=False)
+    return out.withColumn("repeated", F.col("n_removed") > 0)
 
 
 @query()

@@ -13,6 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +45,13 @@ READ_COST, WILD_COST, DROP_COST, TWICE_COST, KEEP_COST = -1.0, -2.5, -0.5, -1.0,
 _EDGE = ".,;:!?\"'()[]{}<>«»„“”…¿¡"
 _JUNK = re.compile(r"^([!$*#&%@_=~^+|-])\1{2,}|([!$*#&%@_=~^+|-])\2{2,}$")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
-_ODD = re.compile(r"[^\W\d_].*[\d@$!|+(€£¡*#._~'`’·-].*[^\W\d_]|^[\d@$!|+(€£¡*#][^\W_]*[^\W\d_]|[^\W\d_][^\W_]*[\d@$|+(€£*#]$")
+_LETTER = re.compile(r"[^\W\d_]")
+_SIGN = re.compile(r"[\d@$!|+(€£¡*#._~'`’·-]")
+_LEADING = re.compile(r"[\d@$!|+(€£¡*#][^\W_]*[^\W\d_]")
+_CLOSING = re.compile(r"[\d@$|+(€£*#]")
+_PLAIN = re.compile(r"[^\W_]*")
 SPACED = re.compile(r"(?<!\S)[^\W_](?:[ ._*~-][^\W_]){2,}(?!\S)")
-_LATTICE = 48  # characters of a word read at a time
+_LATTICE = 48  # characters of a word after which letters that no longer depend on what follows are put aside
 
 
 def symbol_table() -> np.ndarray:
@@ -73,7 +78,7 @@ def letter_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << LM_BITS, np.int64)
         for batch in batches:
-            texts = [t.decode() for t in texts_of(batch.column(0)) if t]
+            texts = [t.decode("utf-8", "replace") for t in texts_of(batch.column(0)) if t]
             parts, size = [], 0
             for k, t in enumerate(texts):
                 for at in range(0, len(t), BLOCK):  # a cut in a very long text gets a word's end
@@ -135,9 +140,13 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
 def read(word: str, model: np.ndarray) -> str:
     """The likeliest letters of a disguised word (Viterbi; a state is the last two symbols)."""
     done = []
-    for at in range(0, len(word), _LATTICE):
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for options in lattice(word[at : at + _LATTICE]):
+    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    at = 0
+    while at < len(word):
+        to = min(len(word), at + _LATTICE)
+        while to < len(word) and word[to] == word[to - 1]:  # a run is one stretch of the lattice
+            to += 1
+        for options in lattice(word[at:to]):
             after: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (score, path) in best.items():
                 for letters, cost in options:
@@ -149,10 +158,26 @@ def read(word: str, model: np.ndarray) -> str:
                     if (x, y) not in after or s > after[x, y][0]:
                         after[x, y] = (s, path + letters)
             best = after
-        done.append(max((s + float(model[a, b, 0]), p) for (a, b), (s, p) in best.items())[1])
+        at = to
+        if at < len(word):  # what all open readings agree on is settled
+            same = commonprefix([path for _, path in best.values()])
+            done.append(same)
+            best = {state: (score, path[len(same) :]) for state, (score, path) in best.items()}
+    done.append(max((s + float(model[a, b, 0]), p) for (a, b), (s, p) in best.items())[1])
     return "".join(done)
 
 
+def odd(word: str) -> bool:
+    """Does a token look disguised: a sign between letters, in front of them, or behind them? Linear in its length."""
+    if not (first := _LETTER.search(word)):
+        return False
+    backwards = word[::-1]
+    last = len(word) - 1 - _LETTER.search(backwards).start()
+    if _SIGN.search(word, first.start() + 1, last) or _LEADING.match(word):
+        return True
+    return bool(_CLOSING.match(backwards) and _LETTER.search(_PLAIN.match(backwards, 1)[0]))
+
+
 def trimmed(token: str) -> str:
     """A lower-cased token without punctuation at its ends and without runs of one sign there."""
     token = token.strip(_EDGE)
@@ -166,7 +191,7 @@ def restored(token: str, model: np.ndarray) -> str:
     word = token if token.isalpha() else trimmed(token)
     if word.isalpha():
         return read(word, model) if _TRIPLE.search(word) else word
-    return read(word, model) if _ODD.search(word) else word
+    return read(word, model) if odd(word) else word
 
 
 def restore(text: str | None, model: np.ndarray) -> str | None:
@@ -251,15 +276,20 @@ def held_out(key: Column) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_class: int) -> list[tuple[str, int]]:
     """Different texts outside the held-out fold with their labels: at most `per_class` labelled rows of each class, those of
     the smallest key hashes. The two key lists are bounded by that, hence the broadcast."""
-    usable = labels.filter(F.col(key).isNotNull() & ~held_out(F.col(key))).select(key, label)
-    counts = {r[0]: r[1] for r in usable.groupBy(label).agg(F.count(F.lit(1))).collect() if r[0] in (0, 1)}
+    usable = labels.filter(F.col(key).isNotNull() & ~held_out(F.col(key)) & F.col(label).isin(0, 1)).select(key, label).distinct()
+    counts = {r[0]: r[1] for r in usable.groupBy(label).agg(F.count(F.lit(1))).collect()}
     parts = [usable.filter((F.col(label) == c) & share_of(F.col(key), per_class, counts.get(c, 0))) for c in (0, 1)]
     picked = parts[0].union(parts[1]).withColumnRenamed(key, "_key").withColumnRenamed(label, "_label")
     found = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
-    rows = found.join(F.broadcast(picked), F.col("_id") == F.col("_key")).select(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)).alias("h"), "_text", "_label").collect()
+    # Different keys are bounded by their hashes; texts of one key, of which a frequent key may have many, by theirs.
+    joined = found.join(F.broadcast(picked), F.col("_id") == F.col("_key"))
+    name = F.xxhash64("_id", "_text")
+    several = joined.agg(F.approx_count_distinct(name)).first()[0]
+    few = joined.filter(share_of(name, 4 * per_class, several))
+    rows = few.select(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)).alias("h"), "_text", "_label").distinct().collect()
     chosen: dict[tuple[str, int], None] = {}
     taken = Counter()
-    for r in sorted(rows, key=lambda r: (r["h"], r["_text"])):
+    for r in sorted(rows, key=lambda r: (r["h"], r["_text"], r["_label"])):
         if taken[r["_label"]] < per_class and (r["_text"], int(r["_label"])) not in chosen:
             taken[r["_label"]] += 1
             chosen[r["_text"], int(r["_label"])] = None
@@ -348,7 +378,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = worker_cache(f"toxicity-{shared.value.name}", lambda: Scorer(shared.value))
         for batch in batches:
-            own = [scorer.text((t or b"").decode()) for t in texts_of(batch.column(at))]
+            own = [scorer.text((t or b"").decode("utf-8", "replace")) for t in texts_of(batch.column(at))]
             made = [
                 pa.array([s for s, _ in own], pa.float64()),
                 pa.array([int(s >= 0.5) for s, _ in own], pa.int32()),

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -136,3 +137,39 @@ def test_repeated_keys_do_not_fill_the_driver(spark, monkeypatch):
     copies = docs.select("doc_id", F.lit("no. 7").alias("text")).filter("doc_id IS NULL").union(docs.filter("doc_id IS NOT NULL"))
     pii.fit(copies, sample=few)
     assert len(taken[-1]) < most
+
+
+def test_regions_do_not_cut_numbers():
+    text = "x=1" + "k" * 60 + "00491701234567"
+    assert pii.regions(text) == [(0, 77)]
+    chain = "".join(f"1{'k' * 60}" for _ in range(30)) + "4" * 200 + "z" * 100
+    (a, b), *rest = pii.regions(chain)
+    assert not any(c.isdigit() for c in chain[b:]) and not rest
+
+
+@pytest.mark.parametrize("text", ["1" * 1_000_000, "1." * 400_000, "a1" * 100_000, "+1" * 300_000, "a@" * 300_000, "1 " * 300_000])
+def test_long_texts_take_linear_time(text):
+    begin = time.perf_counter()
+    pii.base_spans(text)
+    pii.regions(text)
+    assert time.perf_counter() - begin < 10
+
+
+def test_added_spans_touch_no_base_span():
+    class Every:
+        def decode(self, text, a, b):
+            return [("phone", k, k + 3) for k in range(a, b - 2)]
+
+    text = "a@b.cd 1.2.3.4 x@y.zz 5 and 77777"
+    base, every = pii.all_spans(text, Every())
+    taken = {k for _, a, b in base for k in range(a, b)}
+    added = [s for s in every if s not in base]
+    assert added and not any(taken & set(range(a, b)) for _, a, b in added)
+    free = [(x, x + 3) for a, b in pii.regions(text) for x in range(a, b - 2) if not taken & set(range(x, x + 3))]
+    assert sorted(free) == sorted((a, b) for _, a, b in added)
+
+
+def test_bytes_that_are_no_text(spark):
+    df = spark.range(1).selectExpr("id AS doc_id", "cast(unhex('61ff40622e636f') as string) AS text")
+    row = pii.find_spans(df, pii.train(["mail a@b.co now"])).first()
+    assert row["n_email"] == 0 and row["n_ip"] == 0

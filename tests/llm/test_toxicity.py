@@ -2,6 +2,8 @@
 
 import itertools
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -101,3 +103,41 @@ def test_held_out_accuracy(spark):
     caught = [r["predicted"] for y, r in tested if y == 1]
     false = [r["predicted"] for y, r in tested if y == 0]
     assert sum(caught) / len(caught) > 0.8 and sum(false) / len(false) < 0.01
+
+
+OLD_ODD = re.compile(r"[^\W\d_].*[\d@$!|+(€£¡*#._~'`’·-].*[^\W\d_]|^[\d@$!|+(€£¡*#][^\W_]*[^\W\d_]|[^\W\d_][^\W_]*[\d@$|+(€£*#]$")
+
+
+def test_odd_words_by_the_pattern():
+    rng = random.Random(3)
+    for _ in range(20_000):
+        word = "".join(rng.choices("abé1_@$!.-*²Ⅷ/%", k=rng.randrange(7)))
+        assert tox.odd(word) == bool(OLD_ODD.search(word)), word
+
+
+@pytest.mark.parametrize("text", ["a/" * 500_000, "a" * 1_000_000 + "/", "a." * 20_000, "1" * 500_000 + "/"])
+def test_long_tokens_take_linear_time(text):
+    model = tox.letter_model(np.ones(1 << tox.LM_BITS, np.int64))
+    begin = time.perf_counter()
+    tox.restored(text, model)
+    assert time.perf_counter() - begin < 10
+
+
+def test_long_words_are_read_as_one(monkeypatch):
+    """The state goes on from stretch to stretch: any length of them gives the same reading."""
+    rng = random.Random(8)
+    counts = np.array([rng.randrange(50) for _ in range(1 << tox.LM_BITS)])
+    model = tox.letter_model(counts)
+    for _ in range(20):
+        word = "".join(rng.choices("abcde013$@.*", k=200))
+        monkeypatch.setattr(tox, "_LATTICE", 10_000)
+        whole = tox.read(word, model)
+        monkeypatch.setattr(tox, "_LATTICE", 7)
+        assert tox.read(word, model) == whole
+
+
+def test_sample_is_bounded_for_a_frequent_key(spark):
+    docs = spark.range(20_000).selectExpr("1 AS doc_id", "concat('text ', id) AS text")
+    labels = spark.createDataFrame([(1, 1)] * 50 + [(1, 0)] * 50 + [(None, 1), (1, None)], "doc_id int, toxic int")
+    rows = tox.labelled_sample(docs, labels, "doc_id", "text", "toxic", 20)
+    assert 20 <= len(rows) <= 40 and {label for _, label in rows} == {0, 1}
