@@ -1,4 +1,4 @@
-"""Nearest neighbours against brute force: exact with factor 1, recall with the production factor."""
+"""Nearest neighbours against brute force: exact with factor 1, recall with a measured factor."""
 
 import math
 import random
@@ -57,7 +57,7 @@ def test_pruning_saves_work():
     exact[own, own] = -np.inf
     want = np.argsort(-exact, axis=1)[:, :10]
     tree = vptree.Tree(ids, points, float(np.sqrt((points**2).sum(1).max())), leaf=32)
-    for factor, least in ((1.0, 1.0), (vptree.FACTOR, 0.9)):
+    for factor, least in ((1.0, 1.0), (vptree.FACTORS[0], 0.9)):
         places, _ = tree.search(points[:50], own, 10, factor)
         recall = np.mean([len(set(ids[p]) & set(w)) / 10 for p, w in zip(places, want)])
         assert recall >= least
@@ -68,3 +68,59 @@ def test_recall_of_the_query(spark):
     rows = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     want, got = brute(rows, lambda q: q % 20 == 0, 20), found(QUERIES["op8_nearest"](spark, folder))
     assert len(got) == len(want) and len({x[::2] for x in got} & {x[::2] for x in want}) >= 0.95 * len(want)
+
+
+@pytest.mark.parametrize("kind", ["unit", "mixed"])
+def test_recall_on_full_shards(spark, kind):
+    """Clustered vectors in several shards; norms all 1, or log-normal, where a large factor alone falls short."""
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(60, 32))[rng.integers(0, 60, 12_000)] + 0.4 * rng.normal(size=(12_000, 32))
+    points /= np.sqrt((points**2).sum(1))[:, None]
+    if kind == "mixed":
+        points *= np.exp(rng.normal(size=(12_000, 1)))
+    rows = prepare(spark).createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
+    products = points[::50] @ points.T
+    products[np.arange(len(products)), np.arange(0, 12_000, 50)] = -np.inf
+    want = {(50 * q, int(i)) for q, best in enumerate(np.argsort(-products, axis=1)[:, :20]) for i in best}
+    got = {(r["query_id"], r["vec_id"]) for r in vptree.nearest(rows, F.col("vec_id") % 50 == 0, shard=2000).collect()}
+    assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
+
+
+def test_cells_leave_out_what_is_far():
+    rng = np.random.default_rng(2)
+    centres = np.linalg.qr(rng.normal(size=(16, 16)))[0]
+    points = centres[np.arange(1600) % 16] + 0.02 * rng.normal(size=(1600, 16))
+    largest = float(np.sqrt((points**2).sum(1)).max())
+    cells = vptree.Cells(centres * 0.99, largest)
+    cell, far = cells.nearest(points)
+    for c in range(16):
+        own = np.sort(far[cell == c])
+        cells.low[c], cells.high[c], cells.within[c] = own[0], own[-1], own[5]
+    visits = cells.open(points[:64], 1.0)
+    assert visits.mean() < 0.2
+    for q in range(64):
+        products = points @ points[q]
+        products[q] = -np.inf
+        assert visits[q, cell[np.argsort(-products)[:5]]].all()
+
+
+def test_lengths_do_not_meet_and_copies_are_dealt(spark):
+    rng = random.Random(3)
+    rows = [(k, [rng.gauss(0, 1) for _ in range(4 if k % 7 else 3)]) for k in range(300)]
+    rows += [(1000, rows[1][1])] * 200  # one id, one vector
+    df = prepare(spark).createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(vptree.nearest(df, F.col("vec_id") % 20 == 0, k=5, factor=1.0, shard=40, block=7))
+    want = set()
+    for n in (3, 4):
+        want |= brute([r for r in rows if len(r[1]) == n], lambda q: q % 20 == 0, 5)
+    assert got == want
+
+
+def test_near_ties_are_cut_by_products():
+    ids = np.arange(40)
+    vectors = np.ones((40, 2))
+    vectors[30:, 0] += 4e-16 * np.arange(1, 11)  # larger by less than distances can tell
+    tree = vptree.Tree(ids, vectors, float(np.sqrt((vectors**2).sum(1)).max()), leaf=8)
+    places, products = tree.search(np.array([[1.0, 0.0]]), np.array([-1]), 5, 1.0)
+    want = sorted(range(40), key=lambda i: (-vectors[i, 0], i))[:5]
+    assert set(ids[places[0]]) == set(want)
