@@ -19,6 +19,7 @@ driver are counts of fixed size. Texts are moved for classes that have a partner
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ PERCENT = 80
 ORDER_BITS = 20  # slots of the corpus-wide count that orders shingles
 PICK_BITS = 23  # slots of the filter on documents whose text is needed
 SIGNATURE_WORDS = 16  # 64-bit words of a signature
+TILE_WORDS = 4  # words it is folded to in the rows of small tiles; pairs that these let through meet the whole ones
+SMALL = 32  # classes that share a shingle, at most, for its tile to be small
 HUB_KEYS = (0, 0x2545F4914F6CDD1D, 0x1B03738712FAD5C9, 0x5851F42D4C957F2D)  # orders in which the first class is the hub
 HUBS = 3  # hubs each class is compared with
 PER_HUB = 256  # texts compared with one copy of a hub's text in one group
@@ -192,6 +195,14 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, words: int, pe
     return tiles.mapInArrow(run, "hub long, node long").distinct()
 
 
+def tile_signature(small: Column) -> list[Column]:
+    """The words of a signature in a tile row. In small tiles word k, of `TILE_WORDS`, is the union of every `TILE_WORDS`-th one from
+    k on and the rest are 0, which take next to no room; a bit still stands for different members than any other."""
+    unions = [reduce(Column.bitwiseOR, [F.col(f"s{j}") for j in range(k, SIGNATURE_WORDS, TILE_WORDS)]) for k in range(TILE_WORDS)]
+    unions += [F.lit(0).cast("long")] * (SIGNATURE_WORDS - TILE_WORDS)
+    return [F.when(small, union).otherwise(F.col(f"s{k}")).alias(f"s{k}") for k, union in enumerate(unions)]
+
+
 def bound(left: str, right: str) -> Column:
     """Members of `left` that are certainly not in `right`: bits set in the one signature and not in the other."""
     terms = [F.bit_count(F.col(f"{left}.s{k}").bitwiseAND(F.bitwise_not(F.col(f"{right}.s{k}")))) for k in range(SIGNATURE_WORDS)]
@@ -237,10 +248,11 @@ def crossing(shared: DataFrame, roots: DataFrame, bits: DataFrame, percent: int)
     """Pairs (hub, node) of different components that share a token and that places, sizes and signatures do not rule out."""
     placed = shared.join(roots, "node", "left").select("token", "node", "at", F.coalesce("root", "node").alias("root"))
     placed = settle(placed, "placed")
-    mixed = placed.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
+    mixed = placed.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("c"))
+    mixed = settle(mixed.filter("a <> b").select("token", (F.col("c") <= SMALL).alias("small")), "mixed")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    rows = placed.join(settle(mixed, "mixed"), "token").join(bits, "node").withColumn("band", band)
-    rows = settle(rows, "tiles")
+    rows = placed.join(mixed, "token").join(bits, "node")
+    rows = settle(rows.select("token", "node", "at", "root", "n", band.alias("band"), *tile_signature(F.col("small"))), "tiles")
     # Behind the first shingle that two sets have in common lies all the rest of their overlap, so a linked pair meets in the tile
     # of that shingle with enough behind it on both sides. The smaller set needs it behind its own place for any partner; those
     # rows are fewer, so they go to the two bands in which a partner may be.
@@ -251,7 +263,9 @@ def crossing(shared: DataFrame, roots: DataFrame, bits: DataFrame, percent: int)
     behind = F.least(F.col("l.n") - F.col("l.at"), F.col("r.n") - F.col("r.at"))
     enough = (100 + percent) * behind >= percent * (F.col("l.n") + F.col("r.n"))
     found = small.join(rows.alias("r"), tile & order & enough & possible(percent))
-    return found.select(F.col("l.node").alias("hub"), F.col("r.node").alias("node")).distinct()
+    pairs = settle(found.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct(), "candidates")
+    both = pairs.join(bits.alias("l"), F.col("a") == F.col("l.node")).join(bits.alias("r"), F.col("b") == F.col("r.node"))
+    return both.filter(possible(percent)).select(F.col("a").alias("hub"), F.col("b").alias("node"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
