@@ -11,7 +11,7 @@ from cohortspark.functions.time import bucket_index, bucket_start, elapsed_hours
 from cohortspark.operators.relational import delete_where, enrich
 from cohortspark.session import settle
 
-WIDE_LIMIT = 256  # up to here conditional aggregates (one shuffle); beyond it the built-in pivot
+WIDE_LIMIT = 256  # up to here conditional aggregates (one shuffle); beyond it lists of cells
 
 
 AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}
@@ -29,11 +29,14 @@ def spread(df: DataFrame, keys: list[str], on: str, values: list, specs: dict[st
         cells = [AGGREGATES[how](F.when(F.col(on) == v, F.col(c))) for v in values for how, c in specs.values()]
         named = [cell.alias(t) for cell, t in zip(cells, titles)]
         return listed.groupBy(*keys).agg(*named) if named else listed.select(*keys).distinct()
-    wide = listed.groupBy(*keys).pivot(on, values).agg(
-        *[AGGREGATES[how](c).alias(f"_a{i}") for i, (how, c) in enumerate(specs.values())]
-    )
-    counts = [t.format(value=v) for v in values for t, (how, _) in specs.items() if how == "count"]
-    return wide.toDF(*keys, *titles).fillna(0, subset=counts)
+    # The cells that a key has travel as a short list; the wide row is made behind the last shuffle and held for no longer than
+    # one row. The built-in pivot keeps a buffer of the full width for each key of a task instead.
+    parts = [f"a{i}" for i in range(len(specs))]
+    cells = listed.groupBy(*keys, F.col(on).alias("_on")).agg(*[AGGREGATES[how](c).alias(a) for a, (how, c) in zip(parts, specs.values())])
+    held = cells.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_on", F.struct(*parts)))).alias("_cells"))
+    own = lambda v: F.element_at("_cells", F.lit(v).cast(df.schema[on].dataType))
+    found = [(own(v)[a], how) for v in values for a, (how, _) in zip(parts, specs.values())]
+    return held.select(*keys, *[(F.coalesce(x, F.lit(0).cast("long")) if how == "count" else x).alias(t) for t, (x, how) in zip(titles, found)])
 
 
 def pivot_features(
