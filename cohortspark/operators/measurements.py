@@ -27,8 +27,9 @@ class Source:
 def item_inventory(sources: list[Source], cohort: DataFrame | None = None, key: str = "hadm_id") -> DataFrame:
     """Distinct (source, itemid) among the cohort. Sources with the same name are united; item ids are text.
 
-    Sources on one table are cells of one scan of it. Each (key, source, item) is kept once before the one semi-join, so repeated
-    measurements of a long admission are gone by then.
+    Sources on one table are cells of one scan of it, made behind one semi-join a table. What is kept once is (source, item): a
+    task holds the items of its rows, not every item of every admission. The semi-join's left side comes straight from its
+    shuffle, so adaptive execution deals the rows of a long admission to several tasks.
     """
     tables: list[tuple[DataFrame, list[Source]]] = []
     for s in sources:
@@ -37,17 +38,17 @@ def item_inventory(sources: list[Source], cohort: DataFrame | None = None, key:
             tables.append((s.df, own := []))
         own.append(s)
     parts = []
-    keys = [] if cohort is None else [key]
     for df, own in tables:
         cells = []
         for s in own:
             item = (F.col(s.item) if isinstance(s.item, str) else s.item).cast("string").alias("itemid")
             cell = F.struct(F.lit(s.name).alias("source"), item)
             cells.append(cell if s.where is None else F.when(s.where, cell))
-        rows = df.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("x")) if len(cells) > 1 or own[0].where is not None else df.select(*keys, cells[0].alias("x"))
-        parts.append(rows.select(*keys, "x.source", "x.itemid"))
-    found = append(*parts).distinct()
-    return found if cohort is None else restrict_to(found, cohort, key).select("source", "itemid").distinct()
+        # The cells, mostly text, are made behind the join: its sort holds the plain columns they come from.
+        rows = df if any(s.where is None for s in own) else df.filter(any_of([s.where for s in own]))
+        rows = rows if cohort is None else restrict_to(rows, cohort, key)
+        parts.append(rows.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).select("x.source", "x.itemid"))
+    return append(*parts).distinct()
 
 
 # --- units ----------------------------------------------------------------------------------------------------------

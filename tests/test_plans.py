@@ -61,3 +61,8 @@ def test_scans_are_pruned_and_filtered(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_extendedprice:double>" in plan
     plan = plan_of(queries()["rows_by_label"](spark, FOLDER))
     assert "EqualTo(toxic,1)" in plan
+
+
+def test_inventory_keeps_items_and_not_keys(spark):
+    plan = queries()["item_inventory"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and not re.search(r"Aggregate \[l_orderkey", plan)
