@@ -7,9 +7,9 @@
 3. Each class is compared with a few hubs, classes that share most of those shingles with it. A group of copies becomes a few
    stars around its hubs instead of all its pairs.
 4. What remains are pairs of classes that the stars have not joined. They meet in tiles of one shingle and one band of set
-   sizes, where the shingle's place in either set bounds what they can have in common. In both steps the bits set in one
-   1024-bit signature and not in the other bound the overlap from above, and only what the bounds leave goes to the exact
-   intersection.
+   sizes, where the shingle's place in either set bounds what they can have in common, and mostly in one tile only: the rows
+   name the tiles just before, and a pair that shares one of those has met there. In both steps the bits set in one 1024-bit
+   signature and not in the other bound the overlap from above, and only what the bounds leave goes to the exact intersection.
 5. The links of both steps give the components.
 
 Every step is a join or a map-side combined aggregate, none emits the pairs of a group, and the only things that reach the
@@ -28,15 +28,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cohortspark.llm.common import release, settle, texts_of
 from cohortspark.llm.graph import components
 from cohortspark.llm.shingles import WordHasher, common, mix, shingle_sets
-from cohortspark.llm.sketch import bit_slices, either, slices, total
+from cohortspark.llm.sketch import SLICES, bit_slices, either, slices, total
 
 WORDS = 5
 PERCENT = 80
 ORDER_BITS = 20  # slots of the corpus-wide count that orders shingles
 PICK_BITS = 23  # slots of the filter on documents whose text is needed
+TOKEN_BITS = 26  # slots of the filter on shared shingles, at most; fewer where `PER_TOKEN` for each of them are fewer
+PER_TOKEN = 16
 SIGNATURE_WORDS = 16  # 64-bit words of a signature
 TILE_WORDS = 4  # words it is folded to in the rows of small tiles; pairs that these let through meet the whole ones
 SMALL = 32  # classes that share a shingle, at most, for its tile to be small
+EARLIER_NAMES = ("e0", "e1", "e2")  # columns of a tile row that name the tiles in which its node is just before
 HUB_KEYS = (0, 0x2545F4914F6CDD1D, 0x1B03738712FAD5C9, 0x5851F42D4C957F2D)  # orders in which the first class is the hub
 HUBS = 3  # hubs each class is compared with
 PER_HUB = 256  # texts compared with one copy of a hub's text in one group
@@ -129,28 +132,37 @@ def signatures(docs: DataFrame, order: np.ndarray, words: int, percent: int) ->
     return docs.select("text").mapInArrow(run, "n long, fp binary, prefix array<long>, bits array<long>")
 
 
-def with_texts(docs: DataFrame, routes: DataFrame) -> DataFrame:
-    """`routes` with column text of the document that their id names. A filter of fixed size on the ids keeps most texts of
-    other documents from being moved; the join is on the ids themselves."""
+def slots_of(keys: pa.Array, bits: int) -> np.ndarray:
+    """A slot of 2 ** bits for each long; NULL has one too."""
+    longs = keys.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return (mix(longs) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def passes(slots: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    return (marks[slots >> 3] >> (7 - (slots & 7))) & 1 == 1
+
+
+def marks_of(keys: DataFrame, bits: int) -> np.ndarray:
+    """A filter of 2 ** bits packed flags that lets the values of a single long column through, and few others."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.zeros(1 << PICK_BITS, np.uint8)
+        flags = np.zeros(1 << bits, np.uint8)
         for batch in batches:
-            flags[slot_of(batch.column(0))] = 1
+            flags[slots_of(batch.column(0), bits)] = 1
         rows = list(bit_slices(flags))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["slot", "marks"])
 
-    def slot_of(ids: pa.Array) -> np.ndarray:
-        keys = ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        return (mix(keys) >> np.uint64(64 - PICK_BITS)).astype(np.int64)
+    return either(keys.mapInArrow(count, "slot int, marks binary"), bits)
 
-    marks = either(routes.select("id").mapInArrow(count, "slot int, marks binary"), PICK_BITS)
-    shared = docs.sparkSession.sparkContext.broadcast(marks)
+
+def with_texts(docs: DataFrame, routes: DataFrame) -> DataFrame:
+    """`routes` with column text of the document that their id names. A filter of fixed size on the ids keeps most texts of
+    other documents from being moved; the join is on the ids themselves."""
+    shared = docs.sparkSession.sparkContext.broadcast(marks_of(routes.select("id"), PICK_BITS))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = slot_of(batch.column(0))
-            yield batch.filter(pa.array((shared.value[slot >> 3] >> (7 - (slot & 7))) & 1 == 1))
+            yield batch.filter(pa.array(passes(slots_of(batch.column(0), PICK_BITS), shared.value)))
 
     few = docs.mapInArrow(keep, "id long, text string").alias("d")
     return few.join(routes.alias("r"), F.col("d.id").eqNullSafe(F.col("r.id"))).select("r.*", "d.text")
@@ -218,12 +230,31 @@ def possible(percent: int) -> Column:
     return sizes & ((100 + percent) * left >= need) & ((100 + percent) * right >= need)
 
 
+def tokens_among(reps: DataFrame, owners: DataFrame) -> DataFrame:
+    """(node, at, token) of the prefix shingles, without most that `owners` (token) lacks: a filter takes them out before
+    anything is moved. It grows with the owners up to a fixed size."""
+    bits = max(SLICES.bit_length() + 2, min(TOKEN_BITS, (PER_TOKEN * owners.count()).bit_length()))
+    shared = reps.sparkSession.sparkContext.broadcast(marks_of(owners, bits))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            tokens = lists.flatten()
+            here = np.flatnonzero(passes(slots_of(tokens, bits), shared.value))
+            row = np.repeat(np.arange(len(sizes)), sizes)[here]
+            at = (here - (np.cumsum(sizes) - sizes)[row]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(at), tokens.take(pa.array(here))], ["node", "at", "token"])
+
+    return reps.select("node", "prefix").mapInArrow(keep, "node long, at int, token long")
+
+
 def shared_tokens(reps: DataFrame) -> DataFrame:
     """(token, node, at, weight): who shares prefix shingles, `at` being the shingle's place in the node's order; one token, the
     first in the order, for all `weight` that the same nodes share."""
-    tokens = reps.select("node", F.posexplode("prefix").alias("at", "token"))
+    tokens = reps.select(F.explode("prefix").alias("token"))
     owners = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"), "owners")
-    shared = settle(tokens.join(owners, "token"), "shared")
+    shared = settle(tokens_among(reps, owners).join(owners, "token").select("token", "node", "at"), "shared")
     who = [F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "at")).alias("a"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y")]
     # The order is common to all nodes: what comes first in one of them comes first in all.
     sets = shared.groupBy("token").agg(*who).groupBy("c", "a.node", "x", "y")
@@ -244,15 +275,8 @@ def star_pairs(shared: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     return both.filter(possible(percent)).select("l.hub", F.col("l.to").alias("node"))
 
 
-def crossing(shared: DataFrame, roots: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Pairs (hub, node) of different components that share a token and that places, sizes and signatures do not rule out."""
-    placed = shared.join(roots, "node", "left").select("token", "node", "at", F.coalesce("root", "node").alias("root"))
-    placed = settle(placed, "placed")
-    mixed = placed.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("c"))
-    mixed = settle(mixed.filter("a <> b").select("token", (F.col("c") <= SMALL).alias("small")), "mixed")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    rows = placed.join(mixed, "token").join(bits, "node")
-    rows = settle(rows.select("token", "node", "at", "root", "n", band.alias("band"), *tile_signature(F.col("small"))), "tiles")
+def tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that meet in a tile and may be linked; few come twice."""
     # Behind the first shingle that two sets have in common lies all the rest of their overlap, so a linked pair meets in the tile
     # of that shingle with enough behind it on both sides. The smaller set needs it behind its own place for any partner; those
     # rows are fewer, so they go to the two bands in which a partner may be.
@@ -262,8 +286,24 @@ def crossing(shared: DataFrame, roots: DataFrame, bits: DataFrame, percent: int)
     order = (F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.node") < F.col("r.node")))
     behind = F.least(F.col("l.n") - F.col("l.at"), F.col("r.n") - F.col("r.at"))
     enough = (100 + percent) * behind >= percent * (F.col("l.n") + F.col("r.n"))
-    found = small.join(rows.alias("r"), tile & order & enough & possible(percent))
-    pairs = settle(found.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct(), "candidates")
+    # A linked pair passes all this in the first tile that it shares, so a tile behind another one of both has nothing to add.
+    met = reduce(Column.__or__, [F.coalesce(F.col(f"l.{a}") == F.col(f"r.{b}"), F.lit(False)) for a in EARLIER_NAMES for b in EARLIER_NAMES])
+    found = small.join(rows.alias("r"), tile & order & enough & ~met & possible(percent))
+    return found.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+
+
+def crossing(shared: DataFrame, roots: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Pairs (hub, node) of different components that share a token and that places, sizes and signatures do not rule out."""
+    placed = shared.join(roots, "node", "left").select("token", "node", "at", F.coalesce("root", "node").alias("root"))
+    placed = settle(placed, "placed")
+    mixed = placed.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("c"))
+    mixed = settle(mixed.filter("a <> b").select("token", (F.col("c") <= SMALL).alias("small")), "mixed")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
+    before = Window.partitionBy("node").orderBy("at")
+    earlier = [F.lag("token", k + 1).over(before).alias(e) for k, e in enumerate(EARLIER_NAMES)]
+    rows = placed.join(mixed, "token").select("*", *earlier).join(bits, "node")
+    rows = settle(rows.select("token", "node", "at", "root", "n", *EARLIER_NAMES, band.alias("band"), *tile_signature(F.col("small"))), "tiles")
+    pairs = settle(tile_pairs(rows, percent).distinct(), "candidates")
     both = pairs.join(bits.alias("l"), F.col("a") == F.col("l.node")).join(bits.alias("r"), F.col("b") == F.col("r.node"))
     return both.filter(possible(percent)).select(F.col("a").alias("hub"), F.col("b").alias("node"))
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortspark.llm import jaccard
 from cohortspark.llm.common import prepare
@@ -120,3 +121,47 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     assert sorted(map(tuple, QUERIES["op4_ngram_jaccard"](spark, folder).collect()), key=str) == brute(rows)
+
+
+def classes(spark, texts):
+    """The classes of texts as the join sees them, and a link table without links."""
+    docs = prepare(spark).createDataFrame(list(enumerate(texts)), "id long, text string")
+    order = np.zeros(1 << jaccard.ORDER_BITS, np.uint32)
+    reps = jaccard.signatures(docs, order, 5, 80).withColumn("node", F.monotonically_increasing_id()).localCheckpoint()
+    return reps, spark.createDataFrame([], "node long, root long")
+
+
+def test_pairs_meet_in_few_tiles(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(300)]
+    texts = []
+    for k in range(20):
+        copy = list(base)
+        for at in rng.sample(range(300), 3):
+            copy[at] = f"x{k}-{at}"
+        texts.append(" ".join(copy))
+    reps, roots = classes(spark, texts)
+    seen = []
+    real = jaccard.tile_pairs
+    monkeypatch.setattr(jaccard, "tile_pairs", lambda rows, percent: seen.append(real(rows, percent)) or seen[0])
+    bits = reps.select("node", "n", *[F.col("bits")[k].alias(f"s{k}") for k in range(jaccard.SIGNATURE_WORDS)])
+    found = jaccard.crossing(jaccard.shared_tokens(reps), roots, bits, 80)
+    pairs = {frozenset(r) for r in found.collect()}
+    node = {r["fp"]: r["node"] for r in reps.collect()}
+    own = [node[jaccard.fingerprint(next(shingle_sets([t.encode()], WordHasher())))] for t in texts]
+    links = {frozenset((own[i], own[j])) for i in range(20) for j in range(i) if 100 * len(sets(texts[i]) & sets(texts[j])) >= 80 * len(sets(texts[i]) | sets(texts[j]))}
+    assert links and links <= pairs
+    assert seen[0].count() <= 1.5 * seen[0].distinct().count()
+
+
+def test_only_shared_shingles_are_moved(spark):
+    texts = [" ".join(f"t{k}-{j}" for j in range(100)) for k in range(60)]
+    texts += [" ".join([*(f"s{j}" for j in range(30)), *(f"u{k}-{j}" for j in range(4))]) for k in range(3)]
+    reps, _ = classes(spark, [*texts, "one", ""])
+    tokens = reps.select("node", F.posexplode("prefix").alias("at", "token"))
+    owners = tokens.groupBy("token").count().filter("count > 1").select("token").localCheckpoint()
+    moved = jaccard.tokens_among(reps, owners)
+    names = ["node", "at", "token"]
+    assert sorted(map(tuple, moved.join(owners, "token").select(names).collect())) == sorted(map(tuple, tokens.join(owners, "token").select(names).collect()))
+    assert 0 < moved.count() < tokens.count() / 4
+    assert jaccard.tokens_among(reps, owners.limit(0)).count() == 0
