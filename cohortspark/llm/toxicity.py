@@ -298,39 +298,38 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
 
 def fit(sample: list[tuple[str, int]], letters: np.ndarray, share: float) -> Model:
     """Logistic model on the features of restored texts. `share` of all labelled rows is toxic: the bias is set to it."""
-    scorer = Scorer(Model(letters, {}, 0.0))
-    plain: dict[str, str] = {}
-    bags: list[set[str]] = []
-    target: list[int] = []
-    for text, label in sample:
+    numbers: dict[str, int] = {}  # of the features; a text's bag is an array of them, a fraction of what sets of strings take
+    plain: dict[str, tuple[int, ...]] = {}
+    bags: list[np.ndarray] = []
+    for text, _ in sample:
         lower = text.lower()
-        tokens = set(lower.split()) | {read(s, letters) for s in SPACED.findall(lower)}
-        bag = set()
-        for t in tokens:
-            word = plain.get(t)
-            if word is None:
-                word = plain[t] = restored(t, scorer.model.letters)
-            bag.update(features(word))
-        bags.append(bag)
-        target.append(label)
-    y = np.array(target, np.float64)
+        bag: set[int] = set()
+        for t in set(lower.split()) | {read(s, letters) for s in SPACED.findall(lower)}:
+            own = plain.get(t)
+            if own is None:
+                own = plain[t] = tuple(numbers.setdefault(f, len(numbers)) for f in features(restored(t, letters)))
+            bag.update(own)
+        bags.append(np.array(sorted(bag), np.int32))
+    y = np.array([label for _, label in sample], np.float64)
     positive, negative = max(y.sum(), 1), max(len(y) - y.sum(), 1)
-    of = [Counter(), Counter()]
-    for bag, label in zip(bags, target):
-        of[label].update(bag)
-    gain = {f: abs(np.log((of[1][f] + 0.5) / positive) - np.log((of[0][f] + 0.5) / negative)) for f in of[0].keys() | of[1].keys() if of[0][f] + of[1][f] >= MIN_TEXTS}
-    chosen = sorted(gain, key=lambda f: (-gain[f] * np.sqrt(of[0][f] + of[1][f]), f))[:MAX_FEATURES]
-    place = {f: k for k, f in enumerate(chosen)}
-    pairs = [(i, place[f]) for i, bag in enumerate(bags) for f in bag if f in place]
-    row = np.array([p[0] for p in pairs], np.int64)
-    column = np.array([p[1] for p in pairs], np.int64)
+    sizes = np.array([len(bag) for bag in bags], np.int64)
+    row = np.repeat(np.arange(len(bags)), sizes)
+    column = np.concatenate([*bags, np.zeros(0, np.int32)])
+    toxic, clean = (np.bincount(column[y[row] == label], minlength=len(numbers)) for label in (1, 0))
+    names = list(numbers)
+    gain = {k: abs(np.log((toxic[k] + 0.5) / positive) - np.log((clean[k] + 0.5) / negative)) for k in np.flatnonzero(toxic + clean >= MIN_TEXTS).tolist()}
+    chosen = sorted(gain, key=lambda k: (-gain[k] * np.sqrt(toxic[k] + clean[k]), names[k]))[:MAX_FEATURES]
+    place = np.full(len(numbers), -1)
+    place[chosen] = np.arange(len(chosen))
+    used = place[column] >= 0
+    row, column = row[used], place[column[used]]
     w, b = descend(row, column, y, len(chosen), LASSO / max(len(y), 1), 0.0)
     kept = np.flatnonzero(np.abs(w) > 1e-6)  # what several texts speak for; those weights are fitted again, unshrunk
     again = np.full(len(chosen), -1)
     again[kept] = np.arange(len(kept))
     inside = again[column] >= 0
     w, b = descend(row[inside], again[column[inside]], y, len(kept), 0.0, DECAY)
-    chosen = [chosen[k] for k in kept.tolist()]
+    chosen = [names[chosen[k]] for k in kept.tolist()]
     prior = np.log(np.clip(share, 1e-6, 1 - 1e-6) / np.clip(1 - share, 1e-6, 1)) - np.log(positive / negative)
     return Model(letters, {f: float(x) for f, x in zip(chosen, w) if abs(x) > 1e-3}, float(b + prior))
 
