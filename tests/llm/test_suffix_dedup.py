@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortspark.llm import suffix_dedup
 from cohortspark.llm.common import prepare
@@ -75,6 +76,32 @@ def test_brute_force(spark, seed, size, monkeypatch):
     assert any(0 < w[1] < w[0] for w in want)
 
 
+def test_a_frequent_name_is_not_sent_to_one_task(spark, monkeypatch):
+    prepare(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(0, 800, 1, 8).selectExpr("id", "if(id % 10 < 7, 5, id) as whole")
+        names = rows.groupBy("whole").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("owner"))
+        want = sorted(map(tuple, rows.join(names, "whole").select("id", "whole", "c", "owner").collect()))
+        for limit, most in ((559, 70), (560, 560)):  # the name 5 has 560 rows, 70 in each task
+            monkeypatch.setattr(suffix_dedup, "HOT_ROWS", limit)
+            out = suffix_dedup.with_counts(rows, names, "whole").select("id", "whole", "c", "owner")
+            assert sorted(map(tuple, out.collect())) == want
+            tasks = out.filter("whole = 5").groupBy(F.spark_partition_id()).count().collect()
+            assert max(r["count"] for r in tasks) == most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_brute_force_with_frequent_names(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 3)
+    texts = [*corpus(3), *(f"{k} " + "the same line over and over " * 9 + f" {k * k}" for k in range(8))]
+    df = prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(df.repartition(4), size=40).collect()}
+    assert [got[k] for k in range(len(texts))] == brute(texts, 40)
+
+
 def test_empty_and_long(spark):
     df = prepare(spark).createDataFrame([(1, None)], "doc_id long, text string")
     assert suffix_dedup.remove_repeats(df.limit(0)).collect() == []
