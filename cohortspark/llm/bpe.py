@@ -15,17 +15,19 @@ import hashlib
 import re
 import sys
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from cohortspark.llm.common import texts_of, worker_cache
 
-MAX_STATES = 150_000
-MAX_PIECES = 400_000
+MAX_STATES = 150_000  # about 400 bytes each, a worker
+MAX_PIECES = 340_000  # a dict of more than 349,525 entries takes twice the room
 NEVER = 1 << 62
 BLOCK_PIECES = 65_536  # pieces or ids handled at a time, so that very long texts need no memory of their size
 
@@ -79,39 +81,54 @@ class Transducer:
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.max_states = max_states
-        self.next: list[dict[int, int]] = [{}]  # the trie: byte -> node
-        self.ends: list[int] = [-1]  # the token that ends at a node
+        self.next: dict[int, int] = {}  # the trie: node and byte -> node
+        self.ends = [-1]  # the token that ends at a node
+        self.inner = bytearray(1)  # does a node lead on?
         for token, rank in ranks.items():
             node = 0
             for b in token:
-                child = self.next[node].get(b)
+                child = self.next.get(node << 8 | b)
                 if child is None:
-                    child = len(self.next)
-                    self.next[node][b] = child
-                    self.next.append({})
+                    child = self.next[node << 8 | b] = len(self.ends)
+                    self.inner[node] = 1
+                    self.inner.append(0)
                     self.ends.append(-1)
                 node = child
             self.ends[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.joins: dict[int, list[tuple[int, bytes, bytes]]] = {}
+        self.states: dict[bytes, int] = {}
+        self.members: list[bytes] = []
+        self.moves: dict[int, int] = {}  # by state and byte: the next state
+        self.outs: dict[int, tuple[int, ...]] = {}  # by state and byte, where there are any: the tokens that go out
+        self.finals: list[tuple[int, ...]] = []
+        self.shared: dict[tuple[int, ...], tuple[int, ...]] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.states: dict[tuple, int] = {}
-        self.members: list[tuple] = []
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state and byte: the next state, the tokens that go out
-        self.finals: list[tuple[int, ...]] = []
-        self.start = self._state(((0, -1, ()),))
+        for known in (self.states, self.members, self.moves, self.outs, self.finals, self.shared):
+            known.clear()
+        self.start = self._state(array("i", (0, -1, 0)).tobytes(), ())
 
-    def _state(self, members: tuple) -> int:
-        """`members`: (trie node, token before, tokens not yet out) of each open place, the oldest first."""
+    def _state(self, members: bytes, final: tuple[int, ...]) -> int:
+        """`members`: trie node, token before, number of tokens not yet out and these tokens, of each open place, the oldest
+        first; packed, as there are many states. `final`: the tokens of the youngest place, the end of what was read."""
         state = self.states.get(members)
         if state is None:
             state = self.states[members] = len(self.members)
             self.members.append(members)
-            self.finals.append(members[-1][2])  # the youngest place is the end of what was read
+            self.finals.append(self._one(final))
         return state
 
+    def _one(self, tokens: tuple[int, ...]) -> tuple[int, ...]:
+        return self.shared.setdefault(tokens, tokens) if len(tokens) == 1 else tokens
+
+    def _forget(self, state: int) -> int:
+        """Only `state` stays; its new number."""
+        members, final = self.members[state], self.finals[state]
+        self._clear()
+        return self._state(members, final)
+
     def _steps(self, token: int) -> list[tuple[int, bytes, bytes]]:
         """How a token comes about from its bytes: the rank of each join, and the first and last part before it."""
         known = self.joins.get(token)
@@ -132,10 +149,10 @@ class Transducer:
     def follows(self, before: int, token: int) -> bool:
         """Can `token` stand behind `before` (-1: at the start)? The joins inside each of the two happen by rank; the pair
         stands unless the last part of the one and the first part of the other can be joined before the next of those."""
-        key = before, token
+        key = (before + 1) << 32 | token
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 4 * self.max_states:
+            if len(self.pairs) >= 2 * self.max_states:
                 self.pairs.clear()
             right = self._steps(token)
             known = right[-1][1] == self.tokens[token]
@@ -156,35 +173,45 @@ class Transducer:
             self.pairs[key] = known
         return known
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        next_, ends, open_, ended = self.next, self.ends, [], None
-        for node, before, pending in self.members[state]:
-            child = next_[node].get(byte)
+    def _move(self, key: int) -> int:
+        next_, ends, inner, byte, open_, ended = self.next, self.ends, self.inner, key & 255, [], None
+        flat, at = memoryview(self.members[key >> 8]).cast("i").tolist(), 0
+        while at < len(flat):
+            node, before, begin = flat[at], flat[at + 1], at + 3
+            at = begin + flat[at + 2]
+            child = next_.get(node << 8 | byte)
             if child is not None:
                 if ended is None and ends[child] >= 0 and self.follows(before, ends[child]):
-                    ended = (0, ends[child], (*pending, ends[child]))
-                if next_[child]:
-                    open_.append((child, before, pending))
+                    ended = (0, ends[child], [*flat[begin:at], ends[child]])
+                if inner[child]:
+                    open_.append((child, before, flat[begin:at]))
         open_.append(ended)
-        agreed, same = open_[0][2], 0
-        for token in agreed:
-            if any(len(m[2]) <= same or m[2][same] != token for m in open_):
-                break
-            same += 1
+        agreed = open_[0][2]
+        same = len(agreed)
+        for _, _, pending in open_:
+            same = min(same, len(pending))
+            while same and pending[:same] != agreed[:same]:
+                same -= 1
+        packed: list[int] = []
+        for node, before, pending in open_:
+            packed += (node, before, len(pending) - same)
+            packed += pending[same:]
+        state = self.moves[key] = self._state(array("i", packed).tobytes(), tuple(open_[-1][2][same:]))
         if same:
-            open_ = [(n, b, p[same:]) for n, b, p in open_]
-        move = self.moves[state << 8 | byte] = self._state(tuple(open_)), agreed[:same]
-        return move
+            self.outs[key] = self._one(tuple(agreed[:same]))
+        return state
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.members) > self.max_states:
-            self._clear()
-        state, out, moves = self.start, [], self.moves
+        state, out, moves, outs = self.start, [], self.moves, self.outs
         for byte in piece:
-            move = moves.get(state << 8 | byte)
-            state, more = move if move is not None else self._move(state, byte)
-            if more:
-                out += more
+            key = state << 8 | byte
+            state = moves.get(key, -1)
+            if state < 0:
+                if len(self.members) > self.max_states:
+                    key = self._forget(key >> 8) << 8 | byte
+                state = self._move(key)
+            if key in outs:
+                out += outs[key]
         out += self.finals[state]
         return out
 
@@ -300,10 +327,11 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", k
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_cache(f"bpe-{key}", lambda: Codec(shared.value))
         for batch in batches:
-            counts, lists, ids_digest, text_digest = [], [], [], []
+            counts, ids_digest, text_digest = [], [], []
+            own, ends = array("i"), [0]  # the ids of all texts, and where each text's end
             for t in texts_of(batch.column(len(names))):
                 ids, back = hashlib.sha256(), hashlib.sha256()
-                count, own = 0, []
+                count = 0
 
                 def watched() -> Iterator[str]:
                     nonlocal count
@@ -317,11 +345,11 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", k
                 for part in codec.decode(watched()):
                     back.update(part.encode())
                 counts.append(count)
-                lists.append(own)
+                ends.append(len(own))
                 ids_digest.append(ids.hexdigest())
                 text_digest.append(back.hexdigest())
             made = [pa.array(counts, pa.int64())]
-            made += [pa.array(lists, pa.list_(pa.int32()))] if keep_ids else []
+            made += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.asarray(own)))] if keep_ids else []
             made += [pa.array(ids_digest, pa.string()), pa.array(text_digest, pa.string())]
             yield pa.RecordBatch.from_arrays(batch.columns[: len(names)] + made, [*names, *(f.name for f in result)])
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -66,6 +67,24 @@ def test_small_tables_forget_and_stay_right(monkeypatch):
     assert [int(i) for b in small.encode(text) for i in b.split(",")] == LIBRARY.encode_ordinary(text)
 
 
+def test_states_are_small():
+    rng, machine = random.Random(1), bpe.Codec(RANKS).transducer
+    words = ["".join(rng.choices("abcdefghijklmnoprstuvwxyzäöüé", k=9)).encode() for _ in range(4000)]
+    tracemalloc.start()
+    for word in words:
+        machine.encode(word)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(machine.members) > 15_000 and held < 600 * len(machine.members)
+
+
+def test_a_long_piece_does_not_add_states_without_end():
+    machine = bpe.Transducer(RANKS, max_states=500)
+    piece = "".join(random.Random(2).choices("abcdefghijklmnoprstuvwxyz", k=20_000))
+    assert machine.encode(piece.encode()) == LIBRARY.encode_ordinary(piece)
+    assert len(machine.members) <= 501
+
+
 @given(st.text(max_size=30), st.integers(1, 5))
 def test_stream(text, step):
     data, stream = text.encode(), bpe.Utf8Stream()
