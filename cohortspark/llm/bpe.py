@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from cohortspark.llm.common import texts_of, worker_cache
 
 MAX_STATES = 150_000  # about 400 bytes each, a worker
-MAX_PIECES = 340_000  # a dict of more than 349,525 entries takes twice the room
+MAX_PIECES = 400_000  # about 170 bytes each
 NEVER = 1 << 62
 BLOCK_PIECES = 65_536  # pieces or ids handled at a time, so that very long texts need no memory of their size
 
@@ -188,10 +188,11 @@ class Transducer:
         open_.append(ended)
         agreed = open_[0][2]
         same = len(agreed)
-        for _, _, pending in open_:
-            same = min(same, len(pending))
-            while same and pending[:same] != agreed[:same]:
-                same -= 1
+        if same:
+            for _, _, pending in open_:
+                same = min(same, len(pending))
+                while same and pending[:same] != agreed[:same]:
+                    same -= 1
         packed: list[int] = []
         for node, before, pending in open_:
             packed += (node, before, len(pending) - same)
@@ -270,7 +271,8 @@ def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
 class Codec:
     """A rank table with its transducer and a bounded memory of pieces already encoded, as text of comma-joined ids."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], pieces: int | None = None):
+        self.pieces = pieces or MAX_PIECES
         self.transducer = Transducer(ranks)
         self.wide, self.narrow = piece_pattern(), piece_pattern(wide=False)
         self.bytes_of = {str(i): t for t, i in ranks.items()}
@@ -281,8 +283,8 @@ class Codec:
         try:
             return ",".join([known[p] for p in pieces])
         except KeyError:
-            if len(known) > MAX_PIECES:  # forget the oldest quarter
-                for p in list(islice(known, MAX_PIECES // 4)):
+            if len(known) > self.pieces:  # forget the oldest, down to three quarters
+                for p in list(islice(known, len(known) - self.pieces * 3 // 4)):
                     del known[p]
             encode = self.transducer.encode
             for p in pieces:
@@ -309,12 +311,13 @@ class Codec:
         yield stream.feed(b"", last=True)
 
 
-def encode_texts(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", keep_ids: bool = True) -> DataFrame:
+def encode_texts(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", keep_ids: bool = True, pieces: int | None = None) -> DataFrame:
     """The columns of `docs` (but for `text`) plus n_tokens, ids (array of int, where asked for), ids_sha256 (of the decimal
     ids joined by commas) and decoded_sha256 (of the bytes that the ids decode to).
 
     NULL and empty texts have no tokens; special tokens do not exist, their names are ordinary text. Columns of `docs` named
-    like a result column are replaced. The rank table is bounded (a vocabulary) and broadcast.
+    like a result column are replaced. The rank table is bounded (a vocabulary) and broadcast. `pieces`: encoded pieces that a
+    worker remembers, MAX_PIECES by default; fewer take less memory and more time, the result is the same.
     """
     result = [StructField("n_tokens", LongType())]
     result += [StructField("ids", ArrayType(IntegerType()))] if keep_ids else []
@@ -325,7 +328,7 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", k
     rows = docs.select(*names, text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_cache(f"bpe-{key}", lambda: Codec(shared.value))
+        codec = worker_cache(f"bpe-{key}-{pieces}", lambda: Codec(shared.value, pieces))
         for batch in batches:
             counts, ids_digest, text_digest = [], [], []
             own, ends = array("i"), [0]  # the ids of all texts, and where each text's end

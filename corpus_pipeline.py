@@ -14,6 +14,7 @@ from cohortspark.llm.common import prepare, settle
 from cohortspark.llm.queries import ranks_path
 from cohortspark.sources.tables import load
 
+PIECES = 200_000  # remembered by the tokenizer: its workers share an executor with a heap that earlier stages have filled
 ORACLE_SQL = None  # a fitted score, a component search and a tokenizer are beyond SQL; tests/llm/test_pipeline.py checks it
 
 
@@ -66,7 +67,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, ids_sha256, decoded_sha256."""
     prepare(spark)
     ranks = bpe.load_ranks(ranks_path())
-    return bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), ranks)
+    return bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), ranks, pieces=PIECES)
 
 
 STAGES = [

@@ -78,6 +78,14 @@ def test_states_are_small():
     assert len(machine.members) > 15_000 and held < 600 * len(machine.members)
 
 
+def test_few_pieces_are_remembered_and_ids_stay_right():
+    small, rng = bpe.Codec(RANKS, pieces=50), random.Random(3)
+    for _ in range(100):
+        text = " ".join("".join(rng.choices("abcdeinrst", k=5)) for _ in range(20))
+        assert [int(i) for b in small.encode(text) for i in b.split(",")] == LIBRARY.encode_ordinary(text)
+        assert len(small.known) <= 51 + 20
+
+
 def test_a_long_piece_does_not_add_states_without_end():
     machine = bpe.Transducer(RANKS, max_states=500)
     piece = "".join(random.Random(2).choices("abcdefghijklmnoprstuvwxyz", k=20_000))
