@@ -121,3 +121,22 @@ def test_query(spark):
         own = got[r["doc_id"]]
         assert (own["n_bytes"], own["n_removed"], own["n_spans"]) == (n, removed, spans)
         assert own["kept_sha256"] == hashlib.sha256(left).hexdigest()
+
+
+def test_planted_passages_go_from_400_bytes_on(spark, tmp_path):
+    rng = random.Random(6)
+
+    def prose(words):
+        return " ".join("".join(rng.choices("abcdefghij", k=rng.randint(4, 7))) for _ in range(words))
+
+    whole, shorter = prose(90)[:400], prose(90)[:399]
+    assert min(len(whole.split()), len(shorter.split())) > 50
+    # What stands next to a passage differs, so that no longer string is shared.
+    rows = [(k, f"{prose(200)} {k}{p}{k} {prose(200)}") for k, p in enumerate([whole, shorter, "", whole, shorter, "", whole])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op6_repeats"](spark, str(tmp_path)).collect()}
+    for k, text in rows:
+        gone = whole in text
+        left = text.replace(whole, "")
+        assert (got[k]["n_bytes"], got[k]["n_removed"], got[k]["n_spans"], got[k]["repeated"]) == (len(text), 400 * gone, int(gone), gone)
+        assert got[k]["kept_sha256"] == hashlib.sha256(left.encode()).hexdigest()
